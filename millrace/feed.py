@@ -6,9 +6,17 @@ lines; what is computed from the lines is written separately on each side.
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from millrace.contract import EVENTS
+from millrace.operators.lines import conformant
+from millrace.operators.silver import to_silver
+from millrace.session import scratch_root
+from millrace.sources.tables import balanced
 
 
 def _digits(moment: str, length: int) -> str:
@@ -108,6 +116,45 @@ def feed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(FEED_SQL, **{name: table(spark, sf_dir, name) for name in names})
 
 
+def landed(spark: SparkSession, sf_dir: str, step: str, build: Callable[[], DataFrame],
+           partition: str) -> DataFrame:
+    """A step of the pipeline as a table, written on first use in a session.
+
+    Bronze lines and silver events are tables that the later steps read, as they are in a
+    running pipeline; they are not worked out again by each query. They live below the
+    shared scratch folder of the cluster.
+    """
+    place = (spark.sparkContext.applicationId, sf_dir, step)
+    if place not in _LANDED:
+        path = f"{scratch_root(spark)}/millrace-{step}-{uuid.uuid4().hex}"
+        balanced(build(), partition).write.partitionBy(partition).parquet(path)
+        _LANDED[place] = path
+    return spark.read.parquet(_LANDED[place])
+
+
+_LANDED: dict[tuple[str, str, str], str] = {}
+
+
+def bronze_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed as a landed table with one folder per day, ``dt`` taken from the file name."""
+
+    def build() -> DataFrame:
+        day = F.to_date(F.substring("_source_file", 1, 8), "yyyyMMdd")
+        return feed_lines(spark, sf_dir).withColumn("dt", day)
+
+    return landed(spark, sf_dir, "lines", build, "dt").select("_raw_line", "_source_file")
+
+
+def silver_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed as a landed silver table with one folder per event day."""
+
+    def build() -> DataFrame:
+        return to_silver(conformant(bronze_lines(spark, sf_dir))).drop("_ingested_at")
+
+    events = landed(spark, sf_dir, "silver", build, EVENTS.day)
+    return events.select(*EVENTS.names, "_source_file")
+
+
 def feed_oracle_sql() -> str:
     """The same text over the views of the oracle."""
     return FEED_SQL.format(events="events", customer="customer", nation="nation")

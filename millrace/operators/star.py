@@ -245,3 +245,50 @@ def high_water(fact: DataFrame) -> DataFrame:
     """One row: the newest ``date_added`` in the fact, or the floor."""
     newest = F.coalesce(F.max("date_added"), F.lit(FLOOR).cast("timestamp"))
     return fact.agg(newest.alias("loaded_until"))
+
+
+def star_rollup(
+    fact: DataFrame,
+    dates: DataFrame,
+    actors: DataFrame,
+    places: DataFrame,
+    event_types: DataFrame,
+) -> DataFrame:
+    """Events and mean tone by month, first actor's country, place country and root label.
+
+    The fact is reduced to one row per combination of keys before it meets a dimension, so
+    an actor or place that holds a third of the events joins as few rows. Which side is
+    broadcast is left to Spark, which goes by measured size and splits a skewed side. Tone
+    is summed as a decimal: the result does not depend on the order of rows.
+    """
+    tone = F.col("avg_tone").cast("decimal(18,4)")
+    reduced = fact.groupBy("date_key", "actor1_key", "action_geo_key", "cameo_key").agg(
+        F.count(F.lit(1)).alias("n"), F.count("avg_tone").alias("toned"), F.sum(tone).alias("tone")
+    )
+    joined = (
+        reduced.join(dates.select("date_key", "year", "month"), "date_key", "left")
+        .join(
+            event_types.select("cameo_key", "root_description", "quad_class_name"),
+            "cameo_key",
+            "left",
+        )
+        .join(
+            places.select(
+                F.col("geo_key").alias("action_geo_key"), F.col("country_code").alias("place_country")
+            ),
+            "action_geo_key",
+            "left",
+        )
+        .join(
+            actors.select(
+                F.col("actor_key").alias("actor1_key"), F.col("country_code").alias("actor_country")
+            ),
+            "actor1_key",
+            "left",
+        )
+    )
+    labels = ("year", "month", "root_description", "quad_class_name", "actor_country", "place_country")
+    return joined.groupBy(*labels).agg(
+        F.sum("n").alias("event_count"),
+        F.round(F.try_divide(F.sum("tone").cast("double"), F.sum("toned")), 6).alias("mean_tone"),
+    )

@@ -25,14 +25,14 @@ def parse_index(lines: DataFrame, column: str = "value") -> DataFrame:
     """
     parts = F.split(strip(F.col(column)), f"(?U){WHITESPACE}+", -1)
     entry = lines.select(parts.alias("p")).filter(F.size("p") == 3)
-    url = F.col("p")[2]
+    url = F.get("p", F.lit(2))
     stamp = F.try_to_timestamp(F.regexp_extract(url, FILE_PATTERN, 1), F.lit(TIMESTAMP_FORMAT))
     return (
         entry.filter(url.rlike(FILE_PATTERN))
         .select(
             url.alias("url"),
-            F.col("p")[0].try_cast("bigint").alias("size"),
-            F.col("p")[1].alias("md5"),
+            F.get("p", F.lit(0)).try_cast("bigint").alias("size"),
+            F.get("p", F.lit(1)).alias("md5"),
             stamp.alias("file_ts"),
             F.lower(F.regexp_extract(url, FILE_PATTERN, 2)).alias("feed"),
             base_name(url).alias("file_name"),
