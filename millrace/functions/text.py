@@ -6,8 +6,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Python's notion of white space: the Unicode property plus the four ASCII separators
-WHITESPACE = r"[\s\x1c-\x1f]"
+# --- fixed values: the characters that count as white space ---
+WHITESPACE = (
+    " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
+    "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def clean(text: Column) -> Column:
@@ -22,14 +25,18 @@ def clean(text: Column) -> Column:
 
 def strip(text: Column) -> Column:
     """Remove leading and trailing white space of any kind; empty becomes NULL."""
-    pattern = f"(?U)^{WHITESPACE}+|{WHITESPACE}+$"
-    stripped = F.regexp_replace(text, pattern, "")
+    stripped = F.btrim(text, F.lit(WHITESPACE))
     return F.when(stripped != "", stripped)
 
 
+def words(text: Column) -> Column:
+    """The parts of a text between runs of white space."""
+    return F.split(F.btrim(text, F.lit(WHITESPACE)), f"[{WHITESPACE}]+", -1)
+
+
 def is_blank(text: Column) -> Column:
     """True for a line with nothing but white space, tabs included."""
-    return text.rlike(f"(?U)^{WHITESPACE}*$")
+    return F.btrim(text, F.lit(WHITESPACE)) == ""
 
 
 def base_name(path: Column) -> Column:

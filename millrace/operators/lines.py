@@ -6,32 +6,38 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.contract import EVENTS, Contract
+from millrace.functions.once import evaluate_once
 
+TAB = "\t"
 
-def fields_of(line: Column) -> Column:
-    """The tab-separated fields, trailing empty ones included."""
-    return F.split(line, "\t", -1)
+
+def with_fields(lines: DataFrame) -> DataFrame:
+    """Lines with ``_fields``: the tab-separated texts, trailing empty ones included."""
+    return evaluate_once(lines, _fields=F.split("_raw_line", TAB, -1))
+
+
+def field(name: str, contract: Contract = EVENTS) -> Column:
+    """One raw field of ``_fields`` by contract name; NULL where the line is too short."""
+    return F.get("_fields", F.lit(contract.position(name)))
 
 
 def field_count(line: Column, contract: Contract = EVENTS) -> Column:
-    """Number of fields; one lone empty field after the last expected one is forgiven."""
-    parts = fields_of(line)
-    extra = (F.size(parts) == contract.width + 1) & (F.get(parts, F.lit(contract.width)) == "")
-    return F.when(extra, F.lit(contract.width)).otherwise(F.size(parts))
+    """Number of fields; one lone empty field after the last expected one is forgiven.
+
+    Counted from the tabs, so a line need not be cut up to be judged.
+    """
+    tabs = F.octet_length(line) - F.octet_length(F.replace(line, F.lit(TAB), F.lit("")))
+    forgiven = (tabs == contract.width) & F.endswith(line, F.lit(TAB))
+    return F.when(forgiven, F.lit(contract.width)).otherwise(tabs + 1)
 
 
 def with_field_count(lines: DataFrame, contract: Contract = EVENTS) -> DataFrame:
     return lines.withColumn("_field_count", field_count(F.col("_raw_line"), contract))
 
 
-def field(name: str, contract: Contract = EVENTS) -> Column:
-    """One raw field by contract name; NULL where the line is too short."""
-    return F.get(fields_of(F.col("_raw_line")), F.lit(contract.position(name)))
-
-
 def raw_frame(lines: DataFrame, contract: Contract = EVENTS) -> DataFrame:
     """All fields as text, padded or cut to the contract width, plus the drift evidence."""
-    return lines.select(
+    return with_fields(lines).select(
         *[field(name, contract).alias(name) for name in contract.names],
         "_source_file",
         field_count(F.col("_raw_line"), contract).alias("_field_count"),

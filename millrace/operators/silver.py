@@ -12,11 +12,12 @@ from pyspark.sql import functions as F
 
 from millrace.contract import EVENTS, Contract
 from millrace.functions.casts import typed
-from millrace.operators.lines import field
+from millrace.functions.once import evaluate_once
+from millrace.operators.lines import field, with_fields
 
 
 def typed_field(name: str, contract: Contract = EVENTS) -> Column:
-    return typed(field(name, contract), contract.type_of(name)).alias(name)
+    return typed(field(name, contract), contract.type_of(name))
 
 
 def newest_lines(lines: DataFrame, contract: Contract = EVENTS) -> DataFrame:
@@ -26,11 +27,12 @@ def newest_lines(lines: DataFrame, contract: Contract = EVENTS) -> DataFrame:
     candidate per key and task before the shuffle, so a key that holds a third of all
     lines reaches its reducer as one line per map task.
     """
-    decisive = lines.select(
-        *[typed_field(name, contract) for name in (contract.key, contract.recency)],
-        "_source_file",
-        "_raw_line",
-    ).filter(F.col(contract.key).isNotNull())
+    roles = (contract.key, contract.recency)
+    decisive = (
+        evaluate_once(with_fields(lines), **{name: typed_field(name, contract) for name in roles})
+        .filter(F.col(contract.key).isNotNull())
+        .select(*roles, "_source_file", "_raw_line")
+    )
     newest_first = Window.partitionBy(contract.key).orderBy(
         F.col(contract.recency).desc_nulls_last(),
         F.col("_source_file").desc_nulls_last(),
@@ -50,8 +52,8 @@ def type_lines(lines: DataFrame, contract: Contract = EVENTS) -> DataFrame:
     Spark still knows that the frame is partitioned by the key.
     """
     done = set(lines.columns)
-    return lines.select(
-        *[F.col(n) if n in done else typed_field(n, contract) for n in contract.names],
+    return with_fields(lines).select(
+        *[F.col(n) if n in done else typed_field(n, contract).alias(n) for n in contract.names],
         "_source_file",
     )
 

@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.contract import TIMESTAMP_FORMAT
-from millrace.functions.text import WHITESPACE, base_name, strip
+from millrace.functions.once import evaluate_once
+from millrace.functions.text import base_name, words
 
 # --- fixed values: what a file name in the index looks like ---
 FILE_PATTERN = r"(?i)([0-9]{14})\.(export|mentions|gkg)\."
@@ -23,21 +24,21 @@ def parse_index(lines: DataFrame, column: str = "value") -> DataFrame:
     A line without exactly three parts, without a dated feed name, with a size that is no
     number or with an impossible date is left out; the others stay.
     """
-    parts = F.split(strip(F.col(column)), f"(?U){WHITESPACE}+", -1)
-    entry = lines.select(parts.alias("p")).filter(F.size("p") == 3)
-    url = F.get("p", F.lit(2))
+    split = evaluate_once(lines, _parts=words(F.col(column))).filter(F.size("_parts") == 3)
+    url = F.get("_parts", F.lit(2))
     stamp = F.try_to_timestamp(F.regexp_extract(url, FILE_PATTERN, 1), F.lit(TIMESTAMP_FORMAT))
+    entries = evaluate_once(
+        split,
+        url=url,
+        size=F.get("_parts", F.lit(0)).try_cast("bigint"),
+        md5=F.get("_parts", F.lit(1)),
+        file_ts=stamp,
+        feed=F.lower(F.regexp_extract(url, FILE_PATTERN, 2)),
+        file_name=base_name(url),
+    )
     return (
-        entry.filter(url.rlike(FILE_PATTERN))
-        .select(
-            url.alias("url"),
-            F.get("p", F.lit(0)).try_cast("bigint").alias("size"),
-            F.get("p", F.lit(1)).alias("md5"),
-            stamp.alias("file_ts"),
-            F.lower(F.regexp_extract(url, FILE_PATTERN, 2)).alias("feed"),
-            base_name(url).alias("file_name"),
-        )
-        .filter(F.col("size").isNotNull() & F.col("file_ts").isNotNull())
+        entries.filter(F.col("size").isNotNull() & F.col("file_ts").isNotNull())
+        .select("url", "size", "md5", "file_ts", "feed", "file_name")
         .withColumn("dt", F.to_date("file_ts"))
         .withColumn("hour", F.hour("file_ts"))
     )

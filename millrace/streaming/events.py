@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.casts import stream_double, strict_integer
 from millrace.functions.text import strip
-from millrace.operators.lines import field
+from millrace.operators.lines import field, with_fields
 
 # --- fixed values: fields of a stream event in wire order, their kind, their source ---
 EVENT_FIELDS = """
@@ -56,7 +56,7 @@ _KINDS = {
 def stream_events(lines: DataFrame) -> DataFrame:
     """One event per line."""
     rows = [row.split() for row in EVENT_FIELDS.strip().splitlines()]
-    return lines.select(*[_KINDS[kind](field(source)).alias(name) for name, kind, source in rows])
+    return with_fields(lines).select(*[_KINDS[kind](field(source)).alias(name) for name, kind, source in rows])
 
 
 def country_key(event: DataFrame) -> Column:

@@ -83,7 +83,8 @@ def gate(messages: DataFrame) -> DataFrame:
         "value",
         text.alias("_text"),
         F.from_json(envelope, _ENVELOPE, options).alias("_envelope"),
-    ).withColumn("event", F.get("_envelope.message", F.lit(0)))
+    )
+    decoded = decoded.withColumn("event", F.get("_envelope.message", F.lit(0)))
     broken = (
         F.col("event").isNull()
         | F.col("_envelope._corrupt").isNotNull()
@@ -102,11 +103,10 @@ def gate(messages: DataFrame) -> DataFrame:
     )
     marked = _with_codes(F.col("_text"), F.col("codes")).cast("binary")
     payload = F.when(F.col("outcome") == "invalid", marked).otherwise(F.col("value"))
-    return (
-        decoded.withColumn("codes", violations())
-        .withColumn("outcome", outcome)
-        .select("key", "value", "codes", "outcome", topic.alias("topic"), payload.alias("payload"))
-    )
+    judged = decoded.withColumn("codes", violations()).withColumn("outcome", outcome)
+    # a filter on topic or outcome must not repeat the decoding
+    settled = F.struct("codes", "outcome", topic.alias("topic"), payload.alias("payload"))
+    return judged.select("key", "value", F.inline(F.array(settled)))
 
 
 def routed(gated: DataFrame) -> DataFrame:
