@@ -24,11 +24,13 @@ def field(name: str, contract: Contract = EVENTS) -> Column:
 def field_count(line: Column, contract: Contract = EVENTS) -> Column:
     """Number of fields; one lone empty field after the last expected one is forgiven.
 
-    Counted from the tabs, so a line need not be cut up to be judged.
+    Counted from the tabs, so a line need not be cut up to be judged. No line at all has no
+    field, so it is rejected and not lost.
     """
     tabs = F.octet_length(line) - F.octet_length(F.replace(line, F.lit(TAB), F.lit("")))
     forgiven = (tabs == contract.width) & F.endswith(line, F.lit(TAB))
-    return F.when(forgiven, F.lit(contract.width)).otherwise(tabs + 1)
+    count = F.when(forgiven, F.lit(contract.width)).otherwise(tabs + 1)
+    return F.coalesce(count, F.lit(0))
 
 
 def with_field_count(lines: DataFrame, contract: Contract = EVENTS) -> DataFrame:
