@@ -7,7 +7,15 @@ from pyspark.sql import functions as F
 
 from millrace.functions.text import base_name
 from millrace.sources.archives import archive_files, lines_of
-from millrace.sources.manifest import STATE_SCHEMA, advance_state, checksums, tally, verify
+from millrace.sources.manifest import (
+    STATE_SCHEMA,
+    advance_state,
+    checksums,
+    feed_of,
+    stamp_of,
+    tally,
+    verify,
+)
 from millrace.sources.tables import balanced, create_table
 
 LANDED_DDL = "file_name string, file_ts timestamp, feed string"
@@ -19,8 +27,8 @@ def land(
 ) -> dict[str, int]:
     """Check the files in ``drop`` against the manifest and land the new ones as lines.
 
-    The file list of the lines table is what makes a re-run skip; a file with a wrong
-    checksum fails alone. Returns how many files were landed, skipped and failed.
+    The list of landed files is what makes a re-run skip, so a file is recorded last. A file
+    with a wrong checksum fails alone. Returns how many files were landed, skipped and failed.
     """
     create_table(spark, lines_table, LINES_DDL, "feed, dt, hour")
     create_table(spark, f"{lines_table}_files", LANDED_DDL, "feed")
@@ -29,26 +37,39 @@ def land(
     files = archive_files(spark, drop)
     outcome = verify(manifest, checksums(files), landed).persist()
     try:
+        # Everything is taken from the outcome before files are recorded: it reads the list
+        # of landed files, and Spark refreshes it once that list has grown.
+        counts = tally(outcome).first().asDict()
         new = outcome.filter(F.col("status") == "landed")
-        wanted = new.select(F.col("file_name").alias("_source_file"), "feed", "dt", "hour")
-        # the join with the wanted files comes before the archives are opened
-        chosen = files.join(
-            wanted.select("_source_file"), base_name(F.col("path")) == F.col("_source_file"),
-            "left_semi",
-        )
-        lines = lines_of(chosen).join(wanted, "_source_file")
-        columns = spark.table(lines_table).columns
-        # an earlier run may have died after writing lines and before recording the file
-        written = spark.table(lines_table).select("_source_file")
-        fresh = lines.join(written, "_source_file", "left_anti").select(*columns)
-        balanced(fresh, "dt").write.mode("append").insertInto(lines_table)
+        # one row per feed, read before its own table is overwritten
+        state = advance_state(spark.table(state_table), new).collect()
+        _append_lines(spark, files, new, lines_table)
+        spark.createDataFrame(state, STATE_SCHEMA).write.insertInto(state_table, overwrite=True)
         recorded = spark.table(f"{lines_table}_files").columns
         new.select(*recorded).coalesce(1).write.mode("append").insertInto(f"{lines_table}_files")
-        state = advance_state(spark.table(state_table), new)
-        # one row per feed: small enough to pass through the driver, and it must be read
-        # before the table is overwritten
-        rows = state.collect()
-        spark.createDataFrame(rows, STATE_SCHEMA).write.insertInto(state_table, overwrite=True)
-        return tally(outcome).first().asDict()
+        return counts
     finally:
         outcome.unpersist()
+
+
+def _append_lines(spark: SparkSession, files: DataFrame, new: DataFrame, table: str) -> None:
+    """Lines of the new files; a file is chosen before it is opened.
+
+    Where a line belongs follows from its file name, so lines are never joined. Files whose
+    lines are there already come from a run that died before recording them.
+    """
+    written = spark.table(table).select("_source_file").distinct()
+    wanted = new.select(F.col("file_name").alias("_source_file")).join(
+        written, "_source_file", "left_anti"
+    )
+    named = files.withColumn("_source_file", base_name(F.col("path")))
+    name = F.col("_source_file")
+    lines = lines_of(named.join(wanted, "_source_file", "left_semi")).select(
+        "_raw_line",
+        "_source_file",
+        feed_of(name).alias("feed"),
+        F.to_date(stamp_of(name)).alias("dt"),
+        F.hour(stamp_of(name)).alias("hour"),
+    )
+    columns = spark.table(table).columns
+    balanced(lines.select(*columns), "dt").write.mode("append").insertInto(table)

@@ -18,6 +18,15 @@ FILE_PATTERN = r"(?i)([0-9]{14})\.(export|mentions|gkg)\."
 STATE_SCHEMA = "feed string, ts timestamp"
 
 
+def stamp_of(name: Column) -> Column:
+    """Time stamp in a file name or address; NULL where there is none or it is no time."""
+    return F.try_to_timestamp(F.regexp_extract(name, FILE_PATTERN, 1), F.lit(TIMESTAMP_FORMAT))
+
+
+def feed_of(name: Column) -> Column:
+    return F.lower(F.regexp_extract(name, FILE_PATTERN, 2))
+
+
 def parse_index(lines: DataFrame, column: str = "value") -> DataFrame:
     """Index lines ``<size> <md5> <address>`` to a typed manifest.
 
@@ -26,14 +35,13 @@ def parse_index(lines: DataFrame, column: str = "value") -> DataFrame:
     """
     split = evaluate_once(lines, _parts=words(F.col(column))).filter(F.size("_parts") == 3)
     url = F.get("_parts", F.lit(2))
-    stamp = F.try_to_timestamp(F.regexp_extract(url, FILE_PATTERN, 1), F.lit(TIMESTAMP_FORMAT))
     entries = evaluate_once(
         split,
         url=url,
         size=F.get("_parts", F.lit(0)).try_cast("bigint"),
         md5=F.get("_parts", F.lit(1)),
-        file_ts=stamp,
-        feed=F.lower(F.regexp_extract(url, FILE_PATTERN, 2)),
+        file_ts=stamp_of(url),
+        feed=feed_of(url),
         file_name=base_name(url),
     )
     return (
