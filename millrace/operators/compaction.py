@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.sources.tables import location_of, overwrite_partitions, within
+from millrace.sources.tables import balanced, location_of, overwrite_partitions, within
 
 
 def partition_files(spark: SparkSession, location: str, partition: str) -> DataFrame:
@@ -46,8 +46,6 @@ def compact(
     )
     days = [row[0] for row in found.select(partition).collect()]
     if days:
-        overwrite_partitions(
-            spark.table(table).filter(within(partition, days)), table, partition
-        )
-        spark.catalog.refreshTable(table)
+        rows = spark.table(table).filter(within(partition, days))
+        overwrite_partitions(balanced(rows, partition), table)
     return days

@@ -1,54 +1,52 @@
-"""Row-level changes as pure functions over two frames: the target and a batch."""
+"""Row-level changes as pure functions over two frames: the target and a batch.
+
+Both come in two parts, the target rows that stay and the batch rows that go in, so a
+writer can leave the former where they are. A batch small enough to be broadcast (Spark
+decides by its measured size) means that the target is only read, neither shuffled nor
+sorted; a larger one is joined by sort-merge, with the target side split where it is skewed.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# tasks over which rows without a key are spread; they match nothing, only their load counts
-_NULL_SPREAD = 4096
-
-
-def _side(df: DataFrame, columns: list[str], key: str, name: str) -> DataFrame:
-    """The row as one struct plus the join key; NULL keys get a salt of their own.
-
-    Rows without a key never match, but a full join would send them all to one task.
-    """
-    salt = F.pmod(F.xxhash64(*columns), F.lit(_NULL_SPREAD))
-    return df.select(
-        F.struct(*columns).alias(name),
-        F.col(key).alias(f"{name}_key"),
-        F.when(F.col(key).isNull(), salt).otherwise(0).alias(f"{name}_salt"),
-    )
-
 
-def upsert(
+def upsert_parts(
     target: DataFrame, batch: DataFrame, key: str, recency: str | None = None
-) -> DataFrame:
-    """The target after a MERGE of ``batch``: replace matched rows, insert the others.
+) -> tuple[DataFrame, DataFrame]:
+    """Target rows kept and batch rows taken by a MERGE on ``key``.
 
     With ``recency`` a matched row is replaced only when the batch row is at least as
-    recent; a NULL on either side leaves the target row alone. Without it the batch always
-    wins. The batch must hold one row per key (the silver gate checks that), and so does
-    the target, so no key is hot on either side.
+    recent; a NULL on either side leaves the target row alone and the batch row out.
+    Without it the batch always wins. Rows without a key match nothing: they stay, or go
+    in. The batch must hold one row per key, which the quality gate checks.
     """
     columns = target.columns
-    t = _side(target, columns, key, "t")
-    s = _side(batch.select(*columns), columns, key, "s")
-    same = (F.col("t_key") == F.col("s_key")) & (F.col("t_salt") == F.col("s_salt"))
-    return t.join(s, same, "full").select(
-        _survivor(recency).alias("row")
-    ).select("row.*")
+    taken = batch.select(*columns)
+    if recency is not None:
+        held = (
+            target.join(batch.select(key).filter(F.col(key).isNotNull()), key, "left_semi")
+            .select(F.col(key).alias("_held_key"), F.col(recency).alias("_held_recency"))
+        )
+        newer = F.col(recency) >= F.col("_held_recency")
+        taken = (
+            taken.join(held, F.col(key) == F.col("_held_key"), "left")
+            .filter(F.col("_held_key").isNull() | newer)
+            .select(*columns)
+        )
+    kept = target.join(taken.select(key), key, "left_anti").select(*columns)
+    return kept, taken
 
 
-def _survivor(recency: str | None) -> Column:
-    if recency is None:
-        return F.coalesce(F.col("s"), F.col("t"))
-    newer = F.col(f"s.{recency}") >= F.col(f"t.{recency}")
-    return F.when(F.col("t").isNull() | newer, F.col("s")).otherwise(F.col("t"))
+def upsert(
+    target: DataFrame, batch: DataFrame, key: str, recency: str | None = None
+) -> DataFrame:
+    """The target after a MERGE of ``batch``."""
+    kept, taken = upsert_parts(target, batch, key, recency)
+    return kept.unionByName(taken)
 
 
 def delete_insert(target: DataFrame, batch: DataFrame, key: str) -> DataFrame:
     """Drop the target rows whose key is in the batch, then add the whole batch."""
-    kept = target.join(batch.select(key), key, "left_anti").select(*target.columns)
-    return kept.unionByName(batch.select(*target.columns))
+    return upsert(target, batch, key)

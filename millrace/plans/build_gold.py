@@ -62,8 +62,7 @@ def snapshot_actors(
     closed.join(known, "scd_id", "left_anti").select(*columns).write.mode("append").insertInto(
         table
     )
-    overwrite_partitions(moved.filter(F.col(HISTORY_PARTITION)), table, HISTORY_PARTITION)
-    spark.catalog.refreshTable(table)
+    overwrite_partitions(moved.filter(F.col(HISTORY_PARTITION)), table)
 
 
 def build_gold(

@@ -6,12 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.text import base_name
-from millrace.sources.archives import archive_files, lines_of
+from millrace.sources.archives import archive_files, lines_of, named_between
 from millrace.sources.manifest import (
     STATE_SCHEMA,
     advance_state,
     checksums,
     feed_of,
+    not_landed,
     stamp_of,
     tally,
     verify,
@@ -34,7 +35,11 @@ def land(
     create_table(spark, f"{lines_table}_files", LANDED_DDL, "feed")
     create_table(spark, state_table, STATE_SCHEMA)
     landed = spark.table(f"{lines_table}_files")
-    files = archive_files(spark, drop)
+    # only files in the span of what is not landed yet are opened
+    first, last = (
+        not_landed(manifest, landed).agg(F.min("file_name"), F.max("file_name")).first()
+    )
+    files = named_between(archive_files(spark, drop), first, last)
     outcome = verify(manifest, checksums(files), landed).persist()
     try:
         # Everything is taken from the outcome before files are recorded: it reads the list

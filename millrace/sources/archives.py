@@ -62,6 +62,27 @@ def archive_files(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def named_between(files: DataFrame, first: str | None, last: str | None) -> DataFrame:
+    """Archives whose names lie between two names, both included; none without bounds.
+
+    Decided from the listing: a file outside is not opened, which a filter on a column of
+    the file could not do. Dated names make this a window of time.
+    """
+    if first is None or last is None:
+        return files.filter(F.lit(False))
+    return files.filter(F.col("_metadata.file_name").between(first, last))
+
+
+def newest_archive(files: DataFrame) -> DataFrame:
+    """The archive with the greatest path; dated names and folders sort by time.
+
+    The path is one value worked out from the listing, and only that file is opened.
+    """
+    path = files.agg(F.max("path")).first()[0]
+    name = path.rsplit("/", 1)[-1] if path else None
+    return named_between(files, name, name).filter(F.col("path") == F.lit(path))
+
+
 def lines_of(files: DataFrame) -> DataFrame:
     """Archive files to ``_raw_line, _source_file``, blank lines left out.
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from contextlib import contextmanager
 from functools import reduce
 
@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.contract import EVENTS, REJECTS_DDL, Contract
-from millrace.operators.upsert import delete_insert, upsert
+from millrace.operators.upsert import upsert, upsert_parts
 
 # table formats that carry out row-level changes themselves
 ROW_LEVEL_FORMATS = ("iceberg", "delta", "hudi")
@@ -82,16 +82,16 @@ def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(key, before)
 
 
-def overwrite_partitions(df: DataFrame, table: str, partition: str) -> None:
+def overwrite_partitions(df: DataFrame, table: str) -> None:
     """Replace exactly the partitions that occur in ``df``.
 
     Spark writes them beside the table and swaps them in when the job has succeeded, so
     ``df`` may read from the table it replaces.
     """
     spark = df.sparkSession
-    columns = spark.table(table).columns
     with _dynamic_overwrite(spark):
-        balanced(df.select(*columns), partition).write.insertInto(table, overwrite=True)
+        df.select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
+    spark.catalog.refreshTable(table)
 
 
 def rebuild(df: DataFrame, table: str) -> None:
@@ -122,14 +122,15 @@ def merge_partitions(
     batch: DataFrame,
     key: str,
     partition: str,
-    combine: Callable[[DataFrame, DataFrame], DataFrame],
+    recency: str | None = None,
 ) -> list[object]:
-    """Apply ``combine(target, batch)`` to the partitions the batch touches.
+    """MERGE ``batch`` into the partitions it touches, by rewriting just those.
 
     Touched are the partitions of the batch and those that hold a row with a key of the
     batch, since a row may move. The values collected are partition values, one per
-    touched partition. Only key, order and partition columns are read to find them, within
-    the key range of the batch, so files outside it are skipped.
+    touched partition. Only key and partition columns are read to find them, within the
+    key range of the batch, so files outside it are skipped. Rows that stay are written
+    back by the task that read them; only the batch is shuffled.
 
     A partition that loses its last row cannot be emptied by an overwrite. It is dropped
     first: all its rows are in the batch and come back with the overwrite, and should the
@@ -154,17 +155,18 @@ def merge_partitions(
 
     emptied: list[object] = []
     if any(row["moves"] for row in found):
-        after = combine(target.filter(within(partition, days)), batch)
+        after = upsert(target.filter(within(partition, days)), batch, key, recency)
         left = {row[0] for row in after.select(partition).distinct().collect()}
         emptied = [day for day in days if day not in left]
     for day in emptied:
         spec = _partition_spec(partition, day)
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
 
-    kept = [day for day in days if day not in emptied]
-    result = combine(spark.table(table).filter(within(partition, kept)), batch)
-    overwrite_partitions(result, table, partition)
-    spark.catalog.refreshTable(table)
+    remaining = [day for day in days if day not in emptied]
+    kept, taken = upsert_parts(
+        spark.table(table).filter(within(partition, remaining)), batch, key, recency
+    )
+    overwrite_partitions(kept.unionByName(balanced(taken, partition)), table)
     return days
 
 
@@ -183,19 +185,14 @@ def merge_newest(
         merge = batch.alias("batch").mergeInto(table, same)
         merge.whenMatched(guard).updateAll().whenNotMatched().insertAll().merge()
         return
-    merge_partitions(
-        spark, table, batch, key, partition, lambda t, s: upsert(t, s, key, recency)
-    )
+    merge_partitions(spark, table, batch, key, partition, recency)
 
 
 def replace_by_key(
     spark: SparkSession, table: str, batch: DataFrame, key: str, partition: str
 ) -> None:
     """Delete and insert by key within the touched partitions."""
-    if provider_of(spark, table) in ROW_LEVEL_FORMATS:
-        merge_newest(spark, table, batch, key, None, partition)
-        return
-    merge_partitions(spark, table, batch, key, partition, lambda t, s: delete_insert(t, s, key))
+    merge_newest(spark, table, batch, key, None, partition)
 
 
 def append_rejects(rejects: DataFrame, table: str) -> None:

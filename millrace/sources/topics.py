@@ -11,6 +11,9 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.sources.archives import lines_of, newest_archive
+from millrace.streaming.events import stream_events, to_messages
+
 MESSAGE_SCHEMA = "key binary, value binary"
 
 # acknowledged by all replicas and free of duplicates on retry, like any safe producer
@@ -59,12 +62,9 @@ def stream_topic(
 
 
 def publish_newest(
-    lines: DataFrame, root: str, batch: str, topic: str, broker: Mapping[str, str] | None = None
+    files: DataFrame, root: str, batch: str, topic: str, broker: Mapping[str, str] | None = None
 ) -> None:
-    """Send the events of the newest source file, one message per line."""
-    from millrace.sources.manifest import newest_batch
-    from millrace.streaming.events import stream_events, to_messages
-
-    newest = newest_batch(lines, "_source_file")
-    messages = to_messages(stream_events(newest)).withColumn("topic", F.lit(topic))
+    """Send the events of the newest archive, one message per line."""
+    lines = lines_of(newest_archive(files))
+    messages = to_messages(stream_events(lines)).withColumn("topic", F.lit(topic))
     publish(messages, root, batch, broker)

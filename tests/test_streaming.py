@@ -1,12 +1,15 @@
 from __future__ import annotations
 
 import json
+import uuid
+import zipfile
 
 import pytest
 from conftest import event_line
 from pyspark.sql import functions as F
 
 from millrace.session import scratch_root
+from millrace.sources.archives import archive_files, newest_archive
 from millrace.sources.topics import publish, publish_newest, read_topic, stream_topic
 from millrace.streaming.events import stream_events, to_messages
 from millrace.streaming.gate import gate, routed
@@ -129,8 +132,8 @@ def test_filter_on_the_outcome_does_not_decode_again(spark):
 
 
 @pytest.fixture
-def place(spark, request):
-    return f"{scratch_root(spark)}/{request.node.name}"
+def place(spark):
+    return f"{scratch_root(spark)}/{uuid.uuid4().hex}"
 
 
 def topic_values(spark, root, topic):
@@ -159,10 +162,21 @@ def test_run_and_restart_handle_each_message_once(spark, place):
     assert json.loads(dead[0])["_violations"] == ["quad_class_out_of_range"]
 
 
-def test_newest_file_is_published(spark, place, lines_of):
-    lines = lines_of([(event_line(global_event_id=i), f"2026010{i % 2 + 1}.export.CSV.zip") for i in range(6)])
-    publish_newest(lines, place, "0", "raw")
-    sent = [json.loads(v)["global_event_id"] for v in topic_values(spark, place, "raw")]
-    assert sorted(sent) == [1, 3, 5]
-    publish_newest(lines, place, "0", "raw")
-    assert len(topic_values(spark, place, "raw")) == 3
+def test_newest_archive_is_published(spark, place, tmp_path):
+    for day, ids in (("2026-01-01", (1, 2)), ("2026-01-02", (3, 4, 5))):
+        folder = tmp_path / "export" / f"dt={day}" / "hour=00"
+        folder.mkdir(parents=True)
+        with zipfile.ZipFile(folder / f"{day}.export.CSV.zip", "w") as container:
+            lines = [event_line(global_event_id=i) for i in ids]
+            container.writestr("x.CSV", "\n".join([*lines, "", "short\trow"]))
+    files = archive_files(spark, str(tmp_path / "export"))
+    for _ in range(2):
+        publish_newest(files, place, "0", "raw")
+        sent = [json.loads(v)["global_event_id"] for v in topic_values(spark, place, "raw")]
+        assert sorted(i for i in sent if i) == [3, 4, 5]
+        assert len(sent) == 4
+
+
+def test_nothing_to_publish(spark, tmp_path):
+    (tmp_path / "note.txt").write_text("no archive")
+    assert newest_archive(archive_files(spark, str(tmp_path))).count() == 0
