@@ -116,18 +116,26 @@ def feed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(FEED_SQL, **{name: table(spark, sf_dir, name) for name in names})
 
 
-def landed(spark: SparkSession, sf_dir: str, step: str, build: Callable[[], DataFrame],
-           partition: str) -> DataFrame:
+def landed(
+    spark: SparkSession,
+    sf_dir: str,
+    step: str,
+    build: Callable[[], DataFrame],
+    partition: str | None = None,
+) -> DataFrame:
     """A step of the pipeline as a table, written on first use in a session.
 
-    Bronze lines and silver events are tables that the later steps read, as they are in a
-    running pipeline; they are not worked out again by each query. They live below the
-    shared scratch folder of the cluster.
+    Bronze lines, silver events and the actor history are tables that later steps read, as
+    they are in a running pipeline; they are not worked out again by each query. They live
+    below the shared scratch folder of the cluster.
     """
     place = (spark.sparkContext.applicationId, sf_dir, step)
     if place not in _LANDED:
         path = f"{scratch_root(spark)}/millrace-{step}-{uuid.uuid4().hex}"
-        balanced(build(), partition).write.partitionBy(partition).parquet(path)
+        if partition is None:
+            build().write.parquet(path)
+        else:
+            balanced(build(), partition).write.partitionBy(partition).parquet(path)
         _LANDED[place] = path
     return spark.read.parquet(_LANDED[place])
 

@@ -23,20 +23,20 @@ def upsert_parts(
     in. The batch must hold one row per key, which the quality gate checks.
     """
     columns = target.columns
-    taken = batch.select(*columns)
-    if recency is not None:
-        held = (
-            target.join(batch.select(key).filter(F.col(key).isNotNull()), key, "left_semi")
-            .select(F.col(key).alias("_held_key"), F.col(recency).alias("_held_recency"))
-        )
-        newer = F.col(recency) >= F.col("_held_recency")
-        taken = (
-            taken.join(held, F.col(key) == F.col("_held_key"), "left")
-            .filter(F.col("_held_key").isNull() | newer)
-            .select(*columns)
-        )
-    kept = target.join(taken.select(key), key, "left_anti").select(*columns)
-    return kept, taken
+    rules = [key] if recency is None else [key, recency]
+    incoming = batch.select(*[F.col(name).alias(f"_in_{name}") for name in rules])
+    same_key = F.col(key) == F.col(f"_in_{key}")
+    if recency is None:
+        return target.join(incoming, same_key, "left_anti"), batch.select(*columns)
+    replaces = F.col(f"_in_{recency}") >= F.col(recency)
+    kept = target.join(incoming, same_key & replaces, "left_anti")
+    # key and recency of the matched target rows, renamed for the mirror image
+    held = target.join(incoming, same_key, "left_semi").select(
+        *[F.col(name).alias(f"_held_{name}") for name in rules]
+    )
+    current = F.coalesce(F.col(recency) >= F.col(f"_held_{recency}"), F.lit(False))
+    taken = batch.join(held, (F.col(key) == F.col(f"_held_{key}")) & ~current, "left_anti")
+    return kept, taken.select(*columns)
 
 
 def upsert(

@@ -14,7 +14,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.feed import bronze_lines, feed_lines, silver_events, table
+from millrace.feed import bronze_lines, feed_lines, landed, silver_events, table
 from millrace.operators import history, integrity, lines, quality, silver, star, upsert
 from millrace.operators.compaction import compact
 from millrace.plans.load_silver import load_silver
@@ -148,7 +148,11 @@ def _fact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Actor history after a snapshot of each batch."""
+    """Actor history after a snapshot of each batch, as a landed table."""
+    return landed(spark, sf_dir, "actor-history", lambda: _two_snapshots(spark, sf_dir))
+
+
+def _two_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = star.actor_attributes(_staged(spark, sf_dir, "first"))
     second = star.actor_attributes(_staged(spark, sf_dir, "second"))
     start = history.open_versions(first, F.lit(FIRST_SNAPSHOT))
@@ -310,7 +314,7 @@ def actor_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def actor_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _plain_time(_history(spark, sf_dir))
+    return _plain_time(_two_snapshots(spark, sf_dir))
 
 
 def actor_current(spark: SparkSession, sf_dir: str) -> DataFrame:
