@@ -12,6 +12,10 @@ WHITESPACE = (
     "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 )
 
+# the same characters as patterns: for text of any kind, and a quick one for plain ASCII
+_SPACES = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+"
+_ASCII_SPACES = r"[\t-\r\x1c-\x20]+"
+
 
 def clean(text: Column) -> Column:
     """Trim spaces; an empty field becomes NULL.
@@ -31,7 +35,11 @@ def strip(text: Column) -> Column:
 
 def words(text: Column) -> Column:
     """The parts of a text between runs of white space."""
-    return F.split(F.btrim(text, F.lit(WHITESPACE)), f"[{WHITESPACE}]+", -1)
+    trimmed = F.btrim(text, F.lit(WHITESPACE))
+    ascii_only = F.octet_length(trimmed) == F.char_length(trimmed)
+    return F.when(ascii_only, F.split(trimmed, _ASCII_SPACES, -1)).otherwise(
+        F.split(trimmed, _SPACES, -1)
+    )
 
 
 def is_blank(text: Column) -> Column:

@@ -11,7 +11,7 @@ import uuid
 from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.feed import bronze_lines, feed_lines, landed, silver_events, table
@@ -113,6 +113,11 @@ def _sql(spark: SparkSession, sf_dir: str, text: str, *names: str) -> DataFrame:
     return spark.sql(text, **{name: table(spark, sf_dir, name) for name in names})
 
 
+def _at(moment: datetime) -> Column:
+    """A time stamp of the session's own clock, whatever its time zone."""
+    return F.lit(str(moment)).cast("timestamp")
+
+
 def _plain_time(df: DataFrame) -> DataFrame:
     """Time stamps without zone, as the oracle has them."""
     stamps = [f.name for f in df.schema.fields if f.dataType.typeName() == "timestamp"]
@@ -155,8 +160,8 @@ def _history(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _two_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = star.actor_attributes(_staged(spark, sf_dir, "first"))
     second = star.actor_attributes(_staged(spark, sf_dir, "second"))
-    start = history.open_versions(first, F.lit(FIRST_SNAPSHOT))
-    return history.advance_history(start, second, F.lit(SECOND_SNAPSHOT))
+    start = history.open_versions(first, _at(FIRST_SNAPSHOT))
+    return history.advance_history(start, second, _at(SECOND_SNAPSHOT))
 
 
 def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -186,13 +191,13 @@ def index_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def index_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = manifest.of_feeds(_manifest(spark, sf_dir), ["export", "gkg"])
-    files = manifest.in_window(files, WINDOW_START, WINDOW_END)
+    files = manifest.in_window(files, _at(WINDOW_START), _at(WINDOW_END))
     return _plain_time(manifest.oldest_first(files))
 
 
 def index_not_landed(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = _manifest(spark, sf_dir)
-    landed = files.filter(F.col("file_ts") < F.lit(WINDOW_START))
+    landed = files.filter(F.col("file_ts") < _at(WINDOW_START))
     return _plain_time(manifest.not_landed(files, landed).select(*files.columns))
 
 
@@ -216,7 +221,10 @@ def landing_tally(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def feed_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
-    state = spark.createDataFrame(FEED_STATE, manifest.STATE_SCHEMA)
+    held = [(feed, str(moment)) for feed, moment in FEED_STATE]
+    state = spark.createDataFrame(held, "feed string, ts string").select(
+        "feed", F.col("ts").cast("timestamp").alias("ts")
+    )
     return _plain_time(manifest.advance_state(state, _manifest(spark, sf_dir)))
 
 
@@ -346,7 +354,7 @@ def star_rollup_by_root(spark: SparkSession, sf_dir: str) -> DataFrame:
     return star.star_rollup(
         star.fact_events(staged),
         star.dim_date(staged),
-        star.dim_actor(history.open_versions(attributes, F.lit(FIRST_SNAPSHOT))),
+        star.dim_actor(history.open_versions(attributes, _at(FIRST_SNAPSHOT))),
         star.dim_geography(staged),
         star.dim_cameo_event(staged, star.event_roots(spark)),
     )

@@ -44,6 +44,12 @@ def test_bad_index_lines_drop_out_alone(spark, bad):
     assert [r.feed for r in index(spark, bad, good).collect()] == ["gkg"]
 
 
+def test_parts_are_cut_at_any_white_space(spark):
+    line = f"\u00a017\u2003abc\x1c{BASE}/20260723121500.export.CSV.zip\u3000"
+    got = index(spark, line).first()
+    assert (got.size, got.md5, got.feed) == (17, "abc", "export")
+
+
 def test_feed_and_window(spark):
     files = index(spark, *[f"1 m {BASE}/2026072312{m}00.{f}.CSV.zip"
                            for m in ("30", "00", "15") for f in ("export", "mentions")])
