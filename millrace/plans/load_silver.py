@@ -25,10 +25,14 @@ class SchemaDriftError(RuntimeError):
 
 @dataclass(frozen=True)
 class LoadResult:
+    """Lines read, lines rejected, their spread, events of the batch and of the table."""
+
     total: int = 0
     malformed: int = 0
     distribution: dict[int, int] = field(default_factory=dict)
     report: Report | None = None
+    events: int = 0
+    table_events: int = 0
 
 
 def load_silver(
@@ -47,11 +51,11 @@ def load_silver(
     tune(spark)
     lines = lines.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        counts = field_count_distribution(lines, contract).collect()
-        total = sum(row["line_count"] for row in counts)
+        widths = field_count_distribution(lines, contract).collect()
+        total = sum(row["line_count"] for row in widths)
         spread = {
             row["_field_count"]: row["line_count"]
-            for row in counts
+            for row in widths
             if row["_field_count"] != contract.width
         }
         malformed = sum(spread.values())
@@ -73,8 +77,9 @@ def load_silver(
             report.raise_for_errors()
             create_silver(spark, table, contract)
             merge_newest(spark, table, silver, contract.key, contract.recency, contract.day)
+            counts = silver.count(), spark.table(table).count()
         finally:
             silver.unpersist()
-        return LoadResult(total, malformed, spread, report)
+        return LoadResult(total, malformed, spread, report, *counts)
     finally:
         lines.unpersist()

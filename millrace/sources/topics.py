@@ -6,9 +6,10 @@ as a whole, so a batch written again after a crash does not double anything.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.sources.archives import lines_of, newest_archive
@@ -25,13 +26,20 @@ def publish(
     root: str,
     batch: str,
     broker: Mapping[str, str] | None = None,
-) -> None:
-    """Write messages with a ``topic`` column in one job, however many topics there are."""
-    rows = messages.select("topic", "key", "value")
+) -> int:
+    """Write messages with a ``topic`` column in one job, however many topics there are.
+
+    Returns their number, counted while they are written.
+    """
+    sent = Observation(f"publish-{uuid.uuid4().hex}")
+    rows = messages.select("topic", "key", "value").observe(
+        sent, F.count(F.lit(1)).alias("messages")
+    )
     if broker is not None:
         rows.write.format("kafka").options(**_BROKER_SINK, **broker).save()
     else:
         rows.write.mode("overwrite").partitionBy("topic").parquet(f"{root}/batch={batch}")
+    return int(sent.get["messages"])
 
 
 def _folder(root: str, topic: str) -> str:
@@ -63,8 +71,8 @@ def stream_topic(
 
 def publish_newest(
     files: DataFrame, root: str, batch: str, topic: str, broker: Mapping[str, str] | None = None
-) -> None:
+) -> int:
     """Send the events of the newest archive, one message per line."""
     lines = lines_of(newest_archive(files))
     messages = to_messages(stream_events(lines)).withColumn("topic", F.lit(topic))
-    publish(messages, root, batch, broker)
+    return publish(messages, root, batch, broker)

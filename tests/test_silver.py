@@ -129,6 +129,7 @@ def test_drift_stops_above_the_limit_and_keeps_the_evidence(spark, schema, lines
     good, bad = [event(i) for i in range(95)], [f"bad {i}" for i in range(6)]
     at_limit = load_silver(spark, lines_of(good + bad[:5]), f"{schema}.events")
     assert (at_limit.total, at_limit.malformed, at_limit.distribution) == (100, 5, {1: 5})
+    assert (at_limit.events, at_limit.table_events) == (95, 95)
     assert spark.table(f"{schema}.events").count() == 95
     with pytest.raises(SchemaDriftError, match="6 of 100"):
         load_silver(spark, lines_of(good[:94] + bad), f"{schema}.other")

@@ -171,12 +171,14 @@ def test_newest_archive_is_published(spark, place, tmp_path):
             container.writestr("x.CSV", "\n".join([*lines, "", "short\trow"]))
     files = archive_files(spark, str(tmp_path / "export"))
     for _ in range(2):
-        publish_newest(files, place, "0", "raw")
+        assert publish_newest(files, place, "0", "raw") == 4
         sent = [json.loads(v)["global_event_id"] for v in topic_values(spark, place, "raw")]
         assert sorted(i for i in sent if i) == [3, 4, 5]
         assert len(sent) == 4
 
 
-def test_nothing_to_publish(spark, tmp_path):
+def test_nothing_to_publish(spark, place, tmp_path):
     (tmp_path / "note.txt").write_text("no archive")
-    assert newest_archive(archive_files(spark, str(tmp_path))).count() == 0
+    files = archive_files(spark, str(tmp_path))
+    assert newest_archive(files).count() == 0
+    assert publish_newest(files, place, "0", "raw") == 0
