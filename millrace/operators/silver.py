@@ -1,8 +1,8 @@
 """Bronze lines to silver events: newest line per key, then typing.
 
-The order matters at scale. A typed row is about twice as wide as the line it came from
-(61 slots of eight bytes before any text), so what is shuffled is the line plus the few
-fields that decide; only the winners are split and cast in full.
+The order matters at scale. A typed row takes 61 slots of eight bytes before any text, more
+than the line it came from, so what is shuffled is the line plus the few fields that decide;
+only the winners are split and cast in full.
 """
 
 from __future__ import annotations

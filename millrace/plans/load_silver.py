@@ -13,7 +13,7 @@ from millrace.operators.lines import conformant, field_count_distribution, rejec
 from millrace.operators.quality import SILVER_CHECKS, Check, Report, run_checks
 from millrace.operators.silver import to_silver
 from millrace.session import tune
-from millrace.sources.tables import append_rejects, create_silver, merge_newest
+from millrace.sources.tables import append_rejects, create_silver, merge_newest, rebuild
 
 # --- fixed value: share of malformed lines above which a load stops ---
 MAX_MALFORMED_RATE = 0.05
@@ -42,14 +42,19 @@ def load_silver(
     max_malformed_rate: float = MAX_MALFORMED_RATE,
     contract: Contract = EVENTS,
     checks: Sequence[Check] = SILVER_CHECKS,
+    keep_lines: bool = True,
 ) -> LoadResult:
     """Load one batch of lines. Running it again changes no contract column.
 
+    Lines are read three times. ``keep_lines`` spares archives from being opened as often;
+    turn it off for lines that are a table already.
+
     Lines that break the contract go to ``<table>_rejects`` before the rate is judged, so
     the evidence survives a stop. Total, malformed and their spread come from one pass.
     """
     tune(spark)
-    lines = lines.persist(StorageLevel.MEMORY_AND_DISK)
+    if keep_lines:
+        lines = lines.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         widths = field_count_distribution(lines, contract).collect()
         total = sum(row["line_count"] for row in widths)
@@ -70,8 +75,7 @@ def load_silver(
                 f"{contract.width} fields, limit {max_malformed_rate:.2%}; "
                 f"lines by field count: {spread}"
             )
-        silver = to_silver(conformant(lines, contract), contract)
-        silver = silver.persist(StorageLevel.MEMORY_AND_DISK)
+        silver = _written(to_silver(conformant(lines, contract), contract), f"{table}_batch")
         try:
             report = run_checks(silver, checks)
             report.raise_for_errors()
@@ -79,7 +83,20 @@ def load_silver(
             merge_newest(spark, table, silver, contract.key, contract.recency, contract.day)
             counts = silver.count(), spark.table(table).count()
         finally:
-            silver.unpersist()
+            spark.sql(f"DROP TABLE IF EXISTS {table}_batch")
         return LoadResult(total, malformed, spread, report, *counts)
     finally:
-        lines.unpersist()
+        if keep_lines:
+            lines.unpersist()
+
+
+def _written(silver: DataFrame, name: str) -> DataFrame:
+    """The typed batch as a table for the steps that read it.
+
+    Unlike a cached frame it survives the loss of an executor, its size is known to the
+    joins, and each step reads only its columns. A leftover of a dead run is overwritten.
+    """
+    if "." in name:
+        silver.sparkSession.sql(f"CREATE NAMESPACE IF NOT EXISTS {name.rsplit('.', 1)[0]}")
+    rebuild(silver, name)
+    return silver.sparkSession.table(name)

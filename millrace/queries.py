@@ -277,8 +277,8 @@ def silver_loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The silver table after loading the two batches one after the other."""
     name = f"{_scratch_schema(spark)}.events"
     feed = bronze_lines(spark, sf_dir)
-    load_silver(spark, feed.filter(F.col("_source_file") < SPLIT_FILE), name)
-    load_silver(spark, feed.filter(F.col("_source_file") >= SPLIT_FILE), name)
+    for batch in (F.col("_source_file") < SPLIT_FILE, F.col("_source_file") >= SPLIT_FILE):
+        load_silver(spark, feed.filter(batch), name, keep_lines=False)
     return _plain_time(spark.table(name).drop("_ingested_at"))
 
 
