@@ -49,14 +49,21 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_LOCAL_SCRATCH: dict[str, str] = {}
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder of the cluster for state that must outlive an executor.
 
-    Only where the cluster names none (a test on one machine) is a temporary folder made,
-    and it is then set on the session so that later calls agree.
+    Only a session on one machine, as in tests, may do without: it gets a temporary folder
+    of its own. A cluster has to name one.
     """
     configured = spark.conf.get(CHECKPOINT_KEY, None)
-    if not configured:
-        configured = tempfile.mkdtemp(prefix="millrace-scratch-")
-        spark.conf.set(CHECKPOINT_KEY, configured)
-    return configured.rstrip("/")
+    if configured:
+        return configured.rstrip("/")
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
+        raise ValueError(f"name a folder that all executors share in {CHECKPOINT_KEY}")
+    if context.applicationId not in _LOCAL_SCRATCH:
+        _LOCAL_SCRATCH[context.applicationId] = tempfile.mkdtemp(prefix="millrace-scratch-")
+    return _LOCAL_SCRATCH[context.applicationId]
