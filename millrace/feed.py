@@ -9,6 +9,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -130,13 +131,17 @@ def landed(
     below the shared scratch folder of the cluster.
     """
     place = (spark.sparkContext.applicationId, sf_dir, step)
-    if place not in _LANDED:
-        path = f"{scratch_root(spark)}/millrace-{step}-{uuid.uuid4().hex}"
-        if partition is None:
-            build().write.parquet(path)
-        else:
-            balanced(build(), partition).write.partitionBy(partition).parquet(path)
-        _LANDED[place] = path
+    if place in _LANDED:
+        try:
+            return spark.read.parquet(_LANDED[place])
+        except AnalysisException:  # the scratch folder was cleared: land again
+            del _LANDED[place]
+    path = f"{scratch_root(spark)}/millrace-{step}-{uuid.uuid4().hex}"
+    if partition is None:
+        build().write.parquet(path)
+    else:
+        balanced(build(), partition).write.partitionBy(partition).parquet(path)
+    _LANDED[place] = path
     return spark.read.parquet(_LANDED[place])
 
 
