@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from millrace.llm import toxicity
 from millrace.llm.exact import exact_groups
 
 
@@ -16,8 +18,26 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"), keep="largest")
 
 
+def _remainder() -> Column:
+    """crc32 of the id written as text, modulo 5; NULL for a NULL id."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A toxicity score of every document, learned outside fold 0 only.
+
+    A document without id belongs to no fold that may be learned from.
+    """
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    learn = _remainder() != 0
+    model = toxicity.train(docs.where(learn), table(spark, sf_dir, "labels").where(learn))
+    held_out = F.coalesce(_remainder() == 0, F.lit(True)).alias("held_out")
+    return toxicity.score(docs, model).select("doc_id", held_out, "score", "predicted")
+
+
 LLM_QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op10_toxicity": op10_toxicity,
 }
 
 LLM_ORACLE = {
