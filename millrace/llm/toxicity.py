@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from millrace.llm.words import split, utf8
 
@@ -188,7 +189,9 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     these names in ``docs`` are replaced.
     """
     kept = docs.drop("score", "predicted")
-    schema = kept.schema.add("score", "double").add("predicted", "int")
+    schema = StructType(
+        [*kept.schema, StructField("score", DoubleType()), StructField("predicted", IntegerType())]
+    )
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
