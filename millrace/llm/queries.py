@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import toxicity
+from millrace.llm import minhash, toxicity
 from millrace.llm.exact import exact_groups
 
 
@@ -18,6 +18,11 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"), keep="largest")
 
 
+def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its class of equal shingles and its group of near-duplicates."""
+    return minhash.near_groups(table(spark, sf_dir, "documents"))
+
+
 def _remainder() -> Column:
     """crc32 of the id written as text, modulo 5; NULL for a NULL id."""
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5
@@ -37,6 +42,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op4_minhash": op4_minhash,
     "op10_toxicity": op10_toxicity,
 }
 

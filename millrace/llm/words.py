@@ -7,6 +7,7 @@ at a time, and 24 bytes per word.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -126,3 +127,15 @@ def grams(words: Words, n: int, *, short: bool = True) -> tuple[np.ndarray, np.n
             here = np.where(at + k < last, here, np.uint64(0x5851F42D4C957F2D))
         code = mix(code * np.uint64(0xD6E8FEB86659FD93) + here)
     return code, bounds
+
+
+def slices(texts: list[bytes], most: int = 1 << 20) -> Iterator[tuple[int, int]]:
+    """Bounds of runs of texts of about ``most`` bytes each, one text at least: bounds memory."""
+    begin = size = 0
+    for i, text in enumerate(texts):
+        if size and size + len(text) > most:
+            yield begin, i
+            begin, size = i, 0
+        size += len(text) + 1
+    if begin < len(texts):
+        yield begin, len(texts)
