@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import minhash, toxicity
+from millrace.llm import minhash, mixing, toxicity
 from millrace.llm.exact import exact_groups
 
 
@@ -23,6 +23,40 @@ def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_groups(table(spark, sf_dir, "documents"))
 
 
+# Target weights by language and quality label ("1" is the better one): good text first, and the
+# other languages lifted a little against English.
+TARGETS = {
+    "en-1": 0.50, "en-0": 0.04,
+    "de-1": 0.16, "de-0": 0.01,
+    "fr-1": 0.16, "fr-0": 0.01,
+    "es-1": 0.11, "es-0": 0.01,
+}
+
+
+def labelled_domains(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``doc_id, domain``: language and quality of the labelled documents."""
+    known = labels.where("quality IS NOT NULL").select("doc_id", "quality")
+    domain = F.concat_ws("-", "lang", F.col("quality").cast("int").cast("string"))
+    return docs.where("lang IS NOT NULL").select("doc_id", "lang").join(known, "doc_id").select(
+        "doc_id", domain.alias("domain")
+    )
+
+
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its tokens, likeliest domain and fitted rate.
+
+    Rates bring the expected tokens of eight domains (language and quality) to ``TARGETS`` at the
+    token total there is.
+    """
+    docs = table(spark, sf_dir, "documents")
+    labelled = labelled_domains(docs, table(spark, sf_dir, "labels"))
+    names = F.array(*map(F.lit, TARGETS))
+    best = F.array_position("p", F.array_max("p")).cast("int")
+    return mixing.mix(docs, labelled, TARGETS).select(
+        "doc_id", "n_tokens", F.element_at(names, best).alias("domain"), F.array_max("p").alias("posterior"), "rate"
+    )
+
+
 def _remainder() -> Column:
     """crc32 of the id written as text, modulo 5; NULL for a NULL id."""
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5
@@ -43,6 +77,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 LLM_QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op4_minhash": op4_minhash,
+    "op6_mixing": op6_mixing,
     "op10_toxicity": op10_toxicity,
 }
 
