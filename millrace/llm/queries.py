@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import minhash, mixing, toxicity
+from millrace.llm import minhash, mixing, packing, toxicity
 from millrace.llm.exact import exact_groups
 
 
@@ -18,6 +19,12 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"), keep="largest")
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document and its place in a sequence of at most 2048 tokens."""
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer, with_ids=False)
+
+
 def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its class of equal shingles and its group of near-duplicates."""
     return minhash.near_groups(table(spark, sf_dir, "documents"))
@@ -76,6 +83,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_packing": op2_packing,
     "op4_minhash": op4_minhash,
     "op6_mixing": op6_mixing,
     "op10_toxicity": op10_toxicity,
