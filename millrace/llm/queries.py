@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import minhash, mixing, packing, toxicity
+from millrace.llm import language_model, minhash, mixing, packing, substrings, toxicity
 from millrace.llm.exact import exact_groups
 
 
@@ -25,6 +25,17 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer, with_ids=False)
 
 
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's log10 probability, learned outside fold 1 only.
+
+    A document without id belongs to no fold that may be learned from.
+    """
+    scored = language_model.score(table(spark, sf_dir, "documents"), _remainder() != 1)
+    return scored.select(
+        "doc_id", (~F.col("trains")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its class of equal shingles and its group of near-duplicates."""
     return minhash.near_groups(table(spark, sf_dir, "documents"))
@@ -64,6 +75,11 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with what is left of it when windows of smaller documents are taken out."""
+    return substrings.drop_repeats(table(spark, sf_dir, "documents"), with_text=False)
+
+
 def _remainder() -> Column:
     """crc32 of the id written as text, modulo 5; NULL for a NULL id."""
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5
@@ -84,8 +100,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 LLM_QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_packing": op2_packing,
+    "op3_lm_scoring": op3_lm_scoring,
     "op4_minhash": op4_minhash,
     "op6_mixing": op6_mixing,
+    "op7_substring_dedup": op7_substring_dedup,
     "op10_toxicity": op10_toxicity,
 }
 
