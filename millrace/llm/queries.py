@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import language_model, minhash, mixing, packing, substrings, toxicity
+from millrace.llm import language_model, minhash, mixing, packing, secrets, substrings, toxicity
 from millrace.llm.exact import exact_groups
 
 
@@ -80,6 +80,26 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.drop_repeats(table(spark, sf_dir, "documents"), with_text=False)
 
 
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document: counts of the fixed patterns, a digest of them, and all spans."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secrets.scan(docs, secrets.train(docs))
+
+    def joined(spans: Column) -> Column:
+        one = lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))
+        return F.array_join(F.transform(spans, one), ",")
+
+    base = F.filter("spans", lambda s: s["kind"] != "crf")
+
+    def number(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [number(kind) for kind in secrets.PATTERNS]
+    return found.select(
+        "doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans")
+    )
+
+
 def _remainder() -> Column:
     """crc32 of the id written as text, modulo 5; NULL for a NULL id."""
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5
@@ -104,6 +124,7 @@ LLM_QUERIES = {
     "op4_minhash": op4_minhash,
     "op6_mixing": op6_mixing,
     "op7_substring_dedup": op7_substring_dedup,
+    "op9_secrets": op9_secrets,
     "op10_toxicity": op10_toxicity,
 }
 
