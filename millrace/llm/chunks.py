@@ -84,3 +84,56 @@ def asked_table(chunk: int, buckets: list[int], rows: list[bytes]) -> pa.Table:
     return pa.table(
         {"chunk": numbers, "bucket": pa.array(buckets, pa.int64()), "asked": pa.array(rows, pa.binary())}
     )
+
+
+def planes(values: np.ndarray) -> bytes:
+    """Numbers as compressed byte planes: small ones cost little."""
+    return pack_bytes(values.view(np.uint8).reshape(len(values), values.itemsize).T.tobytes())
+
+
+def from_planes(data: bytes, kind: type) -> np.ndarray:
+    raw = np.frombuffer(unpack_bytes(data), np.uint8)
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(raw.reshape(size, -1).T).view(kind).ravel()
+
+
+def bucket_edges(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which buckets sorted ``keys`` fall into, and where each begins; a bucket is a key range."""
+    number = ((keys >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+    names, at = np.unique(number, return_index=True)
+    return names.astype(np.int64), np.append(at, len(keys))
+
+
+def ask_counts(chunk: int, keys: np.ndarray, times: np.ndarray, buckets: int) -> pa.Table:
+    """A chunk's sorted distinct keys and their counts in it, for the buckets that add them up."""
+    names, at = bucket_edges(keys, buckets)
+    rows = []
+    for a, b in zip(at, at[1:]):
+        packed = planes(np.diff(keys[a:b], prepend=np.uint64(0)))
+        rows.append(np.int64(len(packed)).tobytes() + packed + planes(times[a:b].astype(np.uint32)))
+    return asked_table(chunk, names.tolist(), rows)
+
+
+def asked_counts(block: bytes) -> tuple[np.ndarray, np.ndarray]:
+    size = int(np.frombuffer(block[:8], np.int64)[0])
+    return np.cumsum(from_planes(block[8 : 8 + size], np.uint64)), from_planes(block[8 + size :], np.uint32)
+
+
+def add_counts(table: pa.Table) -> pa.Table:
+    """Sums over all chunks of each key, for each chunk in its own order."""
+    keys, times = zip(*(asked_counts(b.as_py()) for b in table["asked"]))
+    distinct, group = np.unique(np.concatenate(keys), return_inverse=True)
+    total = np.bincount(group, np.concatenate(times), len(distinct)).astype(np.int64)[group]
+    bounds = np.cumsum([0, *map(len, keys)])
+    answers = [planes(total[a:b]) for a, b in zip(bounds, bounds[1:])]
+    return pa.table({"chunk": table["chunk"], "bucket": table["bucket"], "answer": pa.array(answers, pa.binary())})
+
+
+def answered_counts(keys: np.ndarray, answers: pa.Table, buckets: int) -> np.ndarray:
+    """The sums for a chunk's sorted distinct ``keys``."""
+    by_bucket = dict(zip(answers["bucket"].to_pylist(), answers["answer"].to_pylist()))
+    names, at = bucket_edges(keys, buckets)
+    counts = np.zeros(len(keys), np.int64)
+    for name, a, b in zip(names.tolist(), at, at[1:]):
+        counts[a:b] = from_planes(by_bucket[name], np.int64)
+    return counts

@@ -9,8 +9,10 @@ the logarithm of a multiplicity. Points later than a limit cannot matter and are
 
 Texts with equal multisets form a class with one representative. Representatives meet in bands of
 the signature, and each is compared with the smallest of its bucket, so a bucket costs as many
-comparisons as members. Whatever then still lies in one bucket but in two components is compared
-pair by pair, so no link of a bucket is lost. Comparisons count the whole multisets.
+comparisons as members. What then still lies in one bucket but in two components, as texts around
+one common passage do, is not paired off: an exact prefix filter finds the pairs that can be links
+at all, by rare shingles they must share. So no link of a bucket is lost. Comparisons count the
+whole multisets.
 """
 
 from __future__ import annotations
@@ -23,8 +25,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm.chunks import (
+    ANSWERED,
+    ASKED,
+    add_counts,
+    answered_counts,
+    ask_counts,
+    chunk_count,
+    deal,
+    in_order,
+)
 from millrace.llm.components import components
-from millrace.llm.scratch import landed
+from millrace.llm.scratch import landed, only
 from millrace.llm.words import grams, mix, slices, split, uniform, utf8
 
 
@@ -131,12 +143,8 @@ def sign(docs: DataFrame, settings: Settings) -> DataFrame:
     return slim.mapInArrow(rows, _SIGNED)
 
 
-def linked(pairs: DataFrame, docs: DataFrame, settings: Settings) -> DataFrame:
+def linked(pairs: DataFrame, texts: DataFrame, settings: Settings) -> DataFrame:
     """Those of ``pairs (a, b)`` whose multisets overlap enough, counted exactly."""
-    pairs = landed(pairs, "minhash-pairs")
-    ends = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    texts = landed(texts.join(ends, "doc_id", "left_semi"), "minhash-texts")
     both = pairs.join(texts.toDF("a", "text_a"), "a").join(texts.toDF("b", "text_b"), "b")
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -160,6 +168,52 @@ def linked(pairs: DataFrame, docs: DataFrame, settings: Settings) -> DataFrame:
     return both.select("a", "b", "text_a", "text_b").mapInArrow(rows, "a long, b long").distinct()
 
 
+def _elements(texts: list[bytes], words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Each text's multiset as a set: an occurrence of a shingle and its number. Bounds by text."""
+    code, times, bounds = multisets(texts, words)
+    nth = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+    total = np.concatenate([[0], np.cumsum(times)])
+    return mix(np.repeat(code, times) + mix(nth.astype(np.uint64))), total[bounds]
+
+
+_PREFIX = "element long, doc_id long"
+
+
+def prefixes(texts: DataFrame, settings: Settings) -> DataFrame:
+    """``element, doc_id``: the rare elements of each text that any link of its must share.
+
+    Elements are ordered by the number of these texts that hold them. Two texts of the similarity
+    share one of the first ``n - ceil(similarity * n) + 1`` of either (prefix filter), and one that
+    only one text holds joins nothing.
+    """
+    chunks = chunk_count(texts)
+    buckets, dealt = 2 * chunks, deal(texts, chunks)
+
+    def ask(table: pa.Table) -> pa.Table:
+        keys, times = np.unique(_elements(in_order(table)[1], settings.words)[0], return_counts=True)
+        return ask_counts(table["chunk"][0].as_py(), keys, times, buckets)
+
+    def finish(mine: pa.Table, said: pa.Table) -> pa.Table:
+        ids, texts = in_order(mine)
+        element, bounds = _elements(texts, settings.words)
+        keys, place = np.unique(element, return_inverse=True)
+        held = answered_counts(keys, said, buckets)[place]
+        sizes = np.diff(bounds)
+        owner = np.repeat(np.arange(len(ids)), sizes)
+        order = np.lexsort((element, held, owner))
+        rank = np.arange(len(element)) - np.repeat(bounds[:-1], sizes)
+        length = sizes - np.ceil(settings.similarity * sizes - 1e-9).astype(np.int64) + 1
+        used = order[(rank < length[owner]) & (held[order] > 1)]
+        return pa.table({
+            "element": pa.array(element[used].view(np.int64)),
+            "doc_id": pa.array(np.array(ids, np.int64)[owner[used]]),
+        })
+
+    said = dealt.groupBy("chunk").applyInArrow(ask, ASKED).groupBy("bucket").applyInArrow(add_counts, ANSWERED)
+    said = said.repartition(chunks, "chunk")
+    return dealt.groupBy("chunk").cogroup(said.groupBy("chunk")).applyInArrow(finish, _PREFIX)
+
+
 def near_groups(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """One row per row of ``docs (doc_id, text)``: class and component of near-duplicates.
 
@@ -181,24 +235,29 @@ def near_groups(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     leaders = members.groupBy("key").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("z"))
     shared = leaders.where("a < z").drop("z")
     buckets = landed(members.join(shared, "key"), "minhash-buckets")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    texts = landed(only(texts, buckets.select("doc_id").distinct(), "doc_id").distinct(), "minhash-texts")
     star = buckets.where("a < doc_id").select("a", F.col("doc_id").alias("b")).distinct()
-    links = landed(linked(star, docs, settings), "minhash-links")
+    links = landed(linked(star, texts, settings), "minhash-links")
     found = components(links)
 
-    # what shares a bucket but no component: compared pair by pair
+    # what shares a bucket but no component: found by the rare elements that a link must share
     placed = buckets.drop("a").join(found.toDF("doc_id", "c"), "doc_id", "left")
     placed = placed.withColumn("c", F.coalesce("c", "doc_id"))
     split_keys = placed.groupBy("key").agg(F.min("c").alias("x"), F.max("c").alias("y")).where("x < y")
-    open_rows = landed(placed.join(split_keys.select("key"), "key", "left_semi"), "minhash-open")
-    one, two = (open_rows.toDF("key", *(f"{c}{i}" for c in ("d", "s", "c"))) for i in (1, 2))
+    open_docs = placed.join(split_keys.select("key"), "key", "left_semi").select("doc_id", "c", "size")
+    open_docs = landed(open_docs.distinct(), "minhash-open")
+    rare = prefixes(only(texts, open_docs.select("doc_id"), "doc_id"), settings).join(open_docs, "doc_id")
+    rare = landed(rare.select("element", "doc_id", "size", "c"), "minhash-rare")
+    one, two = (rare.toDF("element", *(f"{x}{i}" for x in ("d", "s", "c"))) for i in (1, 2))
     apart = (
-        one.join(two, "key")
+        one.join(two, "element")
         .where("c1 <> c2 AND d1 < d2")
         .where(F.least("s1", "s2") >= settings.similarity * F.greatest("s1", "s2"))
         .select(F.col("d1").alias("a"), F.col("d2").alias("b"))
         .distinct()
     )
-    more = linked(apart.join(star, ["a", "b"], "left_anti"), docs, settings)
+    more = linked(apart, texts, settings)
     found = landed(components(links.union(more)).toDF("class_id", "component_id"), "minhash-found")
 
     out = signed.select("doc_id", "size", *keys).join(
