@@ -176,15 +176,16 @@ def _elements(texts: list[bytes], words: int) -> tuple[np.ndarray, np.ndarray]:
     return mix(np.repeat(code, times) + mix(nth.astype(np.uint64))), total[bounds]
 
 
-_PREFIX = "element long, doc_id long"
+_PREFIX = "element long, doc_id long, rest long"
 
 
 def prefixes(texts: DataFrame, settings: Settings) -> DataFrame:
-    """``element, doc_id``: the rare elements of each text that any link of its must share.
+    """``element, doc_id, rest``: the rare elements of each text that any link of its must share.
 
     Elements are ordered by the number of these texts that hold them. Two texts of the similarity
     share one of the first ``n - ceil(similarity * n) + 1`` of either (prefix filter), and one that
-    only one text holds joins nothing.
+    only one text holds joins nothing. ``rest`` counts the text's elements from this one on: two
+    texts whose first common element this is have at most the smaller rest in common.
     """
     chunks = chunk_count(texts)
     buckets, dealt = 2 * chunks, deal(texts, chunks)
@@ -207,6 +208,7 @@ def prefixes(texts: DataFrame, settings: Settings) -> DataFrame:
         return pa.table({
             "element": pa.array(element[used].view(np.int64)),
             "doc_id": pa.array(np.array(ids, np.int64)[owner[used]]),
+            "rest": pa.array((sizes[owner] - rank)[(rank < length[owner]) & (held[order] > 1)]),
         })
 
     said = dealt.groupBy("chunk").applyInArrow(ask, ASKED).groupBy("bucket").applyInArrow(add_counts, ANSWERED)
@@ -248,12 +250,13 @@ def near_groups(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     open_docs = placed.join(split_keys.select("key"), "key", "left_semi").select("doc_id", "c", "size")
     open_docs = landed(open_docs.distinct(), "minhash-open")
     rare = prefixes(only(texts, open_docs.select("doc_id"), "doc_id"), settings).join(open_docs, "doc_id")
-    rare = landed(rare.select("element", "doc_id", "size", "c"), "minhash-rare")
-    one, two = (rare.toDF("element", *(f"{x}{i}" for x in ("d", "s", "c"))) for i in (1, 2))
+    rare = landed(rare.select("element", "doc_id", "size", "c", "rest"), "minhash-rare")
+    one, two = (rare.toDF("element", *(f"{x}{i}" for x in ("d", "s", "c", "r"))) for i in (1, 2))
+    overlap = settings.similarity / (1 + settings.similarity)
     apart = (
         one.join(two, "element")
         .where("c1 <> c2 AND d1 < d2")
-        .where(F.least("s1", "s2") >= settings.similarity * F.greatest("s1", "s2"))
+        .where(F.least("r1", "r2") >= overlap * (F.col("s1") + F.col("s2")) - 1e-6)
         .select(F.col("d1").alias("a"), F.col("d2").alias("b"))
         .distinct()
     )
