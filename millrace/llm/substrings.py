@@ -37,7 +37,7 @@ from millrace.llm.words import Words, grams, mix, powers, split
 class Settings:
     width: int = 50
     seed: int = 8
-    chunk_bytes: int = 16 << 20
+    chunk_bytes: int = 5 << 20
 
 
 def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
@@ -137,8 +137,11 @@ def earlier(strings: list[bytes], smallest: np.ndarray, width: int) -> tuple[np.
     raw, begin, end = words.data.tobytes(), words.start[start], words.end[start + width - 1]
     members = np.flatnonzero(~new)
     mine, heads = order[members], order[at[group[members]]]
-    spans = zip(*(x.tolist() for x in (begin[mine], end[mine], begin[heads], end[heads])))
-    same = np.fromiter((raw[a:b] == raw[c:d] for a, b, c, d in spans), bool, len(members))
+    same = np.ones(len(members), bool)
+    for at_once in range(0, len(members), 1 << 14):
+        part = slice(at_once, at_once + (1 << 14))
+        spans = zip(*(x.tolist() for x in (begin[mine[part]], end[mine[part]], begin[heads[part]], end[heads[part]])))
+        same[part] = [raw[a:b] == raw[c:d] for a, b, c, d in spans]
     flags = np.zeros(len(start), bool)
     flags[order] = least[group] < doc[order]
     for g in np.unique(group[members[~same]]):
