@@ -21,7 +21,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.chunks import ASKED, asked_table, chunk_count, deal, in_order, pack_bytes, unpack_bytes
+from millrace.llm.chunks import (
+    ASKED,
+    ask_counts,
+    asked_counts,
+    bucket_edges,
+    chunk_count,
+    deal,
+    from_planes,
+    in_order,
+    planes,
+)
 from millrace.llm.scratch import landed
 from millrace.llm.words import mix, split
 
@@ -41,7 +51,7 @@ class Settings:
     order: int = 2
     deleted: int = 10
     rounds: int = 60
-    chunk_bytes: int = 16 << 20
+    chunk_bytes: int = 6 << 20
 
 
 @dataclass(frozen=True)
@@ -54,17 +64,6 @@ class Totals:
     known: int
 
 
-def _planes(values: np.ndarray) -> bytes:
-    """Numbers as compressed byte planes: small ones cost little."""
-    return pack_bytes(values.view(np.uint8).reshape(len(values), values.itemsize).T.tobytes())
-
-
-def _from_planes(data: bytes, kind: type) -> np.ndarray:
-    raw = np.frombuffer(unpack_bytes(data), np.uint8)
-    size = np.dtype(kind).itemsize
-    return np.ascontiguousarray(raw.reshape(size, -1).T).view(kind).ravel()
-
-
 class Tokens:
     """The n-grams of a chunk's documents: a distinct sorted key list, and each token's places in it.
 
@@ -119,22 +118,6 @@ def context_bucket(context: np.ndarray) -> np.ndarray:
     return np.where(context > 0, 1 + np.floor(np.log2(np.maximum(context, 1))), 0).astype(np.int64)
 
 
-def bucket_edges(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """Which buckets sorted ``keys`` fall into, and where each begins; a bucket is a key range."""
-    number = ((keys >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
-    names, at = np.unique(number, return_index=True)
-    return names.astype(np.int64), np.append(at, len(keys))
-
-
-def _asked(chunk: int, tokens: Tokens, buckets: int) -> pa.Table:
-    names, at = bucket_edges(tokens.keys, buckets)
-    rows = []
-    for a, b in zip(at, at[1:]):
-        keys = _planes(np.diff(tokens.keys[a:b], prepend=np.uint64(0)))
-        rows.append(np.int64(len(keys)).tobytes() + keys + _planes(tokens.times[a:b].astype(np.uint32)))
-    return asked_table(chunk, names.tolist(), rows)
-
-
 _ANSWERED = "chunk long, bucket long, answer binary, tokens_part long, known_part long, tokens long, known long"
 
 
@@ -144,25 +127,20 @@ def _answers(table: pa.Table, kinds: tuple[int, int]) -> pa.Table:
     Chunks below ``kinds[0]`` count in both sums, those below ``kinds[1]`` in the full one only.
     """
     chunks = table["chunk"].to_pylist()
-    keys, times = [], []
-    for block in table["asked"]:
-        data = block.as_py()
-        size = int(np.frombuffer(data[:8], np.int64)[0])
-        keys.append(np.cumsum(_from_planes(data[8 : 8 + size], np.uint64)))
-        times.append(_from_planes(data[8 + size :], np.uint32).astype(np.int64))
+    keys, times = zip(*(asked_counts(b.as_py()) for b in table["asked"]))
     sizes = [len(k) for k in keys]
     owner = np.repeat(chunks, sizes)
     distinct, group = np.unique(np.concatenate(keys), return_inverse=True)
-    times = np.concatenate(times)
+    times = np.concatenate(times).astype(np.int64)
     part = np.bincount(group, np.where(owner < kinds[0], times, 0), len(distinct)).astype(np.int64)
     full = np.bincount(group, np.where(owner < kinds[1], times, 0), len(distinct)).astype(np.int64)
     single = (distinct & np.uint64(3)) == 0
     totals = [part[single].sum(), (part[single] > 0).sum(), full[single].sum(), (full[single] > 0).sum()]
     answers = []
     for chunk, a, b in zip(chunks, np.cumsum(sizes) - sizes, np.cumsum(sizes)):
-        answer = _planes(full[group[a:b]])
+        answer = planes(full[group[a:b]])
         if kinds[0] <= chunk < kinds[1]:
-            answer = np.int64(len(answer)).tobytes() + answer + _planes(part[group[a:b]])
+            answer = np.int64(len(answer)).tobytes() + answer + planes(part[group[a:b]])
         else:
             answer = np.int64(len(answer)).tobytes() + answer
         answers.append(answer)
@@ -180,7 +158,7 @@ def _counts(tokens: Tokens, answers: pa.Table, buckets: int, *, part: bool = Fal
     for name, a, b in zip(names.tolist(), at, at[1:]):
         answer = by_bucket[name]
         size = int(np.frombuffer(answer[:8], np.int64)[0])
-        counts[a:b] = _from_planes(answer[8 + size :] if part else answer[8 : 8 + size], np.int64)
+        counts[a:b] = from_planes(answer[8 + size :] if part else answer[8 : 8 + size], np.int64)
     return counts
 
 
@@ -240,10 +218,11 @@ def score(docs: DataFrame, trains: Column, settings: Settings = Settings()) -> D
         .when(train, count + F.pmod(spread, F.lit(deleted)))
         .otherwise(kinds[1] + F.pmod(spread, F.lit(chunks - kinds[1])))
     )
-    buckets = 2 * chunks
+    buckets = chunks
 
     def ask(table: pa.Table) -> pa.Table:
-        return _asked(table["chunk"][0].as_py(), Tokens(in_order(table)[1], order), buckets)
+        tokens = Tokens(in_order(table)[1], order)
+        return ask_counts(table["chunk"][0].as_py(), tokens.keys, tokens.times, buckets)
 
     def reply(table: pa.Table) -> pa.Table:
         return _answers(table, kinds)
