@@ -6,7 +6,17 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import language_model, minhash, mixing, packing, secrets, substrings, toxicity
+from millrace.llm import (
+    language_model,
+    main_text,
+    minhash,
+    mixing,
+    packing,
+    secrets,
+    substrings,
+    toxicity,
+    vectors,
+)
 from millrace.llm.exact import exact_groups
 
 
@@ -41,6 +51,11 @@ def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_groups(table(spark, sf_dir, "documents"))
 
 
+def op5_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every embedding with its links at cosine 0.9 and its group."""
+    return vectors.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 # Target weights by language and quality label ("1" is the better one): good text first, and the
 # other languages lifted a little against English.
 TARGETS = {
@@ -80,6 +95,12 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.drop_repeats(table(spark, sf_dir, "documents"), with_text=False)
 
 
+def op8_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    pages = table(spark, sf_dir, "pages")
+    return main_text.extract(pages, main_text.train(pages))
+
+
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document: counts of the fixed patterns, a digest of them, and all spans."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -122,8 +143,10 @@ LLM_QUERIES = {
     "op2_packing": op2_packing,
     "op3_lm_scoring": op3_lm_scoring,
     "op4_minhash": op4_minhash,
+    "op5_vectors": op5_vectors,
     "op6_mixing": op6_mixing,
     "op7_substring_dedup": op7_substring_dedup,
+    "op8_main_text": op8_main_text,
     "op9_secrets": op9_secrets,
     "op10_toxicity": op10_toxicity,
 }
