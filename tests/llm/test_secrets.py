@@ -1,0 +1,90 @@
+from __future__ import annotations
+
+import random
+import re
+from itertools import product
+
+import numpy as np
+
+from millrace.llm import secrets
+
+SLOW = {"assign": (secrets.PATTERNS["assign"][0], 2, 12), "access": (re.compile("AKIA[A-Z0-9]+"), 0, 18),
+        "hex": (re.compile("[0-9a-f]+"), 0, 16)}
+
+
+def slow_spans(text):
+    found = []
+    for rank, (kind, (pattern, group, least)) in enumerate(SLOW.items()):
+        found += [(m.start(group), rank, m.end(group), kind) for m in pattern.finditer(text) if len(m[group]) >= least]
+    return [(s, e, k) for s, _, e, k in sorted(found)]
+
+
+def test_patterns_as_written():
+    dice = random.Random(2)
+    parts = ["token", "API_KEY", "apikey", "password", "Secret", "=", ": ", '"', "'", " ", "é", "AKIA", "ABCDEF0123456789",
+             "deadbeef", "0123456789abcdef", "xyz", "AKIAAKIA", "\n", "ſecret", "KelvinK", "."]
+    for _ in range(3000):
+        text = "".join(dice.choice(parts) for _ in range(dice.randrange(0, 14)))
+        assert secrets.base_spans(text, text.encode()) == slow_spans(text)
+
+
+def test_viterbi_finds_the_best_path():
+    dice = np.random.default_rng(1)
+    for _ in range(200):
+        sizes = dice.integers(0, 6, 3)
+        first = np.concatenate([[0], np.cumsum(sizes)])
+        scores = dice.normal(size=(first[-1], 3)) * dice.choice([1, 8])
+        transition = dice.normal(size=(3, 3))
+        tags = secrets.decode(scores, first, transition)
+        for a, b in zip(first, first[1:]):
+            def worth(path):
+                return sum(scores[a + k, y] for k, y in enumerate(path)) + sum(
+                    transition[x, y] for x, y in zip(path, path[1:])
+                )
+            best = max(product(range(3), repeat=b - a), key=worth)
+            assert abs(worth(tuple(tags[a:b])) - worth(best)) < 1e-9
+
+
+def made(n, seed):
+    dice = random.Random(seed)
+    rows, truth = [], {}
+    for i in range(n):
+        words = [dice.choice("alpha beta gamma delta token of the 12 2024 x9".split()) for _ in range(60)]
+        if i % 3 == 0:
+            key = "".join(dice.choice("0123456789abcdef") for _ in range(32))
+            at = dice.randrange(60)
+            words[at:at] = ["token", "=", f'"{key}"']
+            truth[i] = key
+        rows.append((i, " ".join(words)))
+    return rows, truth
+
+
+def test_field_finds_what_patterns_do_not(spark, docs_of):
+    rows, _ = made(300, 1)
+    model = secrets.train(docs_of(rows))
+    key = "0A1b9C2d8E3f7A4b6C5d0E1f9A2b8C3d"  # upper and lower case: no pattern has it
+    text = f'alpha beta the token = "{key[:7]}" of'
+    odd = [(1000, f"alpha beta é api-key = {key} of the gamma"), (1001, None), (1002, ""), (1003, "beta " * 60_000), (None, text)]
+    got = {r.doc_id: [(s.kind, s.start, s.end) for s in r.spans] for r in secrets.scan(docs_of(odd), model).collect()}
+    assert got[1001] == got[1002] == got[1003] == []
+    held, truth = made(150, 2)
+    out = secrets.scan(docs_of(held), model).collect()
+    texts = dict(held)
+    for r in out:
+        kinds = {s.kind for s in r.spans}
+        assert kinds == ({"assign", "hex"} if r.doc_id in truth else set())
+        for s in r.spans:
+            assert texts[r.doc_id][s.start : s.end] == truth[r.doc_id]
+    # without the patterns the field alone finds nearly all held-out secrets and nothing else
+    words, active = secrets.features([t.encode() for _, t in held])
+    scores = model.emission[active].sum(axis=1)
+    tags = secrets.decode(scores, words.first, model.transition)
+    hit = {int(d) for d in words.text_of()[tags > 0]}
+    wanted = {k for k, (i, _) in enumerate(held) if i in truth}
+    assert len(hit & wanted) >= 0.95 * len(wanted) and len(hit - wanted) <= 1
+
+
+def test_nothing_to_learn(spark, docs_of):
+    model = secrets.train(docs_of([(1, "plain words"), (2, None)]))
+    assert [r.spans for r in secrets.scan(docs_of([(1, "more plain words")]), model).collect()] == [[]]
+    assert secrets.scan(docs_of([]), secrets.train(docs_of([]))).count() == 0
