@@ -6,11 +6,11 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 
 from millrace.contract import EVENTS, Contract
 from millrace.operators.lines import conformant, field_count_distribution, rejects
-from millrace.operators.quality import SILVER_CHECKS, Check, Report, run_checks
+from millrace.operators.quality import SILVER_CHECKS, Check, hold_back
 from millrace.operators.silver import to_silver
 from millrace.session import tune
 from millrace.sources.tables import append_rejects, create_silver, merge_newest, rebuild
@@ -30,7 +30,7 @@ class LoadResult:
     total: int = 0
     malformed: int = 0
     distribution: dict[int, int] = field(default_factory=dict)
-    report: Report | None = None
+    checks: list[Row] = field(default_factory=list)
     events: int = 0
     table_events: int = 0
 
@@ -77,14 +77,13 @@ def load_silver(
             )
         silver = _written(to_silver(conformant(lines, contract), contract), f"{table}_batch")
         try:
-            report = run_checks(silver, checks)
-            report.raise_for_errors()
+            checked = hold_back(silver, checks)
             create_silver(spark, table, contract)
             merge_newest(spark, table, silver, contract.key, contract.recency, contract.day)
             counts = silver.count(), spark.table(table).count()
         finally:
             spark.sql(f"DROP TABLE IF EXISTS {table}_batch")
-        return LoadResult(total, malformed, spread, report, *counts)
+        return LoadResult(total, malformed, spread, checked, *counts)
     finally:
         if keep_lines:
             lines.unpersist()

@@ -15,26 +15,26 @@ from millrace.functions.text import strip
 from millrace.operators.lines import field, with_fields
 
 # --- fixed values: fields of a stream event in wire order, their kind, their source ---
-EVENT_FIELDS = """
-global_event_id integer global_event_id
-event_day day sql_date
-actor1_name text actor1_name
-actor2_name text actor2_name
-actor1_country_code text actor1_country_code
-actor2_country_code text actor2_country_code
-event_code text event_code
-event_root_code text event_root_code
-quad_class integer quad_class
-goldstein_scale decimal goldstein_scale
-num_mentions integer num_mentions
-avg_tone decimal avg_tone
-action_country_code text action_geo_country_code
-action_location text action_geo_fullname
-action_lat decimal action_geo_lat
-action_long decimal action_geo_long
-date_added text date_added
-source_url text source_url
-"""
+EVENT_FIELDS = (
+    ("global_event_id", "integer", "global_event_id"),
+    ("event_day", "day", "sql_date"),
+    ("actor1_name", "text", "actor1_name"),
+    ("actor2_name", "text", "actor2_name"),
+    ("actor1_country_code", "text", "actor1_country_code"),
+    ("actor2_country_code", "text", "actor2_country_code"),
+    ("event_code", "text", "event_code"),
+    ("event_root_code", "text", "event_root_code"),
+    ("quad_class", "integer", "quad_class"),
+    ("goldstein_scale", "decimal", "goldstein_scale"),
+    ("num_mentions", "integer", "num_mentions"),
+    ("avg_tone", "decimal", "avg_tone"),
+    ("action_country_code", "text", "action_geo_country_code"),
+    ("action_location", "text", "action_geo_fullname"),
+    ("action_lat", "decimal", "action_geo_lat"),
+    ("action_long", "decimal", "action_geo_long"),
+    ("date_added", "text", "date_added"),
+    ("source_url", "text", "source_url"),
+)
 
 
 def _sliced_day(raw: Column) -> Column:
@@ -55,8 +55,9 @@ _KINDS = {
 
 def stream_events(lines: DataFrame) -> DataFrame:
     """One event per line."""
-    rows = [row.split() for row in EVENT_FIELDS.strip().splitlines()]
-    return with_fields(lines).select(*[_KINDS[kind](field(source)).alias(name) for name, kind, source in rows])
+    return with_fields(lines).select(
+        *[_KINDS[kind](field(source)).alias(name) for name, kind, source in EVENT_FIELDS]
+    )
 
 
 def country_key(event: DataFrame) -> Column:

@@ -6,17 +6,11 @@ import pytest
 from conftest import event_line
 
 from millrace.contract import EVENTS
-from millrace.operators.quality import (
-    SILVER_CHECKS,
-    Check,
-    QualityError,
-    check_frame,
-    run_checks,
-)
+from millrace.operators.quality import SILVER_CHECKS, Check, QualityError, check_frame, hold_back
 from millrace.operators.silver import to_silver, type_lines
 from millrace.plans.load_silver import SchemaDriftError, load_silver
 
-DAY = "20260724"
+DAY = "20250318"
 
 
 def event(key, added=f"{DAY}120000", **fields):
@@ -25,15 +19,12 @@ def event(key, added=f"{DAY}120000", **fields):
 
 
 def test_types_and_empty_fields(lines_of):
-    got = to_silver(lines_of([event(100, avg_tone="1.5", actor1_name="  X ")])).first()
-    assert got.global_event_id == 100
-    assert got.sql_date == dt.date(2026, 7, 24)
-    assert got.date_added == dt.datetime(2026, 7, 24, 12)
-    assert got.goldstein_scale is None
-    assert got.avg_tone == 1.5
-    assert got.actor1_name == "X"
-    assert got._source_file == "f.zip"
-    assert got._ingested_at is not None
+    line = event(71, f"{DAY}094501", num_articles="12", goldstein_scale="-4.25", event_code=" 0871")
+    got = to_silver(lines_of([(line, "march.zip")])).first()
+    assert (got.global_event_id, got.num_articles, got.goldstein_scale) == (71, 12, -4.25)
+    assert (got.sql_date, got.date_added) == (dt.date(2025, 3, 18), dt.datetime(2025, 3, 18, 9, 45, 1))
+    assert (got.event_code, got.avg_tone, got.actor2_code) == ("0871", None, None)
+    assert got._source_file == "march.zip" and got._ingested_at is not None
 
 
 def test_column_order_is_the_contract(lines_of):
@@ -53,13 +44,13 @@ def test_integer_rule(lines_of, text, value):
     assert type_lines(lines_of([event(1, num_mentions=text)])).first().num_mentions == value
 
 
-@pytest.mark.parametrize("text", ["2026072", "20261345", "2026-07-24", "abc", "202607240"])
+@pytest.mark.parametrize("text", ["2025031", "20250230", "18.03.2025", "today", "020250318"])
 def test_bad_date_is_null(lines_of, text):
     assert type_lines(lines_of([event(1, sql_date=text)])).first().sql_date is None
 
 
 def test_newest_wins_and_ties_are_settled(lines_of):
-    older, newer = event(1, f"{DAY}120000", avg_tone=1), event(1, f"{DAY}130000", avg_tone=9)
+    older, newer = event(1, f"{DAY}083000", avg_tone=1), event(1, f"{DAY}084500", avg_tone=9)
     undated = event(1, "", avg_tone=5)
     assert to_silver(lines_of([older, newer, undated])).first().avg_tone == 9
     tied = [(event(2, avg_tone=1), "a.zip"), (event(2, avg_tone=2), "b.zip")]
@@ -87,42 +78,39 @@ QUALITY = (
     "global_event_id bigint, sql_date date, quad_class int, goldstein_scale double, "
     "avg_tone double, num_articles int, action_geo_lat double, action_geo_long double"
 )
-GOOD = (dt.date(2026, 7, 24), 1, 2.5, 10.0, 3, 40.0, -70.0)
+FINE = (dt.date(2025, 3, 18), 3, -6.5, -2.75, 44, -33.9, 151.2)
+
+
+def failed(rows):
+    return {r["check_name"]: r["failures"] for r in rows if not r["passed"]}
 
 
 def test_clean_rows_pass(spark):
-    report = run_checks(spark.createDataFrame([(1, *GOOD), (2, *GOOD)], QUALITY))
-    assert report.failed == []
-    assert len(report.results) == len(SILVER_CHECKS)
-    report.raise_for_errors()
+    rows = hold_back(spark.createDataFrame([(k, *FINE) for k in range(5)], QUALITY))
+    assert failed(rows) == {} and len(rows) == len(SILVER_CHECKS)
 
 
 def test_errors_stop_and_warnings_do_not(spark):
-    rows = [(1, *GOOD), (1, *GOOD), (None, GOOD[0], 9, *GOOD[2:])]
-    report = run_checks(spark.createDataFrame(rows, QUALITY))
-    assert {r.name for r in report.failed_errors} == {
-        "expect_global_event_id_not_null",
-        "expect_global_event_id_unique",
-        "expect_quad_class_in_set",
-    }
-    with pytest.raises(QualityError, match="expect_quad_class_in_set=1"):
-        report.raise_for_errors()
-    warned = run_checks(
-        spark.createDataFrame([(1, GOOD[0], 1, 99.0, *GOOD[3:])], QUALITY)
-    )
-    assert [r.name for r in warned.failed] == ["expect_goldstein_scale_between_-10.0_and_10.0"]
-    assert "FAIL[warn]" in warned.summary()
-    warned.raise_for_errors()
+    rows = [(8, *FINE), (8, *FINE), (8, *FINE), (None, None, 0, *FINE[2:])]
+    table = spark.createDataFrame(rows, QUALITY)
+    assert failed(check_frame(table).collect()) == {
+        "global_event_id: not null": 1, "global_event_id: unique": 2, "sql_date: not null": 1, "quad_class: in set": 1,
+    }
+    with pytest.raises(QualityError, match="'quad_class: in set': 1"):
+        hold_back(table)
+    odd = [(1, FINE[0], 2, 10.5, -100.5, -1, 90.5, 180.5), (2, *FINE)]
+    warned = hold_back(spark.createDataFrame(odd, QUALITY))
+    assert set(failed(warned)) == {c.label() for c in SILVER_CHECKS if c.severity == "warn"}
 
 
 def test_suite_edges(spark):
     empty = spark.createDataFrame([], QUALITY)
-    assert all(r.passed for r in run_checks(empty).results)
+    assert failed(hold_back(empty)) == {}
     assert check_frame(empty, []).count() == 0
     with pytest.raises(ValueError, match="unknown kind"):
-        run_checks(empty, [Check("odd", "sql_date")])
-    nan = spark.createDataFrame([(float("nan"),), (None,), (10.0,), (-10.0,)], "x double")
-    assert run_checks(nan, [Check("between", "x", low=-10, high=10)]).results[0].failures == 1
+        hold_back(empty, [Check("odd", "sql_date")])
+    nan = spark.createDataFrame([(float("nan"),), (None,), (7.0,), (-7.0,)], "x double")
+    assert check_frame(nan, [Check("between", "x", low=-7, high=7)]).first()["failures"] == 1
 
 
 def test_drift_stops_above_the_limit_and_keeps_the_evidence(spark, schema, lines_of):
