@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
-from millrace.llm.words import split, utf8
+from millrace.llm.words import slices, split, utf8
 
 BITS = 18
 _PREFIXES = (4, 5)
@@ -34,8 +34,8 @@ _PREFIXES = (4, 5)
 class Settings:
     """Bounds and step sizes of the training."""
 
-    max_positive: int = 2000
-    max_unlabelled: int = 6000
+    max_positive: int = 1500
+    max_unlabelled: int = 5000
     steps: int = 400
     rate: float = 0.2
     decay: float = 1e-4
@@ -48,8 +48,11 @@ class Model:
     bias: float
 
     def scores(self, texts: list[bytes]) -> np.ndarray:
-        index, bounds = features(texts)
-        return _sigmoid(self.bias + _row_sums(self.weights[index], bounds))
+        found = [np.zeros(0)]
+        for a, b in slices(texts):
+            index, bounds = features(texts[a:b])
+            found.append(_sigmoid(self.bias + _row_sums(self.weights[index], bounds)))
+        return np.concatenate(found)
 
 
 def features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -127,11 +130,11 @@ def _telling(parts: list[tuple[np.ndarray, np.ndarray]], min_z: float) -> np.nda
     """Which features are in clearly more, or clearly fewer, texts of P than of U."""
     shares, sizes = [], []
     for index, bounds in parts:
-        rows = len(bounds) - 1
-        owner = np.repeat(np.arange(rows, dtype=np.int64), np.diff(bounds))
-        once = np.unique((owner << BITS) | index) & ((1 << BITS) - 1)
-        shares.append(np.bincount(once, minlength=1 << BITS))
-        sizes.append(rows)
+        share = np.zeros(1 << BITS, np.int64)
+        for begin, end in zip(bounds, bounds[1:]):
+            share[np.unique(index[begin:end])] += 1
+        shares.append(share)
+        sizes.append(len(bounds) - 1)
     pooled = np.clip(sum(shares) / sum(sizes), 1e-12, 1 - 1e-12)
     spread = np.sqrt(pooled * (1 - pooled) * sum(1 / n for n in sizes))
     return np.abs(shares[0] / sizes[0] - shares[1] / sizes[1]) >= min_z * spread
@@ -148,8 +151,10 @@ def _packed(frame: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            index, bounds = features(utf8(batch.column("text")))
-            parts = [index[a:b].tobytes() for a, b in zip(bounds, bounds[1:])]
+            texts, parts = utf8(batch.column("text")), []
+            for low, high in slices(texts):
+                index, bounds = features(texts[low:high])
+                parts.extend(index[a:b].tobytes() for a, b in zip(bounds, bounds[1:]))
             yield pa.record_batch([batch.column("doc_id"), pa.array(parts, pa.binary())], ["doc_id", "f"])
 
     found = frame.select("doc_id", "text").mapInArrow(rows, "doc_id long, f binary").collect()
