@@ -148,14 +148,19 @@ def landed(
 _LANDED: dict[tuple[str, str, str], str] = {}
 
 
-def bronze_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def bronze_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The feed as a landed table with one folder per day, ``dt`` taken from the file name."""
 
     def build() -> DataFrame:
         day = F.to_date(F.substring("_source_file", 1, 8), "yyyyMMdd")
         return feed_lines(spark, sf_dir).withColumn("dt", day)
 
-    return landed(spark, sf_dir, "lines", build, "dt").select("_raw_line", "_source_file")
+    return landed(spark, sf_dir, "lines", build, "dt").select("_raw_line", "_source_file", "dt")
+
+
+def bronze_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The landed lines without their day."""
+    return bronze_days(spark, sf_dir).drop("dt")
 
 
 def silver_events(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.sources.tables import balanced, location_of, overwrite_partitions, within
+from millrace.sources.tables import location_of, overwrite_partitions, within
 
 
 def partition_files(spark: SparkSession, location: str, partition: str) -> DataFrame:
@@ -36,16 +36,22 @@ def compact(
     min_files: int = 2,
     target_bytes: int = 128 * 1024 * 1024,
 ) -> list[object]:
-    """Rewrite fragmented partitions into files near the advisory size; returns them.
+    """Rewrite fragmented partitions into files of about ``target_bytes``; returns them.
 
-    Rows are grouped by partition with a rebalance, so a partition that holds a third of
-    the table is written by many tasks and a small one by part of a task.
+    Rows of a partition are dealt over as many tasks as its bytes on disk call for, so one that
+    holds a third of the table is written by many tasks, and afterwards it has no more files than
+    the rule asks for: a second run finds nothing to do.
     """
     found = fragmented(
         partition_files(spark, location_of(spark, table), partition), min_files, target_bytes
     )
-    days = [row[0] for row in found.select(partition).collect()]
-    if days:
+    wanted = {row[partition]: max(1, row["byte_count"] // target_bytes) for row in found.collect()}
+    if wanted:
+        days = list(wanted)
         rows = spark.table(table).filter(within(partition, days))
-        overwrite_partitions(balanced(rows, partition), table)
-    return days
+        files = F.lit(wanted[None] if None in wanted else 1)
+        for day, count in wanted.items():
+            files = F.when(F.col(partition) == F.lit(day), F.lit(count)).otherwise(files) if day is not None else files
+        dealt = rows.withColumn("_file", F.pmod(F.xxhash64(*rows.columns), files))
+        overwrite_partitions(dealt.repartition(sum(wanted.values()), partition, "_file"), table)
+    return list(wanted)

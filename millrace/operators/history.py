@@ -13,7 +13,7 @@ HISTORY_COLUMNS = ("scd_id", "updated_at", "valid_from", "valid_to")
 
 
 def _version_id(key: Column, since: Column) -> Column:
-    return F.md5(F.concat_ws("|", key, F.date_format(since, "yyyy-MM-dd HH:mm:ss")))
+    return F.md5(F.concat_ws("|", key, F.date_format(since, "yyyy-MM-dd HH:mm:ss.SSSSSS")))
 
 
 def open_versions(

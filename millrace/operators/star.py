@@ -5,10 +5,11 @@ from __future__ import annotations
 from datetime import datetime
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.contract import EVENT_ROOT_SCHEMA, EVENT_ROOTS, GEO_TYPE_NAMES, GEO_TYPE_OTHER
+from millrace.functions.instants import instant
 from millrace.functions.keys import (
     day_key,
     day_label,
@@ -228,14 +229,14 @@ def dim_actor(history: DataFrame) -> DataFrame:
     )
 
 
-def fact_events(staged: DataFrame, loaded_until: datetime = FLOOR) -> DataFrame:
+def fact_events(staged: DataFrame, loaded_until: datetime | Column = FLOOR) -> DataFrame:
     """Fact rows added strictly after ``loaded_until``; keys need no lookup join.
 
     The limit is a literal, so it is pushed into the scan. Rows without ``date_added``
     never enter.
     """
     place = place_key(F.col("action_geo_feature_id"), F.col("action_geo_fullname"))
-    return staged.filter(F.col("date_added") > F.lit(loaded_until)).select(
+    return staged.filter(F.col("date_added") > instant(loaded_until)).select(
         F.col("global_event_id").alias("event_key"),
         day_key(F.col("sql_date")).alias("date_key"),
         hash_key(F.col("actor1_code")).alias("actor1_key"),
@@ -256,7 +257,7 @@ def fact_events(staged: DataFrame, loaded_until: datetime = FLOOR) -> DataFrame:
 
 def high_water(fact: DataFrame) -> DataFrame:
     """One row: the newest ``date_added`` in the fact, or the floor."""
-    newest = F.coalesce(F.max("date_added"), F.lit(FLOOR).cast("timestamp"))
+    newest = F.coalesce(F.max("date_added"), instant(FLOOR))
     return fact.agg(newest.alias("loaded_until"))
 
 

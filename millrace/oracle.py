@@ -141,7 +141,7 @@ _VERSION = ", ".join(("actor_code", *_ATTRIBUTES))
 def _opened(alias: str, source: str, since: str, where: str = "true") -> str:
     columns = ", ".join(f"{alias}.{c}" for c in ("actor_code", *_ATTRIBUTES))
     return f"""
-      select {columns}, md5({alias}.actor_code || '|' || strftime({since}, '%Y-%m-%d %H:%M:%S'))
+      select {columns}, md5({alias}.actor_code || '|' || strftime({since}, '%Y-%m-%d %H:%M:%S.%f'))
           as scd_id,
         {since} as updated_at, {since} as valid_from, cast(null as timestamp) as valid_to
       from {source} where {where}"""
@@ -159,6 +159,7 @@ _STEPS: dict[str, tuple[tuple[str, ...], str]] = {
         f"select {_TYPED_LIST}, _source_file, _raw_line from fields where n = 61",
     ),
     "silver": (("typed",), _newest("true")),
+    "silver_of_day": (("typed",), _newest("substr(_source_file, 1, 8) = '20240115'")),
     "silver_first": (("typed",), _newest(f"_source_file < '{SPLIT_FILE}'")),
     "silver_second": (("typed",), _newest(f"_source_file >= '{SPLIT_FILE}'")),
     "staged": (("silver",), _staged("silver")),
@@ -417,7 +418,6 @@ ORACLE: dict[str, str] = {
         on s.feed = m.feed""",
         "manifest",
     ),
-    "feed_lines_built": _query("select * from feed", "feed"),
     "newest_batch": _query(
         "select * from feed where _source_file = (select max(_source_file) from feed)", "feed"
     ),
@@ -445,6 +445,7 @@ ORACLE: dict[str, str] = {
     "latest_per_key": _query("select * from silver", "silver"),
     "quality_suite": _query(_checks("silver"), "silver"),
     "quality_suite_before_dedup": _query(_checks("typed"), "typed"),
+    "day_reprocess": _query("select * from silver_of_day", "silver_of_day"),
     "silver_loaded": _query("select * from silver", "silver"),
     "upsert_newest": _query(
         """select coalesce(t.o_orderkey, s.o_orderkey) as o_orderkey,
@@ -555,7 +556,7 @@ ORACLE: dict[str, str] = {
     "compact_partitions": _query(
         f"""select substr(_source_file, 1, 8) as day,
         count(*) + count(*) filter (where _source_file < '{SPLIT_FILE}') as row_count,
-        cast(1 as bigint) as file_count from feed group by 1""",
+        true as settled from feed group by 1""",
         "feed",
     ),
     "flagship": _query(
@@ -565,3 +566,7 @@ ORACLE: dict[str, str] = {
         "fact",
     ),
 }
+
+ORACLE["fact_table_loaded"] = ORACLE["fact_incremental"]
+ORACLE["rejects_loaded"] = ORACLE["contract_rejects"]
+ORACLE["actor_history_table"] = ORACLE["actor_history"]

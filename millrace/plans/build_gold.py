@@ -7,6 +7,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.functions.instants import instant, micros
 from millrace.operators import star
 from millrace.operators.history import advance_history, open_versions
 from millrace.operators.integrity import duplicates, nulls, orphans, unaccepted
@@ -28,18 +29,29 @@ def load_fact(
     full_refresh: bool = False,
     lookback: timedelta = timedelta(0),
 ) -> None:
-    """Add events newer than the newest in the fact; re-published ones replace their row.
+    """Add events newer than the newest loaded so far; re-published ones replace their row.
 
-    The fact is partitioned by day, so a load rewrites the days it touches and not the
-    table. ``lookback`` lowers the limit for late files; a full refresh starts over.
+    The fact is partitioned by day, so a load rewrites the days it touches and not the table.
+    The mark is kept in a table of its own, ``<table>_mark``, as microseconds: the fact is not
+    read for it, and it never becomes a local time of the driver. It is written last; a load that
+    dies before is repeated by the next. ``lookback`` lowers the limit for late files; a full
+    refresh starts over.
     """
+    mark = f"{table}_mark"
     if full_refresh:
         spark.sql(f"DROP TABLE IF EXISTS {table}")
+        spark.sql(f"DROP TABLE IF EXISTS {mark}")
     create_table(spark, table, _ddl(star.fact_events(staged)), FACT_PARTITION)
-    loaded = star.high_water(spark.table(table)).first()["loaded_until"]
-    since = loaded - lookback if loaded - star.FLOOR > lookback else star.FLOOR
-    batch = star.fact_events(staged, since)
+    create_table(spark, mark, "loaded_micros bigint")
+    loaded = spark.table(mark).agg(F.max("loaded_micros")).first()[0]
+    if loaded is None:  # a fact from before there was a mark, or none
+        loaded = star.high_water(spark.table(table)).select(F.unix_micros("loaded_until")).first()[0]
+    since = max(loaded - lookback // timedelta(microseconds=1), micros(star.FLOOR))
+    batch = star.fact_events(staged, F.timestamp_micros(F.lit(since)))
     replace_by_key(spark, table, batch, "event_key", FACT_PARTITION)
+    newest = batch.agg(F.unix_micros(F.max("date_added")).alias("m")).first()["m"]
+    if newest is not None and newest > loaded:
+        spark.createDataFrame([(newest,)], "loaded_micros bigint").write.insertInto(mark, overwrite=True)
 
 
 def snapshot_actors(
@@ -47,7 +59,7 @@ def snapshot_actors(
 ) -> None:
     """Advance the actor history. Closed versions sit in a partition of their own that is
     only added to; the open ones are replaced."""
-    moment = F.lit(as_of).cast("timestamp")
+    moment = instant(as_of)
     shape = open_versions(attributes, moment).withColumn(HISTORY_PARTITION, F.lit(True))
     create_table(spark, table, _ddl(shape), HISTORY_PARTITION)
     held = spark.table(table)
@@ -58,10 +70,9 @@ def snapshot_actors(
     columns = held.columns
     closed = moved.filter(~F.col(HISTORY_PARTITION))
     # a run that died after this step finds its closed versions already there
-    known = held.filter(~F.col(HISTORY_PARTITION)).select("scd_id")
-    closed.join(known, "scd_id", "left_anti").select(*columns).write.mode("append").insertInto(
-        table
-    )
+    version = ["actor_code", "valid_from"]
+    known = held.filter(~F.col(HISTORY_PARTITION)).select(*version)
+    closed.join(known, version, "left_anti").select(*columns).write.mode("append").insertInto(table)
     overwrite_partitions(moved.filter(F.col(HISTORY_PARTITION)), table)
 
 

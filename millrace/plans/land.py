@@ -2,79 +2,109 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Iterator
+from itertools import islice
+
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.text import base_name
-from millrace.sources.archives import archive_files, lines_of, named_between
-from millrace.sources.manifest import (
-    STATE_SCHEMA,
-    advance_state,
-    checksums,
-    feed_of,
-    not_landed,
-    stamp_of,
-    tally,
-    verify,
-)
-from millrace.sources.tables import balanced, create_table
+from millrace.sources.archives import ANY_ARCHIVE, archive_files, checked_lines
+from millrace.sources.manifest import STATE_SCHEMA, advance_state, feed_of, not_landed, stamp_of
+from millrace.sources.tables import balanced, create_table, within
 
 LANDED_DDL = "file_name string, file_ts timestamp, feed string"
+FAILED_DDL = "path string, length bigint, changed timestamp"
 LINES_DDL = "_raw_line string, _source_file string, feed string, dt date, hour int"
 
 
 def land(
-    spark: SparkSession, manifest: DataFrame, drop: str, lines_table: str, state_table: str
+    spark: SparkSession,
+    manifest: DataFrame,
+    drop: str,
+    lines_table: str,
+    state_table: str,
+    suffix: str = ANY_ARCHIVE,
+    chunk: int = 10_000,
 ) -> dict[str, int]:
     """Check the files in ``drop`` against the manifest and land the new ones as lines.
 
-    The list of landed files is what makes a re-run skip, so a file is recorded last. A file
-    with a wrong checksum fails alone. Returns how many files were landed, skipped and failed.
+    Names are compared on the listing alone; only files that are wanted are opened, each once, at
+    most ``chunk`` of them in a step. A file with a wrong checksum, or a name that is in ``drop``
+    twice, fails alone; it is remembered by path, size and time of change and not opened again
+    until it changes. The list of landed files is what makes a re-run skip, so a file is recorded
+    last. Returns how many files were landed, skipped and failed.
     """
     create_table(spark, lines_table, LINES_DDL, "feed, dt, hour")
     create_table(spark, f"{lines_table}_files", LANDED_DDL, "feed")
+    create_table(spark, f"{lines_table}_failed", FAILED_DDL)
     create_table(spark, state_table, STATE_SCHEMA)
     landed = spark.table(f"{lines_table}_files")
-    # only files in the span of what is not landed yet are opened
-    first, last = (
-        not_landed(manifest, landed).agg(F.min("file_name"), F.max("file_name")).first()
+    missing = not_landed(manifest, landed).select("feed", "file_name", "file_ts", "md5").distinct()
+    counts = {
+        "landed": 0,
+        "skipped": manifest.select("feed", "file_name").distinct().count(),
+        "failed": missing.count(),
+    }
+    counts["skipped"] -= counts["failed"]
+    listing = archive_files(spark, drop, suffix).select(
+        base_name(F.col("path")).alias("file_name"),
+        "path",
+        "length",
+        F.col("modificationTime").alias("changed"),
     )
-    files = named_between(archive_files(spark, drop), first, last)
-    outcome = verify(manifest, checksums(files), landed).persist()
+    once = listing.groupBy("file_name").agg(F.count(F.lit(1)).alias("n")).filter("n = 1").drop("n")
+    wanted = missing.join(listing.join(once, "file_name", "left_semi"), "file_name")
+    wanted = wanted.join(spark.table(f"{lines_table}_failed"), ["path", "length", "changed"], "left_anti")
+    for files in _chunks(wanted.orderBy("file_name").toLocalIterator(), chunk):
+        counts["landed"] += _land_chunk(spark, files, lines_table, state_table)
+    counts["failed"] -= counts["landed"]
+    return counts
+
+
+def _chunks(rows: Iterator[Row], size: int) -> Iterator[list[Row]]:
+    while part := list(islice(rows, size)):
+        yield part
+
+
+def _land_chunk(spark: SparkSession, files: list[Row], lines_table: str, state_table: str) -> int:
+    """Lines of one chunk of files, then its failures, the marks and the list of landed files."""
+    # paths come from the listing, so no pattern is left to expand
+    paths = archive_files(spark, [_literal(f["path"]) for f in files], "*")
+    opened = checked_lines(paths, {f["file_name"]: f["md5"] for f in files}).persist(StorageLevel.DISK_ONLY)
     try:
-        # Everything is taken from the outcome before files are recorded: it reads the list
-        # of landed files, and Spark refreshes it once that list has grown.
-        counts = tally(outcome).first().asDict()
-        new = outcome.filter(F.col("status") == "landed")
-        # one row per feed, read before its own table is overwritten
-        state = advance_state(spark.table(state_table), new).collect()
-        _append_lines(spark, files, new, lines_table)
-        spark.createDataFrame(state, STATE_SCHEMA).write.insertInto(state_table, overwrite=True)
-        recorded = spark.table(f"{lines_table}_files").columns
-        new.select(*recorded).coalesce(1).write.mode("append").insertInto(f"{lines_table}_files")
-        return counts
+        digests = {r["_source_file"]: r["digest"] for r in opened.filter("_raw_line IS NULL").collect()}
+        good = [f for f in files if digests.get(f["file_name"]) != "broken" and f["md5"] in ("", digests.get(f["file_name"]))]
+        bad = [(f["path"], f["length"], f["changed"]) for f in files if f not in good]
+        name = F.col("_source_file")
+        lines = opened.filter("_raw_line IS NOT NULL").select(
+            "_raw_line",
+            "_source_file",
+            feed_of(name).alias("feed"),
+            F.to_date(stamp_of(name)).alias("dt"),
+            F.hour(stamp_of(name)).alias("hour"),
+        )
+        # lines that are there already come from a run that died before recording their file
+        days = [r[0] for r in lines.select("dt").distinct().collect()]
+        held = spark.table(lines_table).filter(within("dt", days)).select("_source_file").distinct()
+        columns = spark.table(lines_table).columns
+        fresh = lines.join(held, "_source_file", "left_anti").select(*columns)
+        balanced(fresh, "dt").write.mode("append").insertInto(lines_table)
+        if bad:
+            spark.createDataFrame(bad, FAILED_DDL).write.mode("append").insertInto(f"{lines_table}_failed")
+        if good:
+            new = spark.createDataFrame([(f["file_name"], f["file_ts"], f["feed"]) for f in good], LANDED_DDL)
+            # one row per feed, read before its own table is overwritten
+            state = advance_state(spark.table(state_table), new).collect()
+            spark.createDataFrame(state, STATE_SCHEMA).write.insertInto(state_table, overwrite=True)
+            recorded = spark.table(f"{lines_table}_files").columns
+            new.select(*recorded).write.mode("append").insertInto(f"{lines_table}_files")
+        return len(good)
     finally:
-        outcome.unpersist()
+        opened.unpersist()
 
 
-def _append_lines(spark: SparkSession, files: DataFrame, new: DataFrame, table: str) -> None:
-    """Lines of the new files; a file is chosen before it is opened.
-
-    Where a line belongs follows from its file name, so lines are never joined. Files whose
-    lines are there already come from a run that died before recording them.
-    """
-    written = spark.table(table).select("_source_file").distinct()
-    wanted = new.select(F.col("file_name").alias("_source_file")).join(
-        written, "_source_file", "left_anti"
-    )
-    named = files.withColumn("_source_file", base_name(F.col("path")))
-    name = F.col("_source_file")
-    lines = lines_of(named.join(wanted, "_source_file", "left_semi")).select(
-        "_raw_line",
-        "_source_file",
-        feed_of(name).alias("feed"),
-        F.to_date(stamp_of(name)).alias("dt"),
-        F.hour(stamp_of(name)).alias("hour"),
-    )
-    columns = spark.table(table).columns
-    balanced(lines.select(*columns), "dt").write.mode("append").insertInto(table)
+def _literal(path: str) -> str:
+    """A path in which no character is taken for part of a pattern."""
+    return "".join(f"\\{c}" if c in "{}[]*?\\" else c for c in path)

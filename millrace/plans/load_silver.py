@@ -13,7 +13,7 @@ from millrace.operators.lines import conformant, field_count_distribution, rejec
 from millrace.operators.quality import SILVER_CHECKS, Check, hold_back
 from millrace.operators.silver import to_silver
 from millrace.session import tune
-from millrace.sources.tables import append_rejects, create_silver, merge_newest, rebuild
+from millrace.sources.tables import create_silver, merge_newest, rebuild, replace_rejects
 
 # --- fixed value: share of malformed lines above which a load stops ---
 MAX_MALFORMED_RATE = 0.05
@@ -25,14 +25,13 @@ class SchemaDriftError(RuntimeError):
 
 @dataclass(frozen=True)
 class LoadResult:
-    """Lines read, lines rejected, their spread, events of the batch and of the table."""
+    """Lines read, lines rejected, their spread, results of the checks, events of the batch."""
 
     total: int = 0
     malformed: int = 0
     distribution: dict[int, int] = field(default_factory=dict)
     checks: list[Row] = field(default_factory=list)
     events: int = 0
-    table_events: int = 0
 
 
 def load_silver(
@@ -66,8 +65,8 @@ def load_silver(
         malformed = sum(spread.values())
         if total == 0:
             return LoadResult()
-        if malformed:
-            append_rejects(rejects(lines, contract), f"{table}_rejects")
+        if malformed or spark.catalog.tableExists(f"{table}_rejects"):
+            replace_rejects(rejects(lines, contract), lines, f"{table}_rejects")
         rate = malformed / total
         if rate > max_malformed_rate:
             raise SchemaDriftError(
@@ -80,10 +79,10 @@ def load_silver(
             checked = hold_back(silver, checks)
             create_silver(spark, table, contract)
             merge_newest(spark, table, silver, contract.key, contract.recency, contract.day)
-            counts = silver.count(), spark.table(table).count()
+            events = silver.count()
         finally:
             spark.sql(f"DROP TABLE IF EXISTS {table}_batch")
-        return LoadResult(total, malformed, spread, checked, *counts)
+        return LoadResult(total, malformed, spread, checked, events)
     finally:
         if keep_lines:
             lines.unpersist()

@@ -9,14 +9,15 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.feed import bronze_lines, feed_lines, landed, silver_events, table
+from millrace.feed import bronze_days, bronze_lines, landed, silver_events, table
 from millrace.operators import history, integrity, lines, quality, silver, star, upsert
 from millrace.operators.compaction import compact
+from millrace.plans.build_gold import load_fact, snapshot_actors
 from millrace.plans.load_silver import load_silver
 from millrace.session import scratch_root, tune
 from millrace.sources import manifest, tables, topics
@@ -26,6 +27,7 @@ from millrace.streaming.run import gate_stats, run_gate
 
 # the second batch of the two-batch scenarios starts here
 SPLIT_FILE = "20240115000000.export.CSV.zip"
+SPLIT_DAY = date(2024, 1, 15)
 FIRST_SNAPSHOT = datetime(2024, 1, 10)
 SECOND_SNAPSHOT = datetime(2024, 1, 20)
 
@@ -228,16 +230,18 @@ def feed_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain_time(manifest.advance_state(state, _manifest(spark, sf_dir)))
 
 
-def feed_lines_built(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The lines before landing: the input of everything below."""
-    return feed_lines(spark, sf_dir)
-
-
 def newest_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return manifest.newest_batch(bronze_lines(spark, sf_dir), "_source_file")
+    """The lines of the newest file; its day is a literal, so other days are not scanned."""
+    days = bronze_days(spark, sf_dir)
+    newest = days.agg(F.max("dt")).first()[0]
+    return manifest.newest_batch(days.filter(F.col("dt") == F.lit(newest)).drop("dt"), "_source_file")
 
 
-# --- bronze to silver -------------------------------------------------------------------
+def day_reprocess(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The silver rows of one landed day, as a rerun of that day works them out."""
+    lines_of_day = bronze_days(spark, sf_dir).filter(F.col("dt") == F.lit(SPLIT_DAY)).drop("dt")
+    typed = silver.to_silver(lines.conformant(lines_of_day)).drop("_ingested_at")
+    return _plain_time(typed)
 
 
 def contract_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -282,6 +286,15 @@ def silver_loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain_time(spark.table(name).drop("_ingested_at"))
 
 
+def rejects_loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quarantine after the same lines were loaded twice."""
+    name = f"{_scratch_schema(spark)}.events_rejects"
+    feed = bronze_lines(spark, sf_dir)
+    for _ in range(2):
+        tables.replace_rejects(lines.rejects(feed), feed, name)
+    return spark.table(name).drop("_quarantined_at", "_file_day")
+
+
 def upsert_newest(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
     batch = _sql(spark, sf_dir, ORDERS_BATCH_SQL, "orders")
@@ -313,6 +326,22 @@ def fact_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain_time(upsert.delete_insert(loaded, batch, "event_key"))
 
 
+def fact_table_loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact table after an incremental load of each batch."""
+    name = f"{_scratch_schema(spark)}.fact_events"
+    for batch in ("first", "all"):
+        load_fact(spark, _staged(spark, sf_dir, batch), name)
+    return _plain_time(spark.table(name))
+
+
+def actor_history_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The snapshot table after a snapshot of each batch, the second one run twice."""
+    name = f"{_scratch_schema(spark)}.snap_dim_actor"
+    for batch, moment in (("first", FIRST_SNAPSHOT), ("second", SECOND_SNAPSHOT), ("second", SECOND_SNAPSHOT)):
+        snapshot_actors(spark, star.actor_attributes(_staged(spark, sf_dir, batch)), name, moment)
+    return _plain_time(spark.table(name).drop("is_open"))
+
+
 def actor_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     return star.actor_mentions(_staged(spark, sf_dir))
 
@@ -424,17 +453,16 @@ def stream_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def compact_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows and files per day after compaction of a table written one file per task."""
+    """Rows per day after compaction of a fragmented table, which a second run leaves alone."""
     name = f"{_scratch_schema(spark)}.lines"
     feed = bronze_lines(spark, sf_dir).withColumn("day", F.substring("_source_file", 1, 8))
     tables.create_table(spark, name, "_raw_line string, _source_file string, day string", "day")
     for batch in (feed.filter(F.col("_source_file") < SPLIT_FILE), feed):
         batch.write.mode("append").insertInto(name)
     compact(spark, name, "day")
-    held = spark.table(name).select("day", F.col("_metadata.file_path").alias("file"))
-    return held.groupBy("day").agg(
-        F.count(F.lit(1)).alias("row_count"), F.count_distinct("file").alias("file_count")
-    )
+    settled = not compact(spark, name, "day")
+    held = spark.table(name).groupBy("day").agg(F.count(F.lit(1)).alias("row_count"))
+    return held.withColumn("settled", F.lit(settled))
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -457,8 +485,8 @@ _QUERIES = (
     checksum_status,
     landing_tally,
     feed_checkpoint,
-    feed_lines_built,
     newest_batch,
+    day_reprocess,
     contract_fields,
     contract_rejects,
     reject_distribution,
@@ -468,14 +496,17 @@ _QUERIES = (
     quality_suite,
     quality_suite_before_dedup,
     silver_loaded,
+    rejects_loaded,
     upsert_newest,
     upsert_orders,
     stage_events,
     fact_full,
     fact_incremental,
+    fact_table_loaded,
     actor_union,
     actor_attributes,
     actor_history,
+    actor_history_table,
     actor_current,
     actor_as_of,
     dim_date,

@@ -6,9 +6,11 @@ is done by Arrow, everything after that by Spark.
 
 from __future__ import annotations
 
+import hashlib
 import io
 import zipfile
-from collections.abc import Iterator
+import zlib
+from collections.abc import Iterator, Mapping
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -17,7 +19,9 @@ from pyspark.sql import functions as F
 
 from millrace.functions.text import base_name, is_blank
 
+# event archives; other feeds are published with other spellings of the suffix
 ARCHIVE_SUFFIX = "*.CSV.zip"
+ANY_ARCHIVE = "*.[zZ][iI][pP]"
 _BLOCK_BYTES = 4 * 1024 * 1024
 
 
@@ -51,14 +55,14 @@ def _unzip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.RecordBatch.from_arrays([lines, source], ["_raw_line", "_source_file"])
 
 
-def archive_files(spark: SparkSession, root: str) -> DataFrame:
+def archive_files(spark: SparkSession, root: str | list[str], suffix: str = ARCHIVE_SUFFIX) -> DataFrame:
     """Archives below a folder as ``path, length, content`` plus its partition columns.
 
     The suffix is case-sensitive. With a ``dt=/hour=`` layout the columns ``dt`` and
     ``hour`` appear, and a filter on them prunes the listing.
     """
     return (
-        spark.read.format("binaryFile").option("pathGlobFilter", ARCHIVE_SUFFIX).load(root)
+        spark.read.format("binaryFile").option("pathGlobFilter", suffix).load(root)
     )
 
 
@@ -83,6 +87,38 @@ def newest_archive(files: DataFrame) -> DataFrame:
     return named_between(files, name, name).filter(F.col("path") == F.lit(path))
 
 
+def checked_lines(files: DataFrame, wanted: Mapping[str, str]) -> DataFrame:
+    """``_source_file, digest, _raw_line``: each archive read once, its checksum and its lines.
+
+    ``wanted`` has the checksum each file name must have ('' for any); it is the caller's to keep
+    it small. Every file gives one row with its digest and no line; lines follow only from files
+    with the right digest that can be unzipped. One that cannot gives the digest ``broken``.
+    """
+
+    def opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["_source_file", "digest", "_raw_line"]
+        for batch in batches:
+            for name, content in zip(batch.column("_source_file").to_pylist(), batch.column("content"), strict=True):
+                archive = content.as_py()
+                digest = hashlib.md5(archive).hexdigest()
+                blocks: list[pa.RecordBatch] = []
+                if wanted.get(name) in ("", digest):
+                    try:
+                        for block in text_blocks(archive):
+                            text = pa.array([block.decode("utf-8", errors="replace")], pa.large_string())
+                            lines = pc.split_pattern(text, "\n").flatten().cast(pa.string())
+                            blocks.append(pa.record_batch([pa.repeat(name, len(lines)), pa.repeat(digest, len(lines)), lines], names))
+                    except (zipfile.BadZipFile, EOFError, zlib.error):
+                        digest, blocks = "broken", []
+                yield pa.record_batch([pa.array([name]), pa.array([digest]), pa.array([None], pa.string())], names)
+                yield from blocks
+
+    named = files.select(base_name(F.col("path")).alias("_source_file"), "content")
+    lines = named.mapInArrow(opened, "_source_file string, digest string, _raw_line string")
+    text = F.rtrim("_raw_line", F.lit("\r"))
+    return lines.withColumn("_raw_line", text).filter(F.col("_raw_line").isNull() | ~is_blank(F.col("_raw_line")))
+
+
 def lines_of(files: DataFrame) -> DataFrame:
     """Archive files to ``_raw_line, _source_file``, blank lines left out.
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from millrace.contract import TIMESTAMP_FORMAT
 from millrace.functions.once import evaluate_once
+from millrace.functions.instants import instant
 from millrace.functions.text import base_name, words
 
 # --- fixed values: what a file name in the index looks like ---
@@ -52,10 +53,6 @@ def parse_index(lines: DataFrame, column: str = "value") -> DataFrame:
     )
 
 
-def read_index(spark: SparkSession, path: str) -> DataFrame:
-    return parse_index(spark.read.text(path))
-
-
 def of_feeds(manifest: DataFrame, feeds: Iterable[str]) -> DataFrame:
     return manifest.filter(F.col("feed").isin(*feeds))
 
@@ -63,7 +60,7 @@ def of_feeds(manifest: DataFrame, feeds: Iterable[str]) -> DataFrame:
 def in_window(manifest: DataFrame, start: datetime | Column, end: datetime | Column) -> DataFrame:
     """Files from ``start`` on and before ``end``."""
     moment = F.col("file_ts")
-    return manifest.filter((moment >= F.lit(start)) & (moment < F.lit(end)))
+    return manifest.filter((moment >= instant(start)) & (moment < instant(end)))
 
 
 def oldest_first(manifest: DataFrame) -> DataFrame:

@@ -195,13 +195,31 @@ def replace_by_key(
     merge_newest(spark, table, batch, key, None, partition)
 
 
-def append_rejects(rejects: DataFrame, table: str) -> None:
-    """Add lines to the quarantine that it does not hold yet, so a re-run adds nothing."""
+def file_day(source: Column) -> Column:
+    """The day a dated file name begins with, as digits, else ``undated``."""
+    day = F.regexp_extract(F.coalesce(source, F.lit("")), "^[0-9]{8}", 0)
+    return F.when(day == "", "undated").otherwise(day)
+
+
+def replace_rejects(rejects: DataFrame, lines: DataFrame, table: str) -> None:
+    """Put the rejects of a batch in the place of all that the quarantine holds of its files.
+
+    A re-run, or a file published again, therefore leaves one copy, also of lines that are NULL.
+    The table is partitioned by day of the file, and only the days of the batch are read and
+    rewritten; a day that loses its last reject is dropped.
+    """
     spark = rejects.sparkSession
-    create_table(spark, table, REJECTS_DDL)
-    held = spark.table(table).select("_source_file", "_raw_line")
-    fresh = rejects.join(held, ["_source_file", "_raw_line"], "left_anti")
+    create_table(spark, table, REJECTS_DDL, "_file_day")
+    files = lines.select("_source_file").distinct()
+    days = [r[0] for r in files.select(file_day(F.col("_source_file"))).distinct().collect()]
     columns = spark.table(table).columns
-    fresh.withColumn("_quarantined_at", F.current_timestamp()).select(*columns).write.mode(
-        "append"
-    ).insertInto(table)
+    held = spark.table(table).filter(within("_file_day", days))
+    same = held["_source_file"].eqNullSafe(files["_source_file"])
+    fresh = rejects.withColumn("_quarantined_at", F.current_timestamp()).withColumn(
+        "_file_day", file_day(F.col("_source_file"))
+    )
+    after = held.join(files, same, "left_anti").select(*columns).unionByName(fresh.select(*columns))
+    left = {r[0] for r in after.select("_file_day").distinct().collect()}
+    overwrite_partitions(balanced(after, "_file_day"), table)
+    for day in {r[0] for r in held.select("_file_day").distinct().collect()} - left:
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({_partition_spec('_file_day', day)})")

@@ -38,7 +38,9 @@ def publish(
     if broker is not None:
         rows.write.format("kafka").options(**_BROKER_SINK, **broker).save()
     else:
-        rows.write.mode("overwrite").partitionBy("topic").parquet(f"{root}/batch={batch}")
+        # static: a topic that an earlier attempt had and this one has not goes with it
+        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
+        writer.partitionBy("topic").parquet(f"{root}/batch={batch}")
     return int(sent.get["messages"])
 
 
@@ -58,12 +60,15 @@ def stream_topic(
     max_files: int | None = None,
     broker: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """The topic as a stream from its beginning; where to resume is in the checkpoint."""
+    """The topic as a stream from its beginning; where to resume is in the checkpoint.
+
+    Data that is gone or damaged stops the stream: nothing is passed over without a trace.
+    """
     if broker is not None:
-        options = {"subscribe": topic, "startingOffsets": "earliest", "failOnDataLoss": "false"}
+        options = {"subscribe": topic, "startingOffsets": "earliest"}
         reader = spark.readStream.format("kafka").options(**{**options, **broker})
         return reader.load().select("key", "value")
-    reader = spark.readStream.schema(MESSAGE_SCHEMA).option("ignoreCorruptFiles", "true")
+    reader = spark.readStream.schema(MESSAGE_SCHEMA)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.parquet(_folder(root, topic)).select("key", "value")

@@ -14,6 +14,12 @@ from millrace.streaming.gate import gate, gate_counts, routed
 STATS_SCHEMA = "batch_id bigint, consumed bigint, valid bigint, dead_lettered bigint, alerts bigint"
 
 
+def run_id(spark: SparkSession, checkpoint: str) -> str:
+    """The name of what one checkpoint writes: that of the streaming query it belongs to."""
+    lines = spark.read.text(f"{checkpoint}/metadata")
+    return lines.select(F.get_json_object("value", "$.id")).first()[0]
+
+
 def start_gate(
     messages: DataFrame,
     out: str,
@@ -24,21 +30,26 @@ def start_gate(
     """Gate a stream of messages.
 
     Each micro-batch is one pass without a shuffle: routed messages are written by one job,
-    the counters are observed while it runs. Files of a batch carry its number and replace
-    an earlier attempt, and the checkpoint moves on only afterwards, so a restart neither
-    loses nor doubles a message. With ``once`` all that is there is processed, then it stops.
+    the counters are observed while it runs. Files of a batch carry the id of the run, kept in the
+    checkpoint, and its number. They replace an earlier attempt, and the checkpoint moves on only
+    afterwards, so a restart neither loses nor doubles a message, and a new checkpoint on the same
+    output replaces nothing. With ``once`` all that is there is processed, then it stops.
     """
+    run: list[str] = []
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        seen = Observation(f"gate-{batch_id}")
+        if not run:
+            run.append(run_id(batch.sparkSession, checkpoint))
+        name = f"{run[0]}-{batch_id}"
+        seen = Observation(f"gate-{name}")
         gated = gate(batch)
         watched = gated.observe(seen, *gate_counts(gated))
-        publish(routed(watched), f"{out}/topics", str(batch_id), broker)
+        publish(routed(watched), f"{out}/topics", name, broker)
         counts = seen.get
         names = ("consumed", "valid", "dead_lettered", "alerts")
         row = (batch_id, *[int(counts[name]) for name in names])
         stats = batch.sparkSession.createDataFrame([row], STATS_SCHEMA)
-        stats.coalesce(1).write.mode("overwrite").parquet(f"{out}/stats/run={batch_id}")
+        stats.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{out}/stats/run={name}")
 
     writer = messages.writeStream.option("checkpointLocation", checkpoint).foreachBatch(handle)
     if once:

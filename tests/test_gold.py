@@ -1,7 +1,11 @@
 from __future__ import annotations
 
 import datetime as dt
+import os
 import random
+import subprocess
+import sys
+from pathlib import Path
 
 import pytest
 from conftest import event_line
@@ -11,7 +15,7 @@ from millrace.operators import star
 from millrace.operators.history import advance_history, as_of_join, open_versions
 from millrace.operators.integrity import duplicates, nulls, orphans, unaccepted
 from millrace.operators.silver import to_silver
-from millrace.plans.build_gold import build_gold, gold_tests, load_fact
+from millrace.plans.build_gold import build_gold, gold_tests, load_fact, snapshot_actors
 from millrace.plans.load_silver import load_silver
 
 T1, T2, T3 = dt.datetime(2026, 7, 1), dt.datetime(2026, 7, 2), dt.datetime(2026, 7, 3)
@@ -207,3 +211,52 @@ def test_integrity_counts(spark):
     assert nulls(child, "k").first().row_count == 1
     assert nulls(child.filter("k = 'a'"), "k").count() == 0
     assert {r.value for r in unaccepted(child, "k", ["a", "b"]).collect()} == {"x"}
+
+
+DOUBLED_HOUR = """
+import sys
+from datetime import datetime, timezone
+from pyspark.sql import functions as F
+from millrace.functions.instants import instant, micros
+from millrace.operators import star
+from millrace.plans.build_gold import load_fact
+from millrace.session import build_session
+spark = build_session("dst", "local[2]", spark__ui__enabled="false", spark__sql__shuffle__partitions=2,
+                      spark__sql__warehouse__dir=sys.argv[1] + "/w")
+lines = ["2025-11-02 05:30:00", "2025-11-02 06:00:00", "2025-11-02 06:30:00"]
+def staged(n):
+    rows = [(k, t) for k, t in enumerate(lines[:n])]
+    frame = spark.createDataFrame(rows, "global_event_id long, t string")
+    wanted = {"sql_date": "date", "actor1_code": "string", "actor2_code": "string", "action_geo_feature_id": "string",
+              "action_geo_fullname": "string", "event_code": "string", "is_root_event": "int", "quad_class": "int",
+              "source_url": "string", "goldstein_scale": "double", "num_mentions": "int", "num_sources": "int",
+              "num_articles": "int", "avg_tone": "double"}
+    frame = frame.select("global_event_id", F.to_timestamp("t").alias("date_added"),
+        *[F.lit("2025-11-02" if k == "date" else None).cast(k).alias(c) for c, k in wanted.items()])
+    return frame
+for n in (1, 2, 3):
+    load_fact(spark, staged(n), "fact_dst")
+    assert spark.table("fact_dst").count() == n, (n, spark.table("fact_dst").count())
+naive, aware = datetime(2025, 11, 2, 5, 30), datetime(2025, 11, 2, 5, 30, tzinfo=timezone.utc)
+assert micros(naive) == micros(aware) == spark.range(1).select(F.unix_micros(instant(naive))).first()[0]
+print("fine")
+"""
+
+
+def test_no_event_is_lost_in_the_doubled_hour(tmp_path):
+    root = str(Path(__file__).resolve().parents[1])
+    env = {**os.environ, "TZ": "America/New_York", "PYTHONPATH": root}
+    done = subprocess.run([sys.executable, "-c", DOUBLED_HOUR, str(tmp_path)], cwd=tmp_path, env=env,
+                          capture_output=True, text=True, timeout=300)
+    assert done.stdout.strip().endswith("fine"), done.stderr[-2000:]
+
+
+def test_snapshots_of_one_second_keep_all_versions(spark, schema):
+    table = f"{schema}.snap"
+    for k in range(4):
+        moment = T1 + dt.timedelta(milliseconds=100 * k)
+        for _ in range(2):  # each also run again
+            snapshot_actors(spark, actors(spark, a=f"name {k}"), table, moment)
+    rows = spark.table(table).collect()
+    assert len(rows) == len({r.scd_id for r in rows}) == 4
+    assert sorted(r.actor_name for r in rows) == [f"name {k}" for k in range(4)]

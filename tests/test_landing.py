@@ -7,6 +7,9 @@ import zipfile
 
 import pytest
 
+from pyspark.sql import functions as F
+
+from millrace.plans import land as landing
 from millrace.plans.land import land
 from millrace.sources.manifest import (
     advance_state,
@@ -129,3 +132,33 @@ def test_landing_heals_after_a_crash_before_the_file_was_recorded(spark, schema,
     spark.sql(f"TRUNCATE TABLE {tables[0]}_files")
     assert land(spark, manifest, str(tmp_path), *tables)["landed"] == 1
     assert spark.table(tables[0]).count() == 2
+
+
+def test_every_feed_lands_and_a_failed_file_is_opened_once(spark, schema, tmp_path, monkeypatch):
+    names = ["20250318060000.export.CSV.zip", "20250318060000.mentions.CSV.zip", "20250318060000.gkg.csv.zip"]
+    payload, lines = _zip("a\nb"), []
+    for folder in ("a", "x", "y"):
+        (tmp_path / folder).mkdir()
+    for name in names:
+        (tmp_path / "a" / name).write_bytes(payload)
+        lines.append(f"1 {hashlib.md5(payload).hexdigest()} {BASE}/{name}")
+    broken, twice = "20250318061500.export.CSV.zip", "20250318063000.export.CSV.zip"
+    (tmp_path / "a" / broken).write_bytes(b"no archive")
+    lines.append(f"1 {hashlib.md5(b'no archive').hexdigest()} {BASE}/{broken}")
+    for folder in ("x", "y"):
+        (tmp_path / folder / twice).write_bytes(payload)
+    lines.append(f"1 {hashlib.md5(payload).hexdigest()} {BASE}/{twice}")
+    files = f"{tmp_path}/*"
+    manifest, tables = index(spark, *lines), (f"{schema}.lines", f"{schema}.state")
+    assert land(spark, manifest, files, *tables, chunk=2) == {"landed": 3, "skipped": 0, "failed": 2}
+    assert {r.feed: r.n for r in spark.table(tables[0]).groupBy("feed").agg(F.count("*").alias("n")).collect()} == {
+        "export": 2, "mentions": 2, "gkg": 2,
+    }
+    opened = []
+    real = landing.checked_lines
+    monkeypatch.setattr(landing, "checked_lines", lambda f, w: opened.append(w) or real(f, w))
+    assert land(spark, manifest, files, *tables) == {"landed": 0, "skipped": 3, "failed": 2}
+    assert opened == []
+    (tmp_path / "a" / broken).write_bytes(payload + b" ")  # changed, and still wrong
+    assert land(spark, manifest, files, *tables)["failed"] == 2
+    assert [set(w) for w in opened] == [{broken}]

@@ -3,9 +3,11 @@ from __future__ import annotations
 import json
 import uuid
 import zipfile
+from pathlib import Path
 
 import pytest
 from conftest import event_line
+from pyspark.errors import AnalysisException, StreamingQueryException
 from pyspark.sql import functions as F
 
 from millrace.session import scratch_root
@@ -181,3 +183,28 @@ def test_nothing_to_publish(spark, place, tmp_path):
     files = archive_files(spark, str(tmp_path))
     assert newest_archive(files).count() == 0
     assert publish_newest(files, place, "0", "raw") == 0
+
+
+def test_a_new_checkpoint_replaces_nothing(spark, place):
+    hot = json.dumps({**GOOD, "goldstein_scale": -8.75})
+    for n in (1, 2):
+        publish(messages(spark, hot, "{bad").withColumn("topic", F.lit("raw")), f"{place}/in{n}", "0")
+        run_gate(stream_topic(spark, f"{place}/in{n}", "raw"), f"{place}/out", f"{place}/state{n}", timeout=120)
+    assert tuple(gate_stats(spark, f"{place}/out").first()) == (4, 2, 2, 2)
+    assert len(topic_values(spark, f"{place}/out/topics", "dlq")) == 2
+
+
+def test_a_batch_written_again_loses_topics_it_has_no_more(spark, place):
+    publish(messages(spark, "a").withColumn("topic", F.lit("one")), place, "0")
+    publish(messages(spark, "b").withColumn("topic", F.lit("two")), place, "0")
+    assert topic_values(spark, place, "two") == [b"b"]
+    with pytest.raises(AnalysisException):
+        topic_values(spark, place, "one")
+
+
+def test_a_damaged_file_stops_the_stream(spark, place):
+    publish(messages(spark, json.dumps(GOOD)).withColumn("topic", F.lit("raw")), f"{place}/in", "0")
+    folder = Path(place.removeprefix("file:")) / "in" / "batch=0" / "topic=raw"
+    (folder / "part-damaged.parquet").write_bytes(b"not a table")
+    with pytest.raises(StreamingQueryException):
+        run_gate(stream_topic(spark, f"{place}/in", "raw"), f"{place}/out", f"{place}/state", timeout=120)

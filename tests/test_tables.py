@@ -169,6 +169,23 @@ def test_compaction_rewrites_fragmented_days_only(spark, target):
     assert maintain_silver(spark, target, partition="day") == []
 
 
+@pytest.mark.parametrize("advisory", ["1k", "4k", "64m"])
+def test_compaction_settles_at_any_advisory_size(spark, target, advisory):
+    wide = spark.range(4000).select(
+        F.col("id").alias("k"), F.lit(1).alias("r"), F.sha2(F.col("id").cast("string"), 256).alias("v"), F.lit(D1).alias("day")
+    )
+    for _ in range(3):
+        wide.write.mode("append").insertInto(target)
+    before = spark.table(target).count()
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", advisory)
+    try:
+        assert compact(spark, target, "day", target_bytes=200_000)
+        assert [compact(spark, target, "day", target_bytes=200_000) for _ in range(2)][-1] == []
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert spark.table(target).count() == before
+
+
 def test_small_table_helpers(spark, schema, tmp_path):
     (tmp_path / "codes.csv").write_text("event_root_code,label\n01,One\n20,Twenty\n")
     codes = read_reference_csv(spark, str(tmp_path), "event_root_code string, label string")
