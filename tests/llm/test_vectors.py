@@ -52,7 +52,7 @@ def test_far_blocks_are_skipped():
 
     class Watched(np.ndarray):
         def __matmul__(self, other):
-            calls.append(1)
+            calls.extend([1] * (self.ndim > 1))
             return np.asarray(self) @ other
 
     assert list(vectors.join_blocks(left.view(Watched), right, False, vectors.Settings(leaf=8))) == []
