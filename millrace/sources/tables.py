@@ -46,7 +46,11 @@ def create_table(
 def create_silver(
     spark: SparkSession, table: str, contract: Contract = EVENTS, provider: str = "parquet"
 ) -> None:
+    """The silver table of a contract; a table of a narrower contract gets the new columns."""
     create_table(spark, table, contract.silver_ddl, contract.day, provider)
+    held = set(spark.table(table).columns)
+    if new := [f"{name} {kind}" for name, kind in contract.columns if name not in held]:
+        add_columns(spark, table, ", ".join(new))
 
 
 def add_columns(spark: SparkSession, table: str, ddl: str) -> None:

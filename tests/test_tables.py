@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import replace
 
 import pytest
 from conftest import event_line
@@ -150,6 +151,17 @@ def test_silver_load_twice_keeps_contract_columns(spark, schema, lines_of):
     assert spark.table(name).columns[-1] == "sql_date"
 
 
+def test_a_wider_contract_loads_into_the_same_table(spark, schema, lines_of):
+    def line(key, **more):
+        return event_line(global_event_id=key, sql_date="20250318", quad_class=1, date_added="20250318064500", **more)
+
+    load_silver(spark, lines_of([line(1), line(2)]), f"{schema}.events")
+    wide = replace(EVENTS, columns=(*EVENTS.columns, ("tone_source", "string")))
+    load_silver(spark, lines_of([line(2) + "\tmodel", line(3) + "\tpanel"]), f"{schema}.events", contract=wide)
+    rows = spark.table(f"{schema}.events").collect()
+    assert {r.global_event_id: r.tone_source for r in rows} == {1: None, 2: "model", 3: "panel"}
+
+
 def test_compaction_rewrites_fragmented_days_only(spark, target):
     for i in range(4):
         spark.createDataFrame([(100 + i, 1, "x", D2)], DDL).write.insertInto(target)
