@@ -1,12 +1,15 @@
 """Lexical retrieval packing: related documents share a window of tokens.
 
-Each task reads its documents once and builds BM25 inverted indexes over shards of them, of about
-``shard_tokens`` tokens each, with the ids of the tokenizer as terms. A seed document opens a
+Terms are the ids of the tokenizer. Document frequencies, the number of documents and their mean
+length are those of the whole table. A shuffle brings related documents together, wherever they lay:
+a tree of two-means splits, grown on a bounded sample of document vectors, gives every document a
+place, and ranges of places, equal in rows however many documents share a place, become shards of
+at most ``shard_tokens`` tokens with a BM25 inverted index each. A seed document opens a
 window; its best unused neighbours fill the rest: the first of them that fits whole, else the best
 one, cut where the window ends. What is cut off goes on in the next window, whose seed it is. No
 window but a shard's last has room left, and that one is laid out as sequences of powers of two,
-which need no padding. Statistics, retrieval and use are by shard, so shards are independent:
-no shuffle, no state between tasks, and a lost executor costs its own tasks only.
+which need no padding. Retrieval and use are by shard: neighbours that the tree puts elsewhere are
+not found. `README.md` says how many.
 """
 
 from __future__ import annotations
@@ -19,26 +22,49 @@ import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from millrace.llm.bpe import encoder
+from millrace.llm.scratch import landed
 
 
 @dataclass(frozen=True)
 class Settings:
-    """``terms`` of the seed that weigh most make its query; ``k1`` and ``b`` are BM25's."""
+    """``k1`` and ``b`` are BM25's. ``terms`` of the seed that weigh most make its query: all by default.
+
+    About ``sample`` document vectors of ``axes`` numbers grow the tree that routes.
+    """
 
     window: int = 2048
     shard_tokens: int = 4_000_000
-    terms: int = 8
+    terms: int = 1 << 16
     neighbours: int = 8
     k1: float = 1.2
     b: float = 0.75
+    sample: int = 16_384
+    axes: int = 128
+
+
+@dataclass(frozen=True)
+class Stats:
+    """Of a whole table: number of documents, mean length, documents that hold each term."""
+
+    n: int
+    mean: float
+    held: np.ndarray
+
+
+def _idf(stats: Stats) -> np.ndarray:
+    return np.log(1 + (stats.n - stats.held + 0.5) / (stats.held + 0.5))
 
 
 class Index:
-    """BM25 over the documents of a shard. Postings lie by term; a document knows its own."""
+    """BM25 over the documents of a shard. Postings lie by term; a document knows its own.
+
+    Weights follow ``stats``, by default those of the shard.
+    """
 
-    def __init__(self, docs: list[np.ndarray], settings: Settings) -> None:
+    def __init__(self, docs: list[np.ndarray], settings: Settings, stats: Stats | None = None) -> None:
         n, lengths = len(docs), np.array([len(d) for d in docs])
         owner = np.repeat(np.arange(n, dtype=np.int64), lengths)
         keys = np.sort((owner << 16) | np.concatenate(docs))
@@ -47,8 +73,9 @@ class Index:
         times = np.diff(np.append(at, len(keys)))
         doc, term = keys[at] >> 16, keys[at] & 0xFFFF
         held = np.bincount(term, minlength=1 << 16)
-        idf = np.log(1 + (n - held + 0.5) / (held + 0.5))
-        norm = settings.k1 * (1 - settings.b + settings.b * lengths / lengths.mean())
+        stats = stats or Stats(n, lengths.mean(), held)
+        idf = _idf(stats)
+        norm = settings.k1 * (1 - settings.b + settings.b * lengths / stats.mean)
         weight = idf[term] * times * (settings.k1 + 1) / (times + norm[doc])
         by_term = np.argsort(term.astype(np.uint16), kind="stable")  # sixteen bits: linear
         self._doc, self._weight = doc[by_term], weight[by_term]
@@ -76,11 +103,13 @@ class Index:
         return top[np.argsort(-scores[top], kind="stable")][: np.count_nonzero(scores[top] > 0)]
 
 
-def windows(docs: list[np.ndarray], settings: Settings) -> Iterator[list[tuple[int, int, int]]]:
+def windows(
+    docs: list[np.ndarray], settings: Settings, stats: Stats | None = None
+) -> Iterator[list[tuple[int, int, int]]]:
     """The sequences of a shard, each a list of pieces (document, start, length)."""
     if not docs:
         return
-    index, used = Index(docs, settings), np.zeros(len(docs), bool)
+    index, used = Index(docs, settings, stats), np.zeros(len(docs), bool)
     pieces: list[tuple[int, int, int]] = []
     room, following, seed = settings.window, 0, -1
     ranked: np.ndarray = np.zeros(0, np.int64)
@@ -130,6 +159,139 @@ def in_powers_of_two(pieces: list[tuple[int, int, int]]) -> Iterator[list[tuple[
         yield sequence
 
 
+# ---- routing ---------------------------------------------------------------------------------
+
+
+@dataclass(frozen=True)
+class Tree:
+    """Splits by a plane each. ``below``: the next node on either side, or -1 at a leaf."""
+
+    plane: np.ndarray
+    cut: np.ndarray
+    below: np.ndarray
+
+    def places(self, vectors: np.ndarray) -> np.ndarray:
+        """The path of each vector as a number: what parts late lies close together."""
+        place, node = np.zeros(len(vectors), np.int64), np.zeros(len(vectors), np.int64)
+        live = np.arange(len(vectors)) if len(self.cut) else np.zeros(0, np.int64)
+        for level in range(_DEPTH):
+            if not len(live):
+                break
+            at = node[live]
+            side = ((vectors[live] * self.plane[at]).sum(axis=1) > self.cut[at]).astype(np.int64)
+            place[live] |= side << (_DEPTH - 1 - level)
+            node[live] = self.below[at, side]
+            live = live[node[live] >= 0]
+        return place
+
+
+_DEPTH = 40
+_LEAF = 6
+
+
+def grow(vectors: np.ndarray) -> Tree:
+    """Two-means splits of the sample, down to a few vectors."""
+    planes, cuts, below = [], [], []
+    waiting = [(np.arange(len(vectors)), 0, -1, 0)]
+    while waiting:
+        part, depth, parent, side = waiting.pop()
+        mine = vectors[part]
+        if len(part) <= _LEAF or depth == _DEPTH or (mine == mine[0]).all():
+            continue
+        far = mine[np.argmax(((mine - mine.mean(axis=0)) ** 2).sum(axis=1))]
+        centres = np.stack([mine.mean(axis=0) * 2 - far, far])
+        for _ in range(8):
+            plane = centres[1] - centres[0]
+            cut = float((centres[1] + centres[0]) @ plane / 2)
+            right = mine @ plane > cut
+            if right.all() or not right.any():
+                break
+            centres = np.stack([mine[~right].mean(axis=0), mine[right].mean(axis=0)])
+        if right.all() or not right.any():
+            continue
+        if parent >= 0:
+            below[parent][side] = len(cuts)
+        waiting += [(part[~right], depth + 1, len(cuts), 0), (part[right], depth + 1, len(cuts), 1)]
+        planes.append(plane)
+        cuts.append(cut)
+        below.append([-1, -1])
+    return Tree(
+        np.array(planes, np.float32).reshape(-1, vectors.shape[1]), np.array(cuts), np.array(below, np.int64).reshape(-1, 2)
+    )
+
+
+_AXES: dict[int, np.ndarray] = {}
+
+
+def vectors(docs: list[np.ndarray], stats: Stats, settings: Settings) -> np.ndarray:
+    """Random projections of the BM25 weights of each document, of length one."""
+    if settings.axes not in _AXES:
+        dice = np.random.default_rng(2)
+        _AXES[settings.axes] = dice.standard_normal((1 << 16, settings.axes), np.float32)
+    axes, idf = _AXES[settings.axes], _idf(stats).astype(np.float32)
+    out = np.zeros((len(docs), settings.axes), np.float32)
+    for k, doc in enumerate(docs):
+        terms, times = np.unique(doc, return_counts=True)
+        norm = settings.k1 * (1 - settings.b + settings.b * len(doc) / stats.mean)
+        out[k] = (idf[terms] * times / (times + norm)).astype(np.float32) @ axes[terms]
+    return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-12)
+
+
+def _docs(batch: pa.RecordBatch) -> list[np.ndarray]:
+    return [np.frombuffer(x, "<u2") for x in batch.column("tokens").to_pylist()]
+
+
+def statistics(tokens: DataFrame) -> Stats:
+    """Of all rows of ``tokens``; one number a term is all that is collected."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.zeros(1 << 16, np.int64)
+        for batch in batches:
+            for doc in _docs(batch):
+                held[np.unique(doc)] += 1
+        term = np.flatnonzero(held)
+        yield pa.record_batch([pa.array(term), pa.array(held[term])], ["term", "held"])
+
+    held = np.zeros(1 << 16, np.int64)
+    counts = tokens.select("tokens").mapInArrow(rows, "term long, held long")
+    for term, times in counts.groupBy("term").agg(F.sum("held")).collect():
+        held[term] = times
+    n, total = tokens.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("tokens")), F.lit(0))).first()
+    return Stats(n, total / 2 / max(n, 1), held)
+
+
+def routed(tokens: DataFrame, stats: Stats, settings: Settings) -> DataFrame:
+    """``tokens`` in ranges of related documents, each a partition in order of places."""
+    spark = tokens.sparkSession
+    spot = F.xxhash64("doc_id", "tokens")
+
+    def sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = vectors(_docs(batch), stats, settings)
+            yield pa.record_batch([pa.array([x.tobytes() for x in found], pa.binary())], ["v"])
+
+    share = int(min(1.0, settings.sample / max(stats.n, 1)) * (1 << 30))
+    chosen = tokens.where(F.pmod(spot, F.lit(1 << 30)) < share).select("tokens")
+    found = sorted(bytes(r.v) for r in chosen.mapInArrow(sampled, "v binary").distinct().collect())
+    tree = spark.sparkContext.broadcast(
+        grow(np.frombuffer(b"".join(found), np.float32).reshape(-1, settings.axes))
+    )
+
+    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            place = tree.value.places(vectors(_docs(batch), stats, settings))
+            yield pa.record_batch([*batch.columns, pa.array(place)], [*batch.schema.names, "_place"])
+
+    known = tokens.mapInArrow(placed, "doc_id long, tokens binary, _place long").withColumn("_spot", spot)
+    # a little under a shard each, so that ranges of uneven length are seldom cut again
+    parts = max(1, -(-int(stats.n * stats.mean) * 5 // (settings.shard_tokens * 4)))
+    ranged = known.repartitionByRange(parts, "_place", "_spot").sortWithinPartitions("_place", "_spot")
+    return ranged.select("doc_id", "tokens")
+
+
+# ---- over tables -----------------------------------------------------------------------------
+
+
 _PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, "
     "offset long"
@@ -151,15 +313,25 @@ def pack(
         vocabulary = docs.sparkSession.sparkContext.broadcast(file.read())
     names = [c.split()[0] for c in _PIECES.split(", ")] + ["ids"] * with_ids
 
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(vocabulary.value)
+        for batch in batches:
+            found = [encode(t or "").astype("<u2").tobytes() for t in batch.column("text").to_pylist()]
+            yield pa.record_batch([batch.column("doc_id"), pa.array(found, pa.binary())], ["doc_id", "tokens"])
+
+    slim = docs.selectExpr("cast(doc_id AS long) AS doc_id", "text")
+    # two bytes a token, encoded once; read for the statistics, the sample and the routing
+    tokens = landed(slim.mapInArrow(encoded, "doc_id long, tokens binary"), "packing-tokens")
+    stats = statistics(tokens)
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sequence = TaskContext.get().partitionId() << 32
 
         def laid(ids: list, docs: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
             nonlocal sequence
             out: list[tuple] = []
             parts: list[np.ndarray] = []
-            for pieces in windows(docs, settings):
+            for pieces in windows(docs, settings, stats):
                 offset = 0
                 for doc, start, length in pieces:
                     part = docs[doc][start : start + length].astype("<u4")
@@ -175,8 +347,7 @@ def pack(
 
         ids, shard, size = [], [], 0
         for batch in batches:
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                tokens = encode(text or "")
+            for doc_id, tokens in zip(batch.column("doc_id").to_pylist(), _docs(batch)):
                 if shard and size + len(tokens) > settings.shard_tokens:
                     yield from laid(ids, shard)
                     ids, shard, size = [], [], 0
@@ -191,5 +362,4 @@ def pack(
             columns.append(pa.array([p.astype(np.int32) for p in parts], pa.list_(pa.int32())))
         return pa.record_batch(columns, names)
 
-    slim = docs.selectExpr("cast(doc_id AS long) AS doc_id", "text")
-    return slim.mapInArrow(rows, _PIECES + ", ids array<int>" * with_ids)
+    return routed(tokens, stats, settings).mapInArrow(rows, _PIECES + ", ids array<int>" * with_ids)

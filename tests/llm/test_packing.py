@@ -78,3 +78,43 @@ def test_neighbours_are_those_of_bm25():
 
 def test_empty_table(docs_of):
     assert packing.pack(docs_of([]), FILE).count() == 0
+
+
+def test_default_settings_query_all_terms_with_statistics_of_the_table():
+    dice = np.random.default_rng(5)
+    docs = [dice.integers(0, 90, dice.integers(30, 60)).astype(np.uint16) for _ in range(80)]
+    settings = packing.Settings()
+    held = np.bincount(np.concatenate([np.unique(d) for d in docs]), minlength=1 << 16)
+    stats = packing.Stats(80, float(np.mean([len(d) for d in docs])), held)
+    whole, shard = packing.Index(docs, settings), packing.Index(docs[:40], settings, stats)
+    for seed in range(40):
+        away = np.zeros(80, bool)
+        away[[seed, *range(40, 80)]] = True
+        query = set(docs[seed].tolist())
+
+        def bm25(d):
+            score = 0.0
+            for t in query & set(docs[d].tolist()):
+                tf = (docs[d] == t).sum()
+                idf = np.log(1 + (80 - held[t] + 0.5) / (held[t] + 0.5))
+                score += idf * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len(docs[d]) / stats.mean))
+            return score
+
+        want = sorted((d for d in range(40) if d != seed), key=lambda d: -bm25(d))[:8]
+        assert shard.neighbours(seed, away[:40]).tolist() == want == whole.neighbours(seed, away).tolist()
+
+
+def test_related_documents_meet_across_files(spark, docs_of):
+    """Thirty topics, one document of each in every file; shards are far smaller than the table."""
+    dice = np.random.default_rng(6)
+    words = sorted(w[1:] for w in Tokenizer.from_file(FILE).get_vocab() if w[0] == "Ġ" and w[1:].isalpha())
+    topics = dice.choice(words, (30, 40), replace=False)
+    rows = [(k * 30 + t, " ".join(dice.choice(topics[t], 50))) for k in range(12) for t in range(30)]
+    settings = packing.Settings(shard_tokens=4000, window=512)
+    pieces = packing.pack(docs_of(rows).repartitionByRange(12, "doc_id"), FILE, settings, with_ids=False).collect()
+    together = {}
+    for p in sorted(pieces, key=lambda p: (p.sequence_id, p.offset)):
+        together.setdefault(p.sequence_id, []).append(p.doc_id % 30)
+    pairs = [a == b for x in together.values() for a, b in zip(x, x[1:])]
+    assert np.mean(pairs) > 0.7
+    assert {p.doc_id for p in pieces} == {i for i, _ in rows}
