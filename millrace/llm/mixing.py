@@ -2,22 +2,27 @@
 
 DataFrame functions only. A naive Bayes classifier, learned from a labelled table, gives every
 document a posterior over domains; nonnegative rates (how often a document is to be used) are then
-fitted by projected gradient so that the expected tokens of each domain, the sum of rate times
-tokens times posterior, come to the target. Only sums by domain reach the driver: a handful of
+fitted so that the expected tokens of each domain, the sum of rate times tokens times posterior,
+come to the target: by Newton steps on the rates inside their bounds, and by projected gradient
+where bounds keep a target out of reach. Only sums by domain reach the driver: a handful of
 numbers an iteration. A document's rate follows from its posterior and the gathered steps, so
 iterations write nothing.
 """
 
 from __future__ import annotations
 
+import logging
 import math
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.scratch import landed
 
+_NOBODY = 1e-12  # share of all tokens below which a domain has no document
+_LOG = logging.getLogger(__name__)
 _WORDS = r"[\x20\x09-\x0D]+"
 
 
@@ -27,6 +32,8 @@ class Settings:
 
     ``max_labelled`` labelled texts, chosen by a hash of the id, train the classifier, whose words
     fall into ``buckets`` hash buckets: its table has a proven size and may be broadcast.
+    Rates lie in [``low``, ``high``]. With ``strict`` a domain that misses its target by more than
+    ``tolerance`` of the tokens it has is an error, else a warning.
     """
 
     max_labelled: int = 4000
@@ -34,9 +41,11 @@ class Settings:
     smoothing: float = 0.5
     voice: float = 20.0
     low: float = 0.0
-    high: float = 4.0
+    high: float = math.inf
     steps: int = 40
+    newton: int = 30
     tolerance: float = 1e-3
+    strict: bool = True
 
 
 def _tokens(docs: DataFrame, settings: Settings, *more: str) -> DataFrame:
@@ -113,26 +122,76 @@ def fit_rates(
 ) -> tuple[DataFrame, list[tuple[str, float, float]]]:
     """``soft`` with a ``rate`` in [low, high], and (domain, target, expected tokens) of the fit.
 
-    Least squares over domains, each in units of the tokens it has: with residuals g the gradient
-    of a document's rate is its posterior times g, weighted by its tokens. Steps add up and the
-    sum is projected onto the box (lazy projection), starting from rate 1. ``budget`` is the total
-    to reach as a multiple of the tokens there are. A domain that no document belongs to is left out.
+    A rate is 1 less the document's posterior times a push by domain, projected onto the box; of all
+    rates that reach the targets those are nearest to 1. Newton steps find the pushes. Where that
+    does not end within the tolerance, least squares over domains, each in units of the tokens it
+    has, by lazily projected gradient is tried too and the better of both is taken. ``budget`` is the
+    total to reach as a multiple of the tokens there are. A domain that no document belongs to is
+    left out.
     """
     domains = list(targets)
+    size = len(domains)
     scale = sum(targets.values())
-    mass = [F.sum(F.col("n_tokens") * F.col("p")[k]) for k in range(len(domains))]
-    have = [x or 0.0 for x in soft.agg(*mass).first()]
-    want = [budget * sum(have) * targets[d] / scale for d in domains]
-    pushes, got = [0.0] * len(domains), have
-    for _ in range(settings.steps):
-        rate = _rate(pushes, settings)
-        sums = [F.sum(rate * F.col("n_tokens") * F.col("p")[k]) for k in range(len(domains))]
-        got = [x or 0.0 for x in soft.agg(*sums).first()]
-        steps = [(g - w) / h if h > 0 else 0.0 for g, w, h in zip(got, want, have)]
-        if max(map(abs, steps), default=0.0) <= settings.tolerance:
+    mass = [F.sum(F.col("n_tokens") * F.col("p")[k]) for k in range(size)]
+    have = np.array([x or 0.0 for x in soft.agg(*mass).first()])
+    want = budget * have.sum() * np.array([targets[d] / scale for d in domains])
+    live = have > _NOBODY * have.sum()
+    unit = np.where(live, have, 1.0)
+    corner = [(j, k) for j in range(size) for k in range(j + 1)]
+
+    def reached(pushes: np.ndarray, bend: bool) -> tuple[np.ndarray, np.ndarray]:
+        """Expected tokens, and how they change with the pushes."""
+        rate = _rate(pushes.tolist(), settings)
+        sums = [F.sum(rate * F.col("n_tokens") * F.col("p")[k]) for k in range(size)]
+        if bend:
+            inside = F.when((rate > settings.low) & (rate < settings.high), F.col("n_tokens"))
+            sums += [F.sum(inside * F.col("p")[j] * F.col("p")[k]) for j, k in corner]
+        found = np.array([x or 0.0 for x in soft.agg(*sums).first()])
+        slope = np.zeros((size, size))
+        for (j, k), x in zip(corner, found[size:]):
+            slope[j, k] = slope[k, j] = x
+        return found[:size], slope
+
+    def gaps(got: np.ndarray) -> np.ndarray:
+        return np.where(live, (got - want) / unit, 0.0)
+
+    def loss(got: np.ndarray) -> float:
+        return float((gaps(got) ** 2 * unit).sum())
+
+    best: tuple[float, np.ndarray, np.ndarray] | None = None
+    for method, count in (("newton", settings.newton), ("gradient", settings.steps)):
+        pushes, stale = np.zeros(size), 0
+        for _ in range(count):
+            got, slope = reached(pushes, method == "newton")
+            stale += 1
+            if best is None or loss(got) < best[0]:
+                best, stale = (loss(got), pushes, got), 0
+            off = gaps(got)
+            if np.abs(off).max(initial=0) <= settings.tolerance:
+                break
+            if method == "gradient":
+                pushes = pushes + off
+                continue
+            if stale == 5:
+                break
+            root = np.sqrt(unit)
+            step = np.linalg.lstsq(slope / root[:, None] / root, off * root, rcond=1e-9)[0] / root
+            pushes = np.where(live, pushes + step, 0.0)
+        if best is not None and np.abs(gaps(best[2])).max(initial=0) <= settings.tolerance:
             break
-        pushes = [a + b for a, b in zip(pushes, steps)]
-    return soft.withColumn("rate", _rate(pushes, settings)), list(zip(domains, want, got))
+    _, pushes, got = best or (0.0, np.zeros(size), have)
+    report = list(zip(domains, want.tolist(), got.tolist()))
+    return soft.withColumn("rate", _rate(pushes.tolist(), settings)), report
+
+
+def missed(report: list[tuple[str, float, float]], settings: Settings) -> list[str]:
+    """Domains of a report of ``fit_rates`` that are off target, with the shares of all tokens."""
+    total = sum(w for _, w, _ in report)
+    return [
+        f"{d}: {g / total:.4f} of the wanted tokens, target {w / total:.4f}"
+        for d, w, g in report
+        if abs(g - w) > 2 * settings.tolerance * max(w, g)
+    ]
 
 
 def mix(
@@ -146,10 +205,18 @@ def mix(
 
     ``labelled (doc_id, domain)`` names the domain of some documents; rows with a NULL, or with a
     domain that has no target, are ignored. NULL texts count as empty. Ties and repeated rows of
-    ``labelled`` count as often as they occur. Other columns are not read.
+    ``labelled`` count as often as they occur. Other columns are not read. Domains that miss their
+    target are an error or, if not ``strict`` or where no label tells domains apart, a warning.
     """
     soft = landed(posteriors(docs, labelled, list(targets), settings), "mixing-posteriors")
-    return fit_rates(soft, targets, budget, settings)[0]
+    rates, report = fit_rates(soft, targets, budget, settings)
+    if off := missed(report, settings):
+        said = f"rates in [{settings.low}, {settings.high}] miss the targets: {'; '.join(off)}"
+        told = labelled.where(F.col("doc_id").isNotNull() & F.col("domain").isin(list(targets)))
+        if settings.strict and not told.isEmpty():
+            raise ValueError(said)
+        _LOG.warning(said)
+    return rates
 
 
 def apply_rates(docs: DataFrame, rates: DataFrame) -> DataFrame:

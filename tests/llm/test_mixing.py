@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pytest
 
 from millrace.llm import mixing
 
@@ -87,3 +88,20 @@ def test_only_built_in_functions(spark, docs_of):
     soft = mixing.posteriors(docs_of([(1, "x1"), (2, "y1")]), known, list(TARGETS))
     plan = soft._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_a_rare_domain_reaches_its_target(spark):
+    """A fiftieth of the tokens against a target of a ninth: rates beyond any fixed cap."""
+    rows = [(i, 100, [0.01, 0.04, 0.95] if i % 50 == 0 else [0.6, 0.4, 0.0]) for i in range(1000)]
+    rows += [(2000 + i, 100, [0.2, 0.8, 0.0]) for i in range(300)]
+    soft = spark.createDataFrame(rows, "doc_id long, n_tokens long, p array<double>")
+    fitted, report = mixing.fit_rates(soft, {"a": 0.49, "b": 0.40, "c": 0.11})
+    assert all(abs(got - want) <= 0.01 * want for _, want, got in report)
+    assert fitted.agg({"rate": "max"}).first()[0] > 4
+
+
+def test_a_target_out_of_reach_is_an_error(spark, docs_of):
+    rows, labels = corpus(60, 3)
+    known = spark.createDataFrame(labels, "doc_id long, domain string")
+    with pytest.raises(ValueError, match="z: .* target 0.9"):
+        mixing.mix(docs_of(rows), known, {"x": 0.05, "y": 0.05, "z": 0.9}, 1.0, mixing.Settings(high=1.5))
