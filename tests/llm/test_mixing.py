@@ -105,3 +105,19 @@ def test_a_target_out_of_reach_is_an_error(spark, docs_of):
     known = spark.createDataFrame(labels, "doc_id long, domain string")
     with pytest.raises(ValueError, match="z: .* target 0.9"):
         mixing.mix(docs_of(rows), known, {"x": 0.05, "y": 0.05, "z": 0.9}, 1.0, mixing.Settings(high=1.5))
+
+
+def test_rates_of_the_pipeline_on_a_skewed_input(spark):
+    """A third of the tokens is poor English: it stays whole, is named as off target, others grow."""
+    import corpus_pipeline as pipeline
+
+    names, weights = list(pipeline.MIX), [40, 33, 9, 1, 9, 1, 6, 1]
+    hot = [[float(j == k) for j in range(8)] for k in range(8)]
+    rows = [(10 * i + k, 100, hot[k]) for k in range(8) for i in range(weights[k])]
+    soft = spark.createDataFrame(rows, "doc_id long, n_tokens long, p array<double>")
+    _, report = mixing.fit_rates(soft, pipeline.MIX, pipeline.MIX_BUDGET, pipeline.MIX_SETTINGS)
+    got = {d: g for d, _, g in report}
+    assert got["en-0"] == 3300 and got["en-1"] > 1.4 * 4000 and got["de-1"] > 1.4 * 900
+    off = mixing.missed(report, pipeline.MIX_SETTINGS)
+    assert [x.split(":")[0] for x in off] == ["en-0"]
+    assert {d for d, w, g in report if d != "en-0" and abs(g - w) <= 0.003 * w} == {*names} - {"en-0"}
