@@ -8,7 +8,7 @@ marginals; the text blocks whose marginal is at least one half are the main text
 Training maximises the likelihood of labelled pages. A page labels itself where it has one
 ``article`` or ``main``. Copies of such pages teach what the sample's own markup does not show: in
 them the container has another name, and side matter made of the page's own text is put in. The
-sample is bounded (``max_pages``, by a hash of the id).
+sample is bounded (``max_pages``, by a hash of the id, of the pages that label themselves).
 """
 
 from __future__ import annotations
@@ -179,6 +179,11 @@ def fit(pages: list[Page], settings: Settings = Settings()) -> Model:
 _CONTAINER = re.compile(r"<(article|main)\b([^>]*)>(.*?)</\1\s*>", re.DOTALL | re.IGNORECASE)
 
 
+def labels_itself(source: str) -> bool:
+    """Has the page exactly one container?"""
+    return len(_CONTAINER.findall(source)) == 1
+
+
 def labelled(source: str, copies: int, seed: int) -> Iterator[str]:
     """The page with its container labelled, and copies with other names and side matter put in.
 
@@ -240,8 +245,18 @@ def labelled(source: str, copies: int, seed: int) -> Iterator[str]:
 
 
 def train(pages: DataFrame, settings: Settings = Settings()) -> Model:
-    """A model from those of at most ``max_pages`` pages that label themselves."""
-    ids = pages.select("page_id").where("page_id IS NOT NULL").distinct()
+    """A model from at most ``max_pages`` of the pages that label themselves.
+
+    Where no page does, there is nothing to learn and the model calls every block main text.
+    """
+
+    def telling(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.select(["page_id"]).filter(pa.array([labels_itself(x) for x in batch.column("html").to_pylist()], pa.bool_()))
+
+    likely = pages.where("page_id IS NOT NULL").where(F.col("html").rlike("(?i)<(article|main)\\b"))
+    likely = likely.select(F.col("page_id").cast("long").alias("page_id"), "html")
+    ids = likely.mapInArrow(telling, "page_id long").distinct()
     # a proven bound for a broadcast
     picked = ids.orderBy(F.xxhash64("page_id", F.lit("main text")), "page_id").limit(settings.max_pages)
     chosen = pages.select(F.col("page_id").cast("long").alias("page_id"), F.coalesce("html", F.lit("")).alias("html"))

@@ -84,3 +84,14 @@ def test_over_a_table(spark):
     assert len(found[0].split("\n")) == 1 + rows[0][2].count("<p>") and "Buy" not in found[0]
     assert all(r.n_chars == len(r.text) for r in got)
     assert main_text.extract(table.limit(0), main_text.train(table.limit(0))).count() == 0
+
+
+def test_one_page_in_a_thousand_labels_itself(spark):
+    plain = f"{WRAP}<div class='x'><p>Some words of no known container.</p></div><footer>&copy; us</footer>"
+    rows = [(i, "u", plain) for i in range(4000)]
+    rows += [(10_000 + i, "u", p) for i, p in pages(4)]
+    table = spark.createDataFrame(rows, "page_id long, url string, html string")
+    model = main_text.train(table, main_text.Settings(max_pages=20))
+    assert model.node.any()
+    got = text_of(next(pages(1))[1], model)
+    assert "Buy" not in got and "Home" not in got and "word" in got
