@@ -12,10 +12,10 @@ from pyspark.sql import functions as F
 from millrace.functions.text import base_name
 from millrace.sources.archives import ANY_ARCHIVE, archive_files, checked_lines
 from millrace.sources.manifest import STATE_SCHEMA, advance_state, feed_of, not_landed, stamp_of
-from millrace.sources.tables import balanced, create_table, within
+from millrace.sources.tables import add_columns, balanced, create_table, within
 
 LANDED_DDL = "file_name string, file_ts timestamp, feed string"
-FAILED_DDL = "path string, length bigint, changed timestamp"
+FAILED_DDL = "path string, length bigint, changed timestamp, md5 string"
 LINES_DDL = "_raw_line string, _source_file string, feed string, dt date, hour int"
 
 
@@ -32,13 +32,15 @@ def land(
 
     Names are compared on the listing alone; only files that are wanted are opened, each once, at
     most ``chunk`` of them in a step. A file with a wrong checksum, or a name that is in ``drop``
-    twice, fails alone; it is remembered by path, size and time of change and not opened again
-    until it changes. The list of landed files is what makes a re-run skip, so a file is recorded
+    twice, fails alone; it is remembered by path, size, time of change and wanted checksum and
+    not opened again until one of them changes. The list of landed files is what makes a re-run skip, so a file is recorded
     last. Returns how many files were landed, skipped and failed.
     """
     create_table(spark, lines_table, LINES_DDL, "feed, dt, hour")
     create_table(spark, f"{lines_table}_files", LANDED_DDL, "feed")
     create_table(spark, f"{lines_table}_failed", FAILED_DDL)
+    if "md5" not in spark.table(f"{lines_table}_failed").columns:
+        add_columns(spark, f"{lines_table}_failed", "md5 string")
     create_table(spark, state_table, STATE_SCHEMA)
     landed = spark.table(f"{lines_table}_files")
     missing = not_landed(manifest, landed).select("feed", "file_name", "file_ts", "md5").distinct()
@@ -56,7 +58,7 @@ def land(
     )
     once = listing.groupBy("file_name").agg(F.count(F.lit(1)).alias("n")).filter("n = 1").drop("n")
     wanted = missing.join(listing.join(once, "file_name", "left_semi"), "file_name")
-    wanted = wanted.join(spark.table(f"{lines_table}_failed"), ["path", "length", "changed"], "left_anti")
+    wanted = wanted.join(spark.table(f"{lines_table}_failed"), ["path", "length", "changed", "md5"], "left_anti")
     for files in _chunks(wanted.orderBy("file_name").toLocalIterator(), chunk):
         counts["landed"] += _land_chunk(spark, files, lines_table, state_table)
     counts["failed"] -= counts["landed"]
@@ -76,7 +78,7 @@ def _land_chunk(spark: SparkSession, files: list[Row], lines_table: str, state_t
     try:
         digests = {r["_source_file"]: r["digest"] for r in opened.filter("_raw_line IS NULL").collect()}
         good = [f for f in files if digests.get(f["file_name"]) != "broken" and f["md5"] in ("", digests.get(f["file_name"]))]
-        bad = [(f["path"], f["length"], f["changed"]) for f in files if f not in good]
+        bad = [(f["path"], f["length"], f["changed"], f["md5"]) for f in files if f not in good]
         name = F.col("_source_file")
         lines = opened.filter("_raw_line IS NOT NULL").select(
             "_raw_line",

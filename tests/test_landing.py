@@ -162,3 +162,14 @@ def test_every_feed_lands_and_a_failed_file_is_opened_once(spark, schema, tmp_pa
     (tmp_path / "a" / broken).write_bytes(payload + b" ")  # changed, and still wrong
     assert land(spark, manifest, files, *tables)["failed"] == 2
     assert [set(w) for w in opened] == [{broken}]
+
+
+def test_a_corrected_checksum_reopens_the_file(spark, schema, tmp_path):
+    payload, name = _zip("a\nb"), "20260723120000.export.CSV.zip"
+    (tmp_path / name).write_bytes(payload)
+    tables = (f"{schema}.lines", f"{schema}.state")
+    wrong = index(spark, f"1 00ff00ff {BASE}/{name}")
+    assert land(spark, wrong, str(tmp_path), *tables) == {"landed": 0, "skipped": 0, "failed": 1}
+    right = index(spark, f"1 {hashlib.md5(payload).hexdigest()} {BASE}/{name}")
+    assert land(spark, right, str(tmp_path), *tables) == {"landed": 1, "skipped": 0, "failed": 0}
+    assert spark.table(tables[0]).count() == 2
