@@ -47,9 +47,13 @@ _TAGS = 3
 
 @dataclass(frozen=True)
 class Settings:
-    """Bounds of the training sample, and of the training."""
+    """Bounds of the training sample, and of the training.
+
+    ``max_texts`` texts of any kind and ``max_hits`` texts in which a pattern has a span.
+    """
 
     max_texts: int = 2000
+    max_hits: int = 500
     window: int = 24
     steps: int = 80
     rate: float = 0.3
@@ -332,11 +336,24 @@ def found_spans(texts: list[bytes], model: Model) -> list[list[tuple[int, int, s
 
 
 def train(docs: DataFrame, settings: Settings = Settings()) -> Model:
-    """A model from windows of at most ``max_texts`` texts, chosen by a hash of the id."""
-    ids = docs.select("doc_id").where("doc_id IS NOT NULL").distinct()
-    # a proven bound for a broadcast
-    picked = ids.orderBy(F.xxhash64("doc_id", F.lit("secrets")), "doc_id").limit(settings.max_texts)
+    """A model from windows of two bounded samples, each chosen by a hash of the id.
+
+    One is of all texts, the other of those with a span of the patterns, however rare they are.
+    """
     chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+
+    def hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [bool(base_spans(t.decode("utf-8", "replace"), t)) for t in utf8(batch.column("text"))]
+            yield batch.select(["doc_id"]).filter(pa.array(found, pa.bool_()))
+
+    def sample(ids: DataFrame, most: int) -> DataFrame:
+        ids = ids.where("doc_id IS NOT NULL").distinct()
+        return ids.orderBy(F.xxhash64("doc_id", F.lit("secrets")), "doc_id").limit(most)
+
+    told = sample(chosen.mapInArrow(hits, "doc_id long"), settings.max_hits)
+    # a proven bound for a broadcast
+    picked = sample(chosen.select("doc_id"), settings.max_texts).union(told).distinct()
     chosen = chosen.join(F.broadcast(picked), "doc_id", "left_semi")
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

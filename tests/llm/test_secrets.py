@@ -88,3 +88,13 @@ def test_nothing_to_learn(spark, docs_of):
     model = secrets.train(docs_of([(1, "plain words"), (2, None)]))
     assert [r.spans for r in secrets.scan(docs_of([(1, "more plain words")]), model).collect()] == [[]]
     assert secrets.scan(docs_of([]), secrets.train(docs_of([]))).count() == 0
+
+
+def test_a_rare_secret_is_learned_from(spark, docs_of):
+    key = "0123456789abcdef" * 2
+    rows = [(i, f"alpha beta token of the {i} gamma") for i in range(5000)]
+    rows[4321] = (4321, f'alpha the token = "{key}" of beta')
+    model = secrets.train(docs_of(rows), secrets.Settings(max_texts=20))
+    tagged = secrets.features([rows[4321][1].encode()])
+    scores = model.emission[tagged[1]].sum(axis=1)
+    assert secrets.decode(scores, tagged[0].first, model.transition).any()
