@@ -8,11 +8,8 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-from millrace.contract import EVENTS  # noqa: E402
 from millrace.session import build_session, scratch_root, tune  # noqa: E402
 
-SF = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
@@ -39,11 +36,6 @@ def schema(spark):
     spark.sql(f"DROP NAMESPACE {name} CASCADE")
 
 
-def event_line(**fields: object) -> str:
-    """A contract line, blank but for the given fields."""
-    return "\t".join(str(fields.get(name, "")) for name in EVENTS.names)
-
-
 @pytest.fixture
 def lines_of(spark):
     """Lines frame from (line, source file) pairs or bare lines."""

@@ -5,7 +5,7 @@ import io
 import zipfile
 
 import pytest
-from conftest import event_line
+from helpers import event_line
 
 from millrace.contract import EVENTS
 from millrace.operators.lines import (

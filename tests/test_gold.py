@@ -8,7 +8,7 @@ import sys
 from pathlib import Path
 
 import pytest
-from conftest import event_line
+from helpers import event_line
 from pyspark.sql import functions as F
 
 from millrace.operators import star

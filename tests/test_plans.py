@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pytest
-from conftest import SF
+from helpers import SF
 from pyspark.sql import functions as F
 
 from millrace.feed import bronze_lines, silver_events

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import duckdb
 import pytest
-from conftest import SF
+from helpers import SF
 
 from __spark_entry__ import entry, oracle_sql, queries
 from check import TABLES, compare

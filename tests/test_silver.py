@@ -3,7 +3,7 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
-from conftest import event_line
+from helpers import event_line
 
 from millrace.contract import EVENTS
 from millrace.operators.quality import SILVER_CHECKS, Check, QualityError, check_frame, hold_back

@@ -6,7 +6,7 @@ import zipfile
 from pathlib import Path
 
 import pytest
-from conftest import event_line
+from helpers import event_line
 from pyspark.errors import AnalysisException, StreamingQueryException
 from pyspark.sql import functions as F
 

@@ -4,7 +4,7 @@ import datetime as dt
 from dataclasses import replace
 
 import pytest
-from conftest import event_line
+from helpers import event_line
 from pyspark.sql import functions as F
 
 from millrace.contract import EVENTS
