@@ -73,16 +73,17 @@ def exact_groups(
 def drop_copies(docs: DataFrame, *, keep: str = "smallest") -> DataFrame:
     """The rows of ``docs`` that stay, one for each text; a row that repeats one that stays goes.
 
-    Columns and their order are those of ``docs``.
+    Columns and their order are those of ``docs``, whatever their names.
     """
     groups = exact_groups(docs, keep=keep)
-    stay = groups.where("kept").groupBy("doc_id", "text_sha256").agg(F.count(F.lit(1)).alias("_n"))
+    stay = groups.where("kept").groupBy("doc_id", "text_sha256").agg(F.count(F.lit(1)).alias("n"))
     stay = landed(stay, "exact-stay")
-    keyed = docs.withColumn("_sha", text_digest(F.coalesce("text", F.lit(""))))
-    ids = stay.select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha2"))
-    left = keyed.join(
-        ids, keyed["doc_id"].eqNullSafe(ids["_id"]) & (keyed["_sha"] == ids["_sha2"]), "left_semi"
+    held = docs.select(
+        "doc_id", text_digest(F.coalesce("text", F.lit(""))).alias("sha"), F.struct(*docs.columns).alias("row")
     )
-    if not stay.where("_n > 1").isEmpty():  # the same row delivered twice
-        left = left.dropDuplicates(["doc_id", "_sha"])
-    return left.drop("_sha")
+    ids = stay.select(F.col("doc_id").alias("stay_id"), F.col("text_sha256").alias("stay_sha"))
+    same = F.col("doc_id").eqNullSafe(F.col("stay_id")) & (F.col("sha") == F.col("stay_sha"))
+    left = held.join(ids, same, "left_semi")
+    if not stay.where("n > 1").isEmpty():  # the same row delivered twice
+        left = left.dropDuplicates(["doc_id", "sha"])
+    return left.select("row.*")

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from millrace.llm.scratch import landed
 
 _NOBODY = 1e-12  # share of all tokens below which a domain has no document
+_STALE = 8  # steps without gain after which a target counts as out of reach
 _LOG = logging.getLogger(__name__)
 _WORDS = r"[\x20\x09-\x0D]+"
 
@@ -32,8 +33,8 @@ class Settings:
 
     ``max_labelled`` labelled texts, chosen by a hash of the id, train the classifier, whose words
     fall into ``buckets`` hash buckets: its table has a proven size and may be broadcast.
-    Rates lie in [``low``, ``high``]. With ``strict`` a domain that misses its target by more than
-    ``tolerance`` of the tokens it has is an error, else a warning.
+    Rates lie in [``low``, ``high``]; ``steps`` bounds the iterations. With ``strict`` a domain that
+    misses its target by more than ``tolerance`` of the tokens it has is an error, else a warning.
     """
 
     max_labelled: int = 4000
@@ -42,8 +43,7 @@ class Settings:
     voice: float = 20.0
     low: float = 0.0
     high: float = math.inf
-    steps: int = 40
-    newton: int = 30
+    steps: int = 60
     tolerance: float = 1e-3
     strict: bool = True
 
@@ -123,29 +123,30 @@ def fit_rates(
     """``soft`` with a ``rate`` in [low, high], and (domain, target, expected tokens) of the fit.
 
     A rate is 1 less the document's posterior times a push by domain, projected onto the box; of all
-    rates that reach the targets those are nearest to 1. Newton steps find the pushes. Where that
-    does not end within the tolerance, least squares over domains, each in units of the tokens it
-    has, by lazily projected gradient is tried too and the better of both is taken. ``budget`` is the
-    total to reach as a multiple of the tokens there are. A domain that no document belongs to is
-    left out.
+    rates that reach the targets those are nearest to 1. Each step moves the pushes along the
+    gradient, the gaps by domain. The gaps are measured in the metric of the curvature inside the box
+    while that lowers the loss; a step that does not is taken back, halved, and after some halvings
+    the metric is each domain's own tokens, whose step cannot overshoot. It ends within the
+    tolerance, or, with the best rates seen, when steps bring nothing more. ``budget`` is the total to reach as
+    a multiple of the tokens there are. A domain that no document belongs to cannot be reached: its
+    target is shared out among the others in proportion, and the report gives it a target of 0.
     """
     domains = list(targets)
     size = len(domains)
-    scale = sum(targets.values())
     mass = [F.sum(F.col("n_tokens") * F.col("p")[k]) for k in range(size)]
     have = np.array([x or 0.0 for x in soft.agg(*mass).first()])
-    want = budget * have.sum() * np.array([targets[d] / scale for d in domains])
     live = have > _NOBODY * have.sum()
+    weight = np.where(live, [targets[d] for d in domains], 0.0)
+    want = budget * have.sum() * weight / (weight.sum() or 1.0)
     unit = np.where(live, have, 1.0)
     corner = [(j, k) for j in range(size) for k in range(j + 1)]
 
-    def reached(pushes: np.ndarray, bend: bool) -> tuple[np.ndarray, np.ndarray]:
+    def reached(pushes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Expected tokens, and how they change with the pushes."""
         rate = _rate(pushes.tolist(), settings)
         sums = [F.sum(rate * F.col("n_tokens") * F.col("p")[k]) for k in range(size)]
-        if bend:
-            inside = F.when((rate > settings.low) & (rate < settings.high), F.col("n_tokens"))
-            sums += [F.sum(inside * F.col("p")[j] * F.col("p")[k]) for j, k in corner]
+        inside = F.when((rate > settings.low) & (rate < settings.high), F.col("n_tokens"))
+        sums += [F.sum(inside * F.col("p")[j] * F.col("p")[k]) for j, k in corner]
         found = np.array([x or 0.0 for x in soft.agg(*sums).first()])
         slope = np.zeros((size, size))
         for (j, k), x in zip(corner, found[size:]):
@@ -158,28 +159,34 @@ def fit_rates(
     def loss(got: np.ndarray) -> float:
         return float((gaps(got) ** 2 * unit).sum())
 
-    best: tuple[float, np.ndarray, np.ndarray] | None = None
-    for method, count in (("newton", settings.newton), ("gradient", settings.steps)):
-        pushes, stale = np.zeros(size), 0
-        for _ in range(count):
-            got, slope = reached(pushes, method == "newton")
-            stale += 1
-            if best is None or loss(got) < best[0]:
-                best, stale = (loss(got), pushes, got), 0
-            off = gaps(got)
-            if np.abs(off).max(initial=0) <= settings.tolerance:
-                break
-            if method == "gradient":
-                pushes = pushes + off
-                continue
-            if stale == 5:
-                break
-            root = np.sqrt(unit)
-            step = np.linalg.lstsq(slope / root[:, None] / root, off * root, rcond=1e-9)[0] / root
-            pushes = np.where(live, pushes + step, 0.0)
-        if best is not None and np.abs(gaps(best[2])).max(initial=0) <= settings.tolerance:
+    def scaled(slope: np.ndarray, off: np.ndarray) -> np.ndarray:
+        root = np.sqrt(unit)
+        return np.linalg.lstsq(slope / root[:, None] / root, off * root, rcond=1e-9)[0] / root
+
+    pushes = np.zeros(size)
+    got, slope = reached(pushes)
+    best, direction, length, plain, stale = (loss(got), pushes, got), None, 1.0, False, 0
+    for _ in range(settings.steps):
+        off = gaps(got)
+        if np.abs(off).max(initial=0) <= settings.tolerance:
+            break
+        if direction is None:
+            direction = off if plain else scaled(slope, off)
+        tried = np.where(live, pushes + length * direction, 0.0)
+        there, bend = reached(tried)
+        stale = stale + 1 if plain and loss(there) >= best[0] * (1 - 1e-5) else 0
+        if stale == _STALE:
             break
-    _, pushes, got = best or (0.0, np.zeros(size), have)
+        if loss(there) < best[0]:
+            best = (loss(there), tried, there)
+        elif not plain:
+            length /= 2
+            if length < 0.1:
+                plain, direction, length = True, None, 1.0
+                pushes, got = best[1], best[2]
+            continue
+        pushes, got, slope, direction, length = tried, there, bend, None, 1.0
+    _, pushes, got = best
     report = list(zip(domains, want.tolist(), got.tolist()))
     return soft.withColumn("rate", _rate(pushes.tolist(), settings)), report
 
@@ -190,7 +197,7 @@ def missed(report: list[tuple[str, float, float]], settings: Settings) -> list[s
     return [
         f"{d}: {g / total:.4f} of the wanted tokens, target {w / total:.4f}"
         for d, w, g in report
-        if abs(g - w) > 2 * settings.tolerance * max(w, g)
+        if abs(g - w) > max(2 * settings.tolerance * max(w, g), _NOBODY * total)
     ]
 
 
@@ -206,10 +213,13 @@ def mix(
     ``labelled (doc_id, domain)`` names the domain of some documents; rows with a NULL, or with a
     domain that has no target, are ignored. NULL texts count as empty. Ties and repeated rows of
     ``labelled`` count as often as they occur. Other columns are not read. Domains that miss their
-    target are an error or, if not ``strict`` or where no label tells domains apart, a warning.
+    target are an error or, if not ``strict`` or where no label tells domains apart, a warning; one
+    that no document belongs to is a warning at most.
     """
     soft = landed(posteriors(docs, labelled, list(targets), settings), "mixing-posteriors")
     rates, report = fit_rates(soft, targets, budget, settings)
+    if nobody := [d for d, w, _ in report if w == 0 and targets[d] > 0]:
+        _LOG.warning(f"no document belongs to {', '.join(nobody)}: the others share the target")
     if off := missed(report, settings):
         said = f"rates in [{settings.low}, {settings.high}] miss the targets: {'; '.join(off)}"
         told = labelled.where(F.col("doc_id").isNotNull() & F.col("domain").isin(list(targets)))
@@ -222,10 +232,11 @@ def mix(
 def apply_rates(docs: DataFrame, rates: DataFrame) -> DataFrame:
     """``docs`` with each row as often as its rate says; the fraction is decided by a hash of the id.
 
-    Columns are those of ``docs``. A row whose id has no rate (a NULL id) stays once.
+    Columns are those of ``docs``, whatever their names. A row whose id has no rate (a NULL id) stays
+    once; rows that repeat an id are decided alike.
     """
     spot = F.pmod(F.xxhash64("doc_id", F.lit("mixing")), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    times = rates.select("doc_id", (F.floor("rate") + (spot < F.col("rate") % 1).cast("int")).alias("_times"))
-    joined = docs.join(times, "doc_id", "left").withColumn("_times", F.coalesce("_times", F.lit(1)))
-    repeated = joined.where("_times > 0").withColumn("_k", F.explode(F.sequence(F.lit(1), F.col("_times").cast("int"))))
-    return repeated.select(docs.columns)
+    times = rates.select("doc_id", (F.floor("rate") + (spot < F.col("rate") % 1).cast("int")).alias("times"))
+    held = docs.select("doc_id", F.struct(*docs.columns).alias("row"))
+    joined = held.join(times, "doc_id", "left").select("row", F.coalesce("times", F.lit(1)).cast("int").alias("times"))
+    return joined.select("row", F.explode(F.array_repeat(F.lit(0), F.col("times"))).alias("copy")).select("row.*")

@@ -37,7 +37,10 @@ def test_stages_against_brute_force(spark):
     assert sorted(r.doc_id for r in single) == sorted(first.values())
     groups = brute_components([(r.doc_id, r.text) for r in single])
     assert sorted(r.doc_id for r in apart) == sorted(set(groups.values()))
-    assert {tuple(r) for r in mixed} == {tuple(r) for r in apart}
+    # rates follow the domains, so rows come more often, once or not at all, but no other rows
+    assert {tuple(r) for r in mixed} <= {tuple(r) for r in apart}
+    budget = corpus_pipeline.MIX_BUDGET * sum(len((r.text or "").split()) for r in apart)
+    assert abs(sum(len((r.text or "").split()) for r in mixed) - budget) < 0.25 * budget
     slow = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     want = Counter()
     for r in mixed:
