@@ -11,9 +11,8 @@ from millrace.llm import exact, minhash, mixing, packing, toxicity
 from millrace.llm.queries import labelled_domains, table
 from millrace.session import scratch_root
 
-# Good text over poor, by language. Rates start at 1: no document that came so far is lost, the
-# wanted ones are repeated; the token total may grow by a tenth. So a domain above its target stays
-# above it: the stage comes near the targets, and warns with the shares it reached.
+# Good text over poor, by language; the token total may grow by a tenth. Rates are free from 0 up: a
+# domain above its target comes down, one below it is repeated.
 MIX = {
     "en-1": 0.55, "en-0": 0.05,
     "de-1": 0.14, "de-0": 0.01,
@@ -21,34 +20,53 @@ MIX = {
     "es-1": 0.09, "es-0": 0.01,
 }
 MIX_BUDGET = 1.1
-MIX_SETTINGS = mixing.Settings(low=1.0, high=3.0, strict=False)
+MIX_SETTINGS = mixing.Settings(strict=False)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the toxicity model calls clean; it learns from the labels there are."""
+    """Documents that the toxicity model calls clean; it learns from the labels there are.
+
+    Whole texts of any length are scored, NULL as empty; without labels nothing is dropped. Repeated
+    rows are scored alike. Columns of any name come through unchanged.
+    """
     model = toxicity.train(docs.select("doc_id", "text"), table(spark, sf_dir, "labels"))
     return toxicity.score(docs, model).where("predicted = 0").select(docs.columns)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each text, the one with the smallest id."""
+    """One document of each text, the one with the smallest id; a NULL text equals an empty one.
+
+    Rows that repeat id and text are one row. Columns of any name come through unchanged.
+    """
     return exact.drop_copies(docs, keep="smallest")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates, the one with the smallest id."""
+    """One document of each group of near-duplicates, the one with the smallest id.
+
+    A text without words (NULL, empty) is near none but stays. Texts of under five words are compared
+    as one shingle. Columns of any name come through unchanged.
+    """
     return minhash.drop_near(docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document once or more often, so that the domains come near their target weights."""
+    """Documents as often as their fitted rates say, so that the domains reach their target weights.
+
+    A NULL or empty text has no tokens and the rate of its posterior. Rows that repeat an id are
+    decided alike; a row without id stays once. Columns of any name come through unchanged. Where no
+    label tells domains apart nothing is left out; a domain without any document is a warning.
+    """
     labelled = labelled_domains(docs, table(spark, sf_dir, "labels"))
     rates = mixing.mix(docs, labelled, MIX, MIX_BUDGET, MIX_SETTINGS)
     return mixing.apply_rates(docs, rates)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents in sequences of at most 2048 tokens."""
+    """Pieces of documents in sequences of at most 2048 tokens, NULL texts as empty.
+
+    A row that occurs several times is packed as often. Texts of any length are cut into pieces.
+    """
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), with_ids=False)
 
 
