@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import (
+    centroids,
     language_model,
     main_text,
     minhash,
@@ -18,6 +19,9 @@ from millrace.llm import (
     vectors,
 )
 from millrace.llm.exact import exact_groups
+from millrace.llm.oracle import LLM_ORACLE
+
+__all__ = ["LLM_ORACLE", "LLM_QUERIES"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -138,6 +142,11 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).select("doc_id", held_out, "score", "predicted")
 
 
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every usable embedding with its cluster of eight after ten rounds, in integers."""
+    return centroids.with_inertia(*centroids.cluster(table(spark, sf_dir, "embeddings")))
+
+
 LLM_QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_packing": op2_packing,
@@ -149,16 +158,5 @@ LLM_QUERIES = {
     "op8_main_text": op8_main_text,
     "op9_secrets": op9_secrets,
     "op10_toxicity": op10_toxicity,
-}
-
-LLM_ORACLE = {
-    "op1_exact_dedup": """
-        SELECT doc_id,
-               max(doc_id) OVER same AS keep_id,
-               count(*) OVER same AS group_size,
-               doc_id = max(doc_id) OVER same AS kept,
-               sha256(coalesce(text, '')) AS text_sha256
-        FROM documents
-        WINDOW same AS (PARTITION BY coalesce(text, ''))
-    """,
+    "op11_centroids": op11_centroids,
 }

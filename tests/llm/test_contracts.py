@@ -22,6 +22,7 @@ COLUMNS = {
     "op8": "page_id url text n_chars",
     "op9": "doc_id n_assign n_access n_hex base_sha256 spans",
     "op10": "doc_id held_out score predicted",
+    "op11": "vec_id cluster distance cluster_inertia inertia centroid_sha256",
 }
 
 
@@ -29,7 +30,7 @@ COLUMNS = {
 def test_columns_and_rows(spark, name):
     out = LLM_QUERIES[name](spark, SF)
     assert out.columns == COLUMNS[name.split("_")[0]].split()
-    source = {"op5": "embeddings", "op8": "pages"}.get(name.split("_")[0], "documents")
+    source = {"op5": "embeddings", "op8": "pages", "op11": "embeddings"}.get(name.split("_")[0], "documents")
     rows = out.collect()
     if name.startswith("op2"):
         assert {r.doc_id for r in rows} == {r.doc_id for r in table(spark, SF, source).collect()}
@@ -47,10 +48,13 @@ def test_spans_and_their_digest(spark):
         assert len(base) == r.n_assign + r.n_access + r.n_hex
 
 
-def test_exact_dedup_against_its_sql(spark):
+@pytest.mark.parametrize("name", list(LLM_ORACLE))
+def test_query_against_its_sql(spark, name):
     base = duckdb.connect()
-    base.execute(f"create view documents as select * from '{SF}/documents.parquet'")
-    relation = base.sql(LLM_ORACLE["op1_exact_dedup"])
-    got = LLM_QUERIES["op1_exact_dedup"](spark, SF)
+    for source in ("documents", "embeddings", "conversations"):
+        base.execute(f"create view {source} as select * from '{SF}/{source}.parquet'")
+    relation = base.sql(LLM_ORACLE[name])
+    got = LLM_QUERIES[name](spark, SF)
     assert got.columns == relation.columns
-    assert sorted(tuple(r) for r in got.collect()) == sorted(relation.fetchall())
+    key = lambda row: tuple(str(x) for x in row)
+    assert sorted(map(tuple, got.collect()), key=key) == sorted(relation.fetchall(), key=key)
