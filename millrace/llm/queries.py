@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,11 +17,13 @@ from millrace.llm import (
     packing,
     secrets,
     substrings,
+    token_files,
     toxicity,
     vectors,
 )
 from millrace.llm.exact import exact_groups
 from millrace.llm.oracle import LLM_ORACLE
+from millrace.session import scratch_root
 
 __all__ = ["LLM_ORACLE", "LLM_QUERIES"]
 
@@ -147,6 +151,14 @@ def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.with_inertia(*centroids.cluster(table(spark, sf_dir, "embeddings")))
 
 
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as it is read back from files of token ids: its place, length and checksum."""
+    folder = f"{scratch_root(spark)}/llm/token-files-{uuid.uuid4().hex}"
+    token_files.write(table(spark, sf_dir, "documents"), folder, public_tokenizers.path("word_bpe_49k.json"))
+    found = token_files.read(spark, folder)
+    return found.select("doc_id", "start", "n_tokens", F.crc32("tokens").alias("ids_crc32"))
+
+
 LLM_QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_packing": op2_packing,
@@ -159,4 +171,5 @@ LLM_QUERIES = {
     "op9_secrets": op9_secrets,
     "op10_toxicity": op10_toxicity,
     "op11_centroids": op11_centroids,
+    "op12_token_files": op12_token_files,
 }

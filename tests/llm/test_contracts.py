@@ -23,6 +23,7 @@ COLUMNS = {
     "op9": "doc_id n_assign n_access n_hex base_sha256 spans",
     "op10": "doc_id held_out score predicted",
     "op11": "vec_id cluster distance cluster_inertia inertia centroid_sha256",
+    "op12": "doc_id start n_tokens ids_crc32",
 }
 
 
