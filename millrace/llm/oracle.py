@@ -60,7 +60,50 @@ def _clustering(rounds: int) -> str:
 
 CLUSTERING = _clustering(10)
 
+# crc32 bit by bit, since the oracle has no function of it: of the id as decimal text
+_CRC32 = """
+    crc(c, i, v) AS (
+      SELECT DISTINCT conv_id, 0, 4294967295::BIGINT FROM conversations WHERE conv_id IS NOT NULL
+      UNION ALL
+      SELECT c, i + 1, list_reduce([xor(v, ascii(substr(c::VARCHAR, i + 1, 1))), 1, 2, 3, 4, 5, 6, 7, 8],
+                                    lambda x, k: xor(x >> 1, (x & 1) * 3988292384))
+      FROM crc WHERE i < length(c::VARCHAR)),
+    ids AS MATERIALIZED (
+      SELECT c, c - c % 100 AS base, xor(v, 4294967295) % 6 AS h FROM crc WHERE i = length(c::VARCHAR))"""
+
+PREFIX_TRIE = f"""
+    WITH RECURSIVE {_CRC32},
+    own AS MATERIALIZED (
+      SELECT conv_id AS c,
+             list({{'r': coalesce(role, ''), 't': coalesce(text, '')}}
+                  ORDER BY turn NULLS FIRST, coalesce(role, ''),
+                  sha256(concat_ws(':', strlen(coalesce(role, '')), coalesce(role, ''), coalesce(text, '')))) AS turns
+      FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+    whole AS MATERIALIZED (
+      SELECT i.c, list_concat(coalesce(b.turns[1:i.h], []), o.turns[i.h + 1:]) AS turns
+      FROM ids i JOIN own o ON o.c = i.c LEFT JOIN own b ON b.c = i.base),
+    path AS MATERIALIZED (
+      SELECT c, d, sha256(turns[1:d]::JSON::VARCHAR) AS k, sha256(turns[1:d - 1]::JSON::VARCHAR) AS before,
+             len(turns) AS n, length(turns[d].t) AS size
+      FROM (SELECT c, turns, unnest(range(len(turns) + 1)) AS d FROM whole)),
+    node AS MATERIALIZED (
+      SELECT d, k, min(c) AS c, any_value(before) AS before, count(*) AS n_convs,
+             coalesce((count(*) - 1) * any_value(size), 0) AS saved,
+             sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (n = d), '')) AS ends_sha256
+      FROM path GROUP BY d, k),
+    children AS (SELECT d - 1 AS d, before AS k, count(*) AS n FROM node WHERE d > 0 GROUP BY ALL),
+    sums AS (
+      SELECT p.d, p.k, sum(u.saved) AS saved, count(*) FILTER (w.n IS NULL) AS leaves
+      FROM node u JOIN path p ON p.c = u.c AND p.d <= u.d LEFT JOIN children w ON w.d = u.d AND w.k = u.k
+      GROUP BY ALL)
+    SELECT v.c AS conv_id, v.d AS depth, up.c AS parent_conv_id, v.n_convs,
+           coalesce(w.n, 0) AS n_children, s.leaves AS n_leaves, s.saved::BIGINT AS saved_tokens, v.ends_sha256
+    FROM node v JOIN sums s ON s.d = v.d AND s.k = v.k
+    LEFT JOIN children w ON w.d = v.d AND w.k = v.k
+    LEFT JOIN node up ON v.d > 0 AND up.d = v.d - 1 AND up.k = v.before"""
+
 LLM_ORACLE = {
     "op1_exact_dedup": EXACT_DEDUP,
     "op11_centroids": CLUSTERING,
+    "op13_prefix_trie": PREFIX_TRIE,
 }

@@ -15,6 +15,7 @@ from millrace.llm import (
     minhash,
     mixing,
     packing,
+    prefix_trie,
     secrets,
     substrings,
     token_files,
@@ -23,6 +24,7 @@ from millrace.llm import (
 )
 from millrace.llm.exact import exact_groups
 from millrace.llm.oracle import LLM_ORACLE
+from millrace.llm.scratch import landed
 from millrace.session import scratch_root
 
 __all__ = ["LLM_ORACLE", "LLM_QUERIES"]
@@ -159,6 +161,14 @@ def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "start", "n_tokens", F.crc32("tokens").alias("ids_crc32"))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the trie of conversations that begin with up to five turns of another one."""
+    turns = landed(prefix_trie.turns_of(table(spark, sf_dir, "conversations")), "trie-turns")
+    c = F.col("conv_id")
+    heads = F.crc32(c.cast("string").cast("binary")) % 6
+    return prefix_trie.trie(prefix_trie.rebuilt(turns, c - c % 100, heads, 5))
+
+
 LLM_QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_packing": op2_packing,
@@ -172,4 +182,5 @@ LLM_QUERIES = {
     "op10_toxicity": op10_toxicity,
     "op11_centroids": op11_centroids,
     "op12_token_files": op12_token_files,
+    "op13_prefix_trie": op13_prefix_trie,
 }

@@ -23,6 +23,7 @@ COLUMNS = {
     "op9": "doc_id n_assign n_access n_hex base_sha256 spans",
     "op10": "doc_id held_out score predicted",
     "op11": "vec_id cluster distance cluster_inertia inertia centroid_sha256",
+    "op13": "conv_id depth parent_conv_id n_convs n_children n_leaves saved_tokens ends_sha256",
     "op12": "doc_id start n_tokens ids_crc32",
 }
 
@@ -33,7 +34,9 @@ def test_columns_and_rows(spark, name):
     assert out.columns == COLUMNS[name.split("_")[0]].split()
     source = {"op5": "embeddings", "op8": "pages", "op11": "embeddings"}.get(name.split("_")[0], "documents")
     rows = out.collect()
-    if name.startswith("op2"):
+    if name.startswith("op13"):
+        assert [r.n_convs for r in rows if r.depth == 0] == [table(spark, SF, "conversations").select("conv_id").distinct().count()]
+    elif name.startswith("op2"):
         assert {r.doc_id for r in rows} == {r.doc_id for r in table(spark, SF, source).collect()}
     else:
         assert len(rows) == table(spark, SF, source).count()
