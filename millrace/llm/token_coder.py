@@ -29,7 +29,7 @@ _ONES = [np.ones(1 << d, np.float32) for d in _DIGITS]
 _GUESSED = 2.0**-10  # stands for the chance that order 0 gives an id
 
 BLOCK = 2048
-LANES = 4096
+LANES = 2048
 
 
 class _Model:
