@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 from itertools import islice
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.text import base_name
-from millrace.sources.archives import ANY_ARCHIVE, archive_files, checked_lines
+from millrace.sources.archive_source import examine, lines_of_files
+from millrace.sources.archives import ANY_ARCHIVE, archive_files
 from millrace.sources.manifest import STATE_SCHEMA, advance_state, feed_of, not_landed, stamp_of
 from millrace.sources.tables import add_columns, balanced, create_table, within
 
@@ -30,7 +30,7 @@ def land(
 ) -> dict[str, int]:
     """Check the files in ``drop`` against the manifest and land the new ones as lines.
 
-    Names are compared on the listing alone; only files that are wanted are opened, each once, at
+    Names are compared on the listing alone; only files that are wanted are opened, at
     most ``chunk`` of them in a step. A file with a wrong checksum, or a name that is in ``drop``
     twice, fails alone; it is remembered by path, size, time of change and wanted checksum and
     not opened again until one of them changes. The list of landed files is what makes a re-run skip, so a file is recorded
@@ -71,42 +71,41 @@ def _chunks(rows: Iterator[Row], size: int) -> Iterator[list[Row]]:
 
 
 def _land_chunk(spark: SparkSession, files: list[Row], lines_table: str, state_table: str) -> int:
-    """Lines of one chunk of files, then its failures, the marks and the list of landed files."""
-    # paths come from the listing, so no pattern is left to expand
-    paths = archive_files(spark, [_literal(f["path"]) for f in files], "*")
-    opened = checked_lines(paths, {f["file_name"]: f["md5"] for f in files}).persist(StorageLevel.DISK_ONLY)
-    try:
-        digests = {r["_source_file"]: r["digest"] for r in opened.filter("_raw_line IS NULL").collect()}
-        good = [f for f in files if digests.get(f["file_name"]) != "broken" and f["md5"] in ("", digests.get(f["file_name"]))]
-        bad = [(f["path"], f["length"], f["changed"], f["md5"]) for f in files if f not in good]
-        name = F.col("_source_file")
-        lines = opened.filter("_raw_line IS NOT NULL").select(
-            "_raw_line",
-            "_source_file",
-            feed_of(name).alias("feed"),
-            F.to_date(stamp_of(name)).alias("dt"),
-            F.hour(stamp_of(name)).alias("hour"),
-        )
-        # lines that are there already come from a run that died before recording their file
-        days = [r[0] for r in lines.select("dt").distinct().collect()]
-        held = spark.table(lines_table).filter(within("dt", days)).select("_source_file").distinct()
-        columns = spark.table(lines_table).columns
-        fresh = lines.join(held, "_source_file", "left_anti").select(*columns)
-        balanced(fresh, "dt").write.mode("append").insertInto(lines_table)
-        if bad:
-            spark.createDataFrame(bad, FAILED_DDL).write.mode("append").insertInto(f"{lines_table}_failed")
-        if good:
-            new = spark.createDataFrame([(f["file_name"], f["file_ts"], f["feed"]) for f in good], LANDED_DDL)
-            # one row per feed, read before its own table is overwritten
-            state = advance_state(spark.table(state_table), new).collect()
-            spark.createDataFrame(state, STATE_SCHEMA).write.insertInto(state_table, overwrite=True)
-            recorded = spark.table(f"{lines_table}_files").columns
-            new.select(*recorded).write.mode("append").insertInto(f"{lines_table}_files")
-        return len(good)
-    finally:
-        opened.unpersist()
+    """Lines of one chunk of files, then its failures, the marks and the list of landed files.
 
-
-def _literal(path: str) -> str:
-    """A path in which no character is taken for part of a pattern."""
-    return "".join(f"\\{c}" if c in "{}[]*?\\" else c for c in path)
+    Two passes: the first reads every archive to its end for its digest and the checksum of its
+    member, the second emits the lines of those that passed. Both are streams; nothing of an
+    archive is kept in between, and no line of a bad one is ever seen.
+    """
+    found = {r["path"]: r for r in examine(spark, [f["path"] for f in files]).collect()}
+    good, bad = [], []
+    for f in files:
+        seen = found[f["path"]]
+        passed = seen["readable"] and f["md5"] in ("", seen["digest"])
+        (good if passed else bad).append(f)
+    if bad:
+        rows = [(f["path"], f["length"], f["changed"], f["md5"]) for f in bad]
+        spark.createDataFrame(rows, FAILED_DDL).write.mode("append").insertInto(f"{lines_table}_failed")
+    if not good:
+        return 0
+    new = spark.createDataFrame([(f["file_name"], f["file_ts"], f["feed"]) for f in good], LANDED_DDL)
+    name = F.col("_source_file")
+    lines = lines_of_files(spark, [f["path"] for f in good]).select(
+        "_raw_line",
+        "_source_file",
+        feed_of(name).alias("feed"),
+        F.to_date(stamp_of(name)).alias("dt"),
+        F.hour(stamp_of(name)).alias("hour"),
+    )
+    # lines that are there already come from a run that died before recording their file
+    days = [r[0] for r in new.select(F.to_date(stamp_of(F.col("file_name")))).distinct().collect()]
+    held = spark.table(lines_table).filter(within("dt", days)).select("_source_file").distinct()
+    columns = spark.table(lines_table).columns
+    fresh = lines.join(held, "_source_file", "left_anti").select(*columns)
+    balanced(fresh, "dt").write.mode("append").insertInto(lines_table)
+    # one row per feed, read before its own table is overwritten
+    state = advance_state(spark.table(state_table), new).collect()
+    spark.createDataFrame(state, STATE_SCHEMA).write.insertInto(state_table, overwrite=True)
+    recorded = spark.table(f"{lines_table}_files").columns
+    new.select(*recorded).write.mode("append").insertInto(f"{lines_table}_files")
+    return len(good)

@@ -155,13 +155,13 @@ def test_every_feed_lands_and_a_failed_file_is_opened_once(spark, schema, tmp_pa
         "export": 2, "mentions": 2, "gkg": 2,
     }
     opened = []
-    real = landing.checked_lines
-    monkeypatch.setattr(landing, "checked_lines", lambda f, w: opened.append(w) or real(f, w))
+    real = landing.examine
+    monkeypatch.setattr(landing, "examine", lambda session, paths: opened.append(paths) or real(session, paths))
     assert land(spark, manifest, files, *tables) == {"landed": 0, "skipped": 3, "failed": 2}
     assert opened == []
     (tmp_path / "a" / broken).write_bytes(payload + b" ")  # changed, and still wrong
     assert land(spark, manifest, files, *tables)["failed"] == 2
-    assert [set(w) for w in opened] == [{broken}]
+    assert [[p.rsplit("/", 1)[-1] for p in w] for w in opened] == [[broken]]
 
 
 def test_a_corrected_checksum_reopens_the_file(spark, schema, tmp_path):
