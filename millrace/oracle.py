@@ -9,6 +9,7 @@ from __future__ import annotations
 from millrace.contract import EVENT_ROOTS, EVENTS, GEO_TYPE_NAMES, GEO_TYPE_OTHER
 from millrace.feed import feed_oracle_sql
 from millrace.queries import (
+    CUT_OFF_HOUR,
     FEED_STATE,
     FILES_SQL,
     FIRST_SNAPSHOT,
@@ -17,8 +18,10 @@ from millrace.queries import (
     ORDERS_BATCH_SQL,
     SECOND_SNAPSHOT,
     SPLIT_FILE,
+    TWICE_HOUR,
     WINDOW_END,
     WINDOW_START,
+    WRONG_SUM_HOUR,
 )
 
 _ATTRIBUTES = (
@@ -246,6 +249,12 @@ _STEPS: dict[str, tuple[tuple[str, ...], str]] = {
       select feed, file_name, md5, case when known then 'skipped'
         when md5 = '' or md5 = md5(text) then 'landed' else 'failed' end as status from files""",
     ),
+    # what comes out of the archives: a bad byte is replaced, a carriage return at the end is cut
+    "archived": (
+        ("feed",),
+        "select _source_file, case when length(_raw_line) % 7 = 0 then concat(_raw_line, chr(65533)) "
+        "else _raw_line end as _raw_line from feed",
+    ),
     "orders_batch": ((), ORDERS_BATCH_SQL.format(orders="orders")),
     "messages": ((), MESSAGES_SQL.format(events="events")),
 }
@@ -567,6 +576,23 @@ ORACLE: dict[str, str] = {
     ),
 }
 
+_BAD_HOURS = f"('{CUT_OFF_HOUR}', '{WRONG_SUM_HOUR}', '{TWICE_HOUR}')"
+
+ORACLE["archive_scan"] = _query(
+    f"select _raw_line, _source_file from archived where _source_file >= '{SPLIT_FILE}'", "archived"
+)
+ORACLE["archive_stream"] = _query("select _source_file, count(*) as line_count from archived group by 1", "archived")
+ORACLE["landing_run"] = _query(
+    f"""select _raw_line, _source_file, 'export' as feed,
+      cast(strptime(substr(_source_file, 1, 8), '%Y%m%d') as date) as dt,
+      cast(substr(_source_file, 9, 2) as integer) as hour,
+      concat(good, '/0/', bad) as first_run, concat('0/', good, '/', bad) as second_run
+    from archived cross join (
+      select count(distinct _source_file) filter (where substr(_source_file, 9, 2) not in {_BAD_HOURS}) as good,
+        count(distinct _source_file) filter (where substr(_source_file, 9, 2) in {_BAD_HOURS}) as bad from feed) files
+    where substr(_source_file, 9, 2) not in {_BAD_HOURS}""",
+    "archived",
+)
 ORACLE["fact_table_loaded"] = ORACLE["fact_incremental"]
 ORACLE["rejects_loaded"] = ORACLE["contract_rejects"]
 ORACLE["actor_history_table"] = ORACLE["actor_history"]

@@ -7,10 +7,12 @@ and once in plain SQL.
 
 from __future__ import annotations
 
+import hashlib
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from datetime import date, datetime
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,9 +20,12 @@ from millrace.feed import bronze_days, bronze_lines, landed, silver_events, tabl
 from millrace.operators import history, integrity, lines, quality, silver, star, upsert
 from millrace.operators.compaction import compact
 from millrace.plans.build_gold import load_fact, snapshot_actors
+from millrace.plans.land import land
 from millrace.plans.load_silver import load_silver
 from millrace.session import scratch_root, tune
-from millrace.sources import manifest, tables, topics
+from millrace.sources import archive_source, manifest, tables, topics
+from millrace.sources.archives import ANY_ARCHIVE
+from millrace.sources.places import place
 from millrace.streaming import gate as gating
 from millrace.streaming.events import stream_events, to_messages
 from millrace.streaming.run import gate_stats, run_gate
@@ -34,6 +39,9 @@ SECOND_SNAPSHOT = datetime(2024, 1, 20)
 WINDOW_START = datetime(2024, 1, 5)
 WINDOW_END = datetime(2024, 1, 20)
 
+# archives of these hours are written badly on purpose
+CUT_OFF_HOUR, WRONG_SUM_HOUR, TWICE_HOUR = "03", "05", "09"
+
 FEED_STATE = [
     ("export", datetime(2024, 1, 10)),
     ("mentions", datetime(2030, 1, 1)),
@@ -192,6 +200,101 @@ def _scratch_schema(spark: SparkSession) -> str:
 # --- landing ----------------------------------------------------------------------------
 
 
+# the feed as members of archives: bad bytes, blank lines, a second member, an archive without any
+ARCHIVE_ROWS_SQL = """
+select _source_file, '1.CSV' as member, encode(_raw_line, 'UTF-8') as line from {feed}
+  where length(_raw_line) % 7 <> 0
+union all
+select _source_file, '1.CSV', concat(encode(_raw_line, 'UTF-8'), unhex('FF0D')) from {feed}
+  where length(_raw_line) % 7 = 0
+union all
+select distinct _source_file, '1.CSV', encode('  ', 'UTF-8') from {feed}
+union all
+select distinct _source_file, '2.CSV', encode('not a line', 'UTF-8') from {feed}
+union all
+select '20240131999999.export.CSV.zip', cast(null as string), cast(null as binary)
+"""
+
+
+def _archives(spark: SparkSession, sf_dir: str, where: Column | None = None) -> DataFrame:
+    feed = bronze_lines(spark, sf_dir)
+    return spark.sql(ARCHIVE_ROWS_SQL, feed=feed if where is None else feed.filter(where))
+
+
+def _written(rows: DataFrame, folder: str) -> DataFrame:
+    """Archives of ``rows`` in ``folder``, and what is known of them as a table."""
+    known = archive_source.write_archives(rows, folder)
+    spark = rows.sparkSession
+    path = f"{_scratch(spark)}-written"
+    known.write.parquet(path)
+    return spark.read.schema(archive_source.WRITTEN).parquet(path)
+
+
+def _copies(files: DataFrame, folder: str, share: float = 1.0) -> DataFrame:
+    """The first ``share`` of each archive put into another folder, by tasks; their sizes and digests."""
+
+    def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path, content in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist()):
+                system, root = place(folder)
+                system.create_dir(root, recursive=True)
+                name, part = path.rsplit("/", 1)[-1], content[: int(len(content) * share)]
+                with system.open_output_stream(f"{root}/{name}") as out:
+                    out.write(part)
+                columns = [pa.array([name]), pa.array([len(part)]), pa.array([hashlib.md5(part).hexdigest()])]
+                yield pa.record_batch(columns, ["_source_file", "size", "digest"])
+
+    spark = files.sparkSession
+    path = f"{_scratch(spark)}-copied"
+    files.select("path", "content").mapInArrow(put, archive_source.WRITTEN).write.parquet(path)
+    return spark.read.schema(archive_source.WRITTEN).parquet(path)
+
+
+def archive_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed written as archives and read back from the split on, past a damaged one before it."""
+    folder = f"{_scratch(spark)}/archives"
+    _written(_archives(spark, sf_dir), folder)
+    system, root = place(folder)
+    with system.open_output_stream(f"{root}/00000000000000.export.CSV.zip") as damaged:
+        damaged.write(b"no archive")
+    return archive_source.scan(spark, folder, first=SPLIT_FILE)
+
+
+def archive_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines by archive after three runs of one checkpoint, with archives added after the first."""
+    home = _scratch(spark)
+    early = F.col("_source_file") < SPLIT_FILE
+    for batch in (early, ~early, F.lit(False)):
+        _written(_archives(spark, sf_dir, batch), f"{home}/drop")
+        lines = archive_source.scan_stream(spark, f"{home}/drop", settle=0)
+        run = lines.writeStream.format("parquet").option("checkpointLocation", f"{home}/state")
+        query = run.trigger(availableNow=True).start(f"{home}/lines")
+        query.awaitTermination()
+    held = spark.read.schema(archive_source.LINES).parquet(f"{home}/lines")
+    return held.groupBy("_source_file").agg(F.count(F.lit(1)).alias("line_count"))
+
+
+def landing_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed lines, with the tallies of two runs over good archives and three kinds of bad ones."""
+    home, name = _scratch(spark), F.col("_source_file")
+    hour = F.substring(name, 9, 2)
+    feed = _archives(spark, sf_dir).filter("member IS NOT NULL")
+    whole = _written(feed.filter(hour != CUT_OFF_HOUR), f"{home}/drop/whole")
+    _written(feed.filter(hour == CUT_OFF_HOUR), f"{home}/apart")
+    binary = spark.read.format("binaryFile").option("pathGlobFilter", ANY_ARCHIVE)
+    cut = _copies(binary.load(f"{home}/apart"), f"{home}/drop/cut", 0.7)
+    twice = binary.load(f"{home}/drop/whole").filter(F.col("path").rlike(f"/[0-9]{{8}}{TWICE_HOUR}[^/]*$"))
+    _copies(twice, f"{home}/drop/twice")
+    said = F.when(hour == WRONG_SUM_HOUR, F.md5(name.cast("binary"))).otherwise(F.col("digest"))
+    line = F.concat_ws(" ", F.col("size").cast("string"), said, F.concat(F.lit("http://h/"), name))
+    index = manifest.parse_index(whole.unionByName(cut).select(line.alias("value")))
+    schema = _scratch_schema(spark)
+    runs = [land(spark, index, f"{home}/drop/*", f"{schema}.lines", f"{schema}.marks") for _ in range(2)]
+    tallies = [F.lit("/".join(str(run[k]) for k in ("landed", "skipped", "failed"))) for run in runs]
+    landed_lines = spark.table(f"{schema}.lines")
+    return landed_lines.withColumns({"first_run": tallies[0], "second_run": tallies[1]})
+
+
 def index_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain_time(_manifest(spark, sf_dir))
 
@@ -484,6 +587,9 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _QUERIES = (
+    archive_scan,
+    archive_stream,
+    landing_run,
     index_parse,
     index_window,
     index_not_landed,
