@@ -36,6 +36,9 @@ _TOKEN = re.compile(
 )
 _ATTR = re.compile(r"([^\s=/\"'>]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
 _NAME = re.compile(r"[a-z]+|[A-Z][a-z]*")
+_HIDDEN_ENDS = {tag: re.compile(rf"</{tag}\b[^>]*(?:>|\Z)", re.IGNORECASE) for tag in _HIDDEN}
+# elements nested deeper hang on the last one that counts, as browsers do; nothing is lost by it
+_DEEPEST = 512
 
 
 @dataclass
@@ -62,31 +65,36 @@ class Page:
 def read(source: str) -> Page:
     """The tree of a page; never fails, whatever the markup."""
     page, stack = Page(), [0]
+    # depths in the stack of the open elements of each kind
+    open_at: dict[str, list[int]] = {}
     parts: list[str] = []
     in_link = linked = 0
-    skip_to = 0
+
+    def parent() -> int:
+        return stack[min(len(stack), _DEEPEST) - 1]
+
+    def innermost(kinds: set[str]) -> int:
+        return max((open_at[k][-1] for k in kinds if open_at.get(k)), default=0)
 
     def flush() -> None:
         nonlocal linked
         text = " ".join(html.unescape("".join(parts)).split())
         if text:
-            page.add(stack[-1], TEXT, [], text, min(1.0, linked / max(1, len(text))), None)
+            page.add(parent(), TEXT, [], text, min(1.0, linked / max(1, len(text))), None)
         parts.clear()
         linked = 0
 
     def close(kinds: set[str], within: set[str]) -> None:
-        for depth in range(len(stack) - 1, 0, -1):
-            tag = page.tag[stack[depth]]
-            if tag in kinds:
-                flush()
-                del stack[depth:]
-                return
-            if tag in within:
-                return
+        depth = innermost(kinds)
+        if depth > innermost(within):
+            flush()
+            for node in reversed(stack[depth:]):
+                open_at[page.tag[node]].pop()
+            del stack[depth:]
 
-    for token in _TOKEN.finditer(source):
-        if token.start() < skip_to:
-            continue
+    at = 0
+    while token := _TOKEN.match(source, at):
+        at = token.end()
         if token["text"]:
             parts.append(token["text"])
             linked += len(token["text"]) if in_link else 0
@@ -102,8 +110,9 @@ def read(source: str) -> Page:
                 in_link = 0
             continue
         if tag in _HIDDEN:
-            end = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.IGNORECASE).search(source, token.end())
-            skip_to = end.end() if end else len(source)
+            # what stands inside is not read at all, whatever quotes and signs it holds
+            end = _HIDDEN_ENDS[tag].search(source, at)
+            at = end.end() if end else len(source)
         elif tag in ("br", "wbr"):
             parts.append(" " if tag == "br" else "")
         elif tag == "a":
@@ -121,8 +130,9 @@ def read(source: str) -> Page:
             spelled = " ".join(attrs.get(k, "") for k in ("class", "id", "role"))
             names = [n.lower() for n in _NAME.findall(spelled)]
             label = attrs.get("data-label")
-            node = page.add(stack[-1], tag, names, "", 0.0, int(label) if label in ("0", "1") else None)
+            node = page.add(parent(), tag, names, "", 0.0, int(label) if label in ("0", "1") else None)
             if not (token["attrs"] or "").endswith("/"):
+                open_at.setdefault(tag, []).append(len(stack))
                 stack.append(node)
     flush()
     return page

@@ -13,6 +13,7 @@ sample is bounded (``max_pages``, by a hash of the id, of the pages that label t
 
 from __future__ import annotations
 
+import html
 import random
 import re
 import zlib
@@ -53,6 +54,7 @@ _KINDS = 5
 @dataclass(frozen=True)
 class Settings:
     max_pages: int = 300
+    max_bytes: int = 1 << 18
     copies: int = 3
     steps: int = 80
     rate: float = 0.3
@@ -176,12 +178,36 @@ def fit(pages: list[Page], settings: Settings = Settings()) -> Model:
 
 # ---- labelled pages --------------------------------------------------------------------------
 
-_CONTAINER = re.compile(r"<(article|main)\b([^>]*)>(.*?)</\1\s*>", re.DOTALL | re.IGNORECASE)
-
-
-def labels_itself(source: str) -> bool:
-    """Has the page exactly one container?"""
-    return len(_CONTAINER.findall(source)) == 1
+_MARKS = re.compile(
+    r"<!--.*?(?:-->|\Z)|<(script|style|template|noscript|textarea)\b[^>]*>.*?(?:</\1\b|\Z)"
+    r"|<(?P<end>/?)(?P<tag>article|main)\b(?P<attrs>[^>]*)>",
+    re.DOTALL | re.IGNORECASE,
+)
+
+
+def containers(source: str) -> list[tuple[re.Match, re.Match]]:
+    """Start and end tags of the outermost articles and mains that are closed; one pass."""
+    found, stack, held = [], [], {"article": 0, "main": 0}
+    for mark in _MARKS.finditer(source):
+        if mark["tag"] is None:
+            continue
+        tag = mark["tag"].lower()
+        if not mark["end"]:
+            stack.append((tag, mark))
+            held[tag] += 1
+        elif held[tag]:
+            kind = None
+            while kind != tag:
+                kind, start = stack.pop()
+                held[kind] -= 1
+            if not stack:
+                found.append((start, mark))
+    return found
+
+
+def labels_itself(source: str | None) -> bool:
+    """Has the page exactly one outermost container?"""
+    return len(containers(source or "")) == 1
 
 
 def labelled(source: str, copies: int, seed: int) -> Iterator[str]:
@@ -189,12 +215,26 @@ def labelled(source: str, copies: int, seed: int) -> Iterator[str]:
 
     Nothing for a page without exactly one container.
     """
-    found = _CONTAINER.findall(source)
+    found = containers(source)
     if len(found) != 1:
         return
-    match = _CONTAINER.search(source)
-    before, inner, after = source[: match.start()], match[3], source[match.end() :]
-    yield f'{before}<{match[1]}{match[2]} data-label="1">{inner}</{match[1]}>{after}'
+    start, end = found[0]
+    before, inner, after = source[: start.start()], source[start.end() : end.start()], source[end.end() :]
+    tag = start["tag"]
+    yield f'{before}<{tag}{start["attrs"]} data-label="1">{inner}</{tag}>{after}'
+    yield from _copies(before, inner, after, copies, seed)
+
+
+def composed(source: str, copies: int, seed: int) -> Iterator[str]:
+    """Labelled pages made of the longer paragraphs of a page that says nothing about itself."""
+    page = read(source)
+    long = [t for t, p in zip(page.text, page.parent) if t and len(t.split()) >= 8 and page.tag[p] == "p"]
+    if long:
+        inner = "".join(f"<p>{html.escape(t)}</p>" for t in long)
+        yield from _copies("<html><body>", inner, "</body></html>", copies, seed)
+
+
+def _copies(before: str, inner: str, after: str, copies: int, seed: int) -> Iterator[str]:
     dice = random.Random(seed)
     prose = [s.strip() for s in re.split(r"<[^>]*>", inner) if len(s.split()) >= 8] or ["."]
     words = re.sub(r"<[^>]*>", " ", inner).split() or ["."]
@@ -245,24 +285,31 @@ def labelled(source: str, copies: int, seed: int) -> Iterator[str]:
 
 
 def train(pages: DataFrame, settings: Settings = Settings()) -> Model:
-    """A model from at most ``max_pages`` of the pages that label themselves.
+    """A model from at most ``max_pages`` of the pages that label themselves, none over ``max_bytes``.
 
-    Where no page does, there is nothing to learn and the model calls every block main text.
+    Where no page does, pages are composed of paragraphs of the table, with side matter around them.
+    Where there are no paragraphs either, there is nothing to learn and every block is main text.
     """
 
     def telling(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield batch.select(["page_id"]).filter(pa.array([labels_itself(x) for x in batch.column("html").to_pylist()], pa.bool_()))
 
-    likely = pages.where("page_id IS NOT NULL").where(F.col("html").rlike("(?i)<(article|main)\\b"))
-    likely = likely.select(F.col("page_id").cast("long").alias("page_id"), "html")
-    ids = likely.mapInArrow(telling, "page_id long").distinct()
-    # a proven bound for a broadcast
-    picked = ids.orderBy(F.xxhash64("page_id", F.lit("main text")), "page_id").limit(settings.max_pages)
-    chosen = pages.select(F.col("page_id").cast("long").alias("page_id"), F.coalesce("html", F.lit("")).alias("html"))
-    rows = chosen.join(F.broadcast(picked), "page_id", "left_semi").collect()
-    rows = sorted({(r.page_id, r.html) for r in rows})
-    return fit([read(s) for number, html in rows for s in labelled(html, settings.copies, number)], settings)
+    known = pages.where("page_id IS NOT NULL").where(F.octet_length("html") <= settings.max_bytes)
+    known = known.select(F.col("page_id").cast("long").alias("page_id"), "html")
+    likely = known.where(F.col("html").rlike("(?i)<(article|main)\\b"))
+
+    def sample(ids: DataFrame) -> list[tuple[int, str]]:
+        # a proven bound for a broadcast, and for what reaches the driver
+        picked = ids.orderBy(F.xxhash64("page_id", F.lit("main text")), "page_id").limit(settings.max_pages)
+        rows = known.join(F.broadcast(picked), "page_id", "left_semi").orderBy("page_id", "html").limit(settings.max_pages)
+        return sorted({(r.page_id, r.html) for r in rows.collect()})
+
+    rows, made = sample(likely.mapInArrow(telling, "page_id long").distinct()), labelled
+    if not rows:
+        paragraphs = known.where(F.col("html").rlike("(?i)<p\\b")).select("page_id").distinct()
+        rows, made = sample(paragraphs), composed
+    return fit([read(s) for number, source in rows for s in made(source, settings.copies, number)], settings)
 
 
 def extract(pages: DataFrame, model: Model) -> DataFrame:

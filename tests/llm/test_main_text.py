@@ -73,6 +73,92 @@ def test_broken_markup_never_fails():
     assert [t for t in read("<script>a</script>b<style>c</style >d").text if t] == ["bd"]
 
 
+def slow_texts(source):
+    """Text blocks by the parser of the standard library, for plain markup with scripts."""
+    from html.parser import HTMLParser
+
+    class Reader(HTMLParser):
+        hidden, parts, out = 0, [], []
+
+        def flush(self):
+            text = " ".join("".join(self.parts).split())
+            self.out += [text] if text else []
+            self.parts = []
+
+        def handle_starttag(self, tag, attrs):
+            if tag in ("script", "style"):
+                self.hidden = 1
+            elif tag != "b":
+                self.flush()
+
+        def handle_endtag(self, tag):
+            if tag in ("script", "style"):
+                self.hidden = 0
+            elif tag != "b":
+                self.flush()
+
+        def handle_data(self, data):
+            if not self.hidden:
+                self.parts.append(data)
+
+    reader = Reader()
+    reader.parts, reader.out = [], []
+    reader.feed(source)
+    reader.close()
+    reader.flush()
+    return reader.out
+
+
+def test_scripts_with_any_signs_swallow_nothing():
+    shown = "<script>if(a<b) // don't\n f()</script><p>He said 'no' to it all.</p><p>Second block's here.</p>"
+    assert [t for t in read(shown).text if t] == ["He said 'no' to it all.", "Second block's here."]
+    dice = np.random.default_rng(8)
+    inside = ["a<b", "'", '"', "<!-", "x='<p>'", "</p>", "<a href='", "->", "\n", "&lt;", "if (i<3) {"]
+    outside = ["He said 'no'", "<b>bold</b>", '"quoted"', "more &amp; more", "it's", "5 > 4"]
+    for _ in range(300):
+        source = ""
+        for _ in range(dice.integers(1, 6)):
+            tag = dice.choice(["script", "style"])
+            source += f"<{tag}>{''.join(dice.choice(inside, dice.integers(0, 6)))}</{tag}>"
+            source += f"<p>{' '.join(dice.choice(outside, dice.integers(0, 5)))}</p>"
+        assert [t for t in read(source).text if t] == slow_texts(source), source
+
+
+def test_unclosed_and_nested_tags_take_linear_time(model):
+    import time
+
+    source = "<article>" * 100_000 + "<p>text"
+    start = time.perf_counter()
+    assert not main_text.labels_itself(source)
+    assert not main_text.labels_itself("<article>" * 50_000 + "</main>" * 50_000)
+    assert time.perf_counter() - start < 1
+    start = time.perf_counter()
+    for tag in ("div", "article", "li", "p"):
+        page = read(f"<p><table>{f'<{tag}>' * 100_000}one</{tag}>two")
+        assert [t for t in page.text if t] in (["one", "two"], ["onetwo"])
+    assert time.perf_counter() - start < 12
+    assert main_text.forest([page]).depth.max() <= 600
+
+
+def test_the_outermost_container_counts():
+    nested = "<main>a<article>b</article><article>c</article>d</main>"
+    assert main_text.labels_itself(f"<script>'<main></main>'</script><!-- <main></main> -->{nested}<article>")
+    first = next(main_text.labelled(nested, 0, 1))
+    assert first == '<main data-label="1">a<article>b</article><article>c</article>d</main>'
+    assert not main_text.labels_itself(nested + "<main></main>") and not main_text.labels_itself(None)
+
+
+def test_without_any_container_menus_and_footers_stay_out(spark):
+    rows = [(i, "u", p.replace("<article>", '<div class="story">').replace("</article>", "</div>")) for i, p in pages(60)]
+    table = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in main_text.extract(table, main_text.train(table)).collect()}
+    source = dict((i, p) for i, p in pages(60))
+    for i, text in got.items():
+        assert "Home" not in text and "Buy" not in text and "\u00a9" not in text
+    kept = sum(t.count("word") for t in got.values()) / sum(s.split("<article>")[1].count("word") for s in source.values())
+    assert kept > 0.9
+
+
 def test_over_a_table(spark):
     rows = [*((i, "u", p) for i, p in pages(40)), (50, None, None), (51, "u", ""), (0, "u", next(pages(1))[1])]
     rows += [(None, "u", "<article><p>" + "many words " * 50_000 + "</p></article>")]
