@@ -143,6 +143,19 @@ def sign(docs: DataFrame, settings: Settings) -> DataFrame:
     return slim.mapInArrow(rows, _SIGNED)
 
 
+class _Pairs:
+    """The lengths of pairs of texts, without putting the texts together."""
+
+    def __init__(self, left: list[bytes], right: list[bytes]) -> None:
+        self._sizes = [len(x) + len(y) for x, y in zip(left, right)]
+
+    def __iter__(self) -> Iterator[range]:
+        return (range(n) for n in self._sizes)
+
+    def __len__(self) -> int:
+        return len(self._sizes)
+
+
 def linked(pairs: DataFrame, texts: DataFrame, settings: Settings) -> DataFrame:
     """Those of ``pairs (a, b)`` whose multisets overlap enough, counted exactly."""
     both = pairs.join(texts.toDF("a", "text_a"), "a").join(texts.toDF("b", "text_b"), "b")
@@ -151,7 +164,7 @@ def linked(pairs: DataFrame, texts: DataFrame, settings: Settings) -> DataFrame:
         for batch in batches:
             left, right = utf8(batch.column("text_a")), utf8(batch.column("text_b"))
             keep = np.zeros(batch.num_rows, bool)
-            for a, b in slices([x + y for x, y in zip(left, right)]):
+            for a, b in slices(_Pairs(left, right)):
                 number = {t: i for i, t in enumerate(dict.fromkeys([*left[a:b], *right[a:b]]))}
                 code, times, bounds = multisets(list(number), settings.words)
                 total = np.add.reduceat(np.append(times, 0), np.minimum(bounds[:-1], len(times)))
@@ -176,6 +189,7 @@ def _elements(texts: list[bytes], words: int) -> tuple[np.ndarray, np.ndarray]:
     return mix(np.repeat(code, times) + mix(nth.astype(np.uint64))), total[bounds]
 
 
+_CHUNK_BYTES = 4 << 20  # a chunk's elements and their sorting take some twenty times that
 _PREFIX = "element long, doc_id long, rest long"
 
 
@@ -187,7 +201,7 @@ def prefixes(texts: DataFrame, settings: Settings) -> DataFrame:
     only one text holds joins nothing. ``rest`` counts the text's elements from this one on: two
     texts whose first common element this is have at most the smaller rest in common.
     """
-    chunks = chunk_count(texts)
+    chunks = chunk_count(texts, _CHUNK_BYTES)
     buckets, dealt = 2 * chunks, deal(texts, chunks)
 
     def ask(table: pa.Table) -> pa.Table:
