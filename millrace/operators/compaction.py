@@ -47,11 +47,11 @@ def compact(
     )
     wanted = {row[partition]: max(1, row["byte_count"] // target_bytes) for row in found.collect()}
     if wanted:
-        days = list(wanted)
-        rows = spark.table(table).filter(within(partition, days))
-        files = F.lit(wanted[None] if None in wanted else 1)
-        for day, count in wanted.items():
-            files = F.when(F.col(partition) == F.lit(day), F.lit(count)).otherwise(files) if day is not None else files
-        dealt = rows.withColumn("_file", F.pmod(F.xxhash64(*rows.columns), files))
+        rows = spark.table(table).filter(within(partition, list(wanted)))
+        kind = rows.schema[partition].dataType.simpleString()
+        # one row for each partition that is rewritten, as many as their values in the filter
+        files = spark.createDataFrame(list(wanted.items()), f"_day {kind}, _files long")
+        counted = rows.join(F.broadcast(files), F.col(partition).eqNullSafe(F.col("_day")))
+        dealt = counted.withColumn("_file", F.pmod(F.xxhash64(*rows.columns), F.col("_files"))).drop("_day", "_files")
         overwrite_partitions(dealt.repartition(sum(wanted.values()), partition, "_file"), table)
     return list(wanted)

@@ -261,6 +261,15 @@ def high_water(fact: DataFrame) -> DataFrame:
     return fact.agg(newest.alias("loaded_until"))
 
 
+def on_days(fact: DataFrame, dates: DataFrame) -> DataFrame:
+    """The facts of the days in ``dates``, a filtered date dimension.
+
+    On a fact that is partitioned by day the days become a filter of the scan at run time, so
+    other partitions are not read.
+    """
+    return fact.join(dates.select("date_key"), "date_key", "left_semi")
+
+
 def star_rollup(
     fact: DataFrame,
     dates: DataFrame,

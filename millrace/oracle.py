@@ -519,6 +519,23 @@ ORACLE: dict[str, str] = {
         "places",
         "attributes",
     ),
+    "star_month": _query(
+        """select d.year, d.month, t.root_description, t.quad_class_name,
+          a.country_code as actor_country, g.country_code as place_country,
+          count(*) as event_count,
+          round(cast(sum(cast(f.avg_tone as decimal(18,4))) as double) / count(f.avg_tone), 6)
+            as mean_tone
+        from fact f join dates d on f.date_key = d.date_key
+          and d.year = 2024 and d.month = 1 and d.is_weekend
+        left join event_types t on f.cameo_key = t.cameo_key
+        left join places g on f.action_geo_key = g.geo_key
+        left join attributes a on f.actor1_key = md5(a.actor_code) group by all""",
+        "fact",
+        "dates",
+        "event_types",
+        "places",
+        "attributes",
+    ),
     "test_unique": _query(
         """select global_event_id as value, count(*) as row_count from typed
         where global_event_id is not null group by 1 having count(*) > 1""",

@@ -15,7 +15,7 @@ from millrace.session import tune
 from millrace.sources.tables import create_table, overwrite_partitions, rebuild, replace_by_key
 
 FACT_PARTITION = "date_key"
-HISTORY_PARTITION = "is_open"
+HISTORY_PARTITION = "ended_on"
 
 
 def _ddl(df: DataFrame) -> str:
@@ -31,49 +31,73 @@ def load_fact(
 ) -> None:
     """Add events newer than the newest loaded so far; re-published ones replace their row.
 
-    The fact is partitioned by day, so a load rewrites the days it touches and not the table.
-    The mark is kept in a table of its own, ``<table>_mark``, as microseconds: the fact is not
-    read for it, and it never becomes a local time of the driver. It is written last; a load that
-    dies before is repeated by the next. ``lookback`` lowers the limit for late files; a full
-    refresh starts over.
+    The fact is partitioned by day, so a load rewrites the days it touches and not the table. The
+    batch is written as a table first and read from there by every step, the mark included: an event
+    that arrives during the load is left to the next one. The mark is kept in a table of its own,
+    ``<table>_mark``, as microseconds: the fact is not read for it, and it never becomes a local time
+    of the driver. It is written last; a load that dies before is repeated by the next. ``lookback``
+    lowers the limit for late files; a full refresh is built beside the table and takes its place
+    when complete.
     """
+    if full_refresh and spark.catalog.tableExists(table):
+        fresh = f"{table}_fresh"
+        for name in (fresh, f"{fresh}_mark"):
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+        load_fact(spark, staged, fresh)
+        for old, new in ((f"{table}_mark", f"{fresh}_mark"), (table, fresh)):
+            spark.sql(f"DROP TABLE IF EXISTS {old}")
+            spark.sql(f"ALTER TABLE {new} RENAME TO {old}")
+        return
     mark = f"{table}_mark"
-    if full_refresh:
-        spark.sql(f"DROP TABLE IF EXISTS {table}")
-        spark.sql(f"DROP TABLE IF EXISTS {mark}")
     create_table(spark, table, _ddl(star.fact_events(staged)), FACT_PARTITION)
     create_table(spark, mark, "loaded_micros bigint")
     loaded = spark.table(mark).agg(F.max("loaded_micros")).first()[0]
     if loaded is None:  # a fact from before there was a mark, or none
         loaded = star.high_water(spark.table(table)).select(F.unix_micros("loaded_until")).first()[0]
     since = max(loaded - lookback // timedelta(microseconds=1), micros(star.FLOOR))
-    batch = star.fact_events(staged, F.timestamp_micros(F.lit(since)))
-    replace_by_key(spark, table, batch, "event_key", FACT_PARTITION)
-    newest = batch.agg(F.unix_micros(F.max("date_added")).alias("m")).first()["m"]
+    rebuild(star.fact_events(staged, F.timestamp_micros(F.lit(since))), f"{table}_batch")
+    try:
+        batch = spark.table(f"{table}_batch")
+        replace_by_key(spark, table, batch, "event_key", FACT_PARTITION)
+        newest = batch.agg(F.unix_micros(F.max("date_added")).alias("m")).first()["m"]
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {table}_batch")
     if newest is not None and newest > loaded:
         spark.createDataFrame([(newest,)], "loaded_micros bigint").write.insertInto(mark, overwrite=True)
 
 
+def open_actors(spark: SparkSession, table: str) -> DataFrame:
+    """The versions of the actor history that have no end: one partition, the others are not read."""
+    return spark.table(table).filter(F.col(HISTORY_PARTITION).isNull())
+
+
 def snapshot_actors(
     spark: SparkSession, attributes: DataFrame, table: str, as_of: datetime
 ) -> None:
-    """Advance the actor history. Closed versions sit in a partition of their own that is
-    only added to; the open ones are replaced."""
+    """Advance the actor history: the open part is read and replaced, closed versions are added.
+
+    Closed versions are partitioned by the day they ended, so a snapshot never reads the years
+    before. What it does read of them are the days since the last complete snapshot, kept in
+    ``<table>_mark`` and written last: a run that died in between left its closed versions there.
+    """
     moment = instant(as_of)
-    shape = open_versions(attributes, moment).withColumn(HISTORY_PARTITION, F.lit(True))
+    shape = open_versions(attributes, moment).withColumn(HISTORY_PARTITION, F.to_date("valid_to"))
     create_table(spark, table, _ddl(shape), HISTORY_PARTITION)
-    held = spark.table(table)
-    current = held.filter(F.col(HISTORY_PARTITION)).drop(HISTORY_PARTITION)
-    moved = advance_history(current, attributes, moment).withColumn(
-        HISTORY_PARTITION, F.col("valid_to").isNull()
-    )
-    columns = held.columns
-    closed = moved.filter(~F.col(HISTORY_PARTITION))
-    # a run that died after this step finds its closed versions already there
+    create_table(spark, f"{table}_mark", "snapshot_day date")
+    day = F.to_date(moment)
+    done = spark.table(f"{table}_mark").agg(F.max("snapshot_day")).first()[0]
+    moved = advance_history(open_actors(spark, table).drop(HISTORY_PARTITION), attributes, moment)
+    moved = moved.withColumn(HISTORY_PARTITION, F.to_date("valid_to"))
+    columns = spark.table(table).columns
     version = ["actor_code", "valid_from"]
-    known = held.filter(~F.col(HISTORY_PARTITION)).select(*version)
-    closed.join(known, version, "left_anti").select(*columns).write.mode("append").insertInto(table)
-    overwrite_partitions(moved.filter(F.col(HISTORY_PARTITION)), table)
+    known = spark.table(table).filter(F.col(HISTORY_PARTITION).isNotNull())
+    if done is not None:
+        known = known.filter(F.col(HISTORY_PARTITION) >= F.lit(done))
+    closed = moved.filter(F.col(HISTORY_PARTITION).isNotNull())
+    closed = closed.join(known.select(*version), version, "left_anti").select(*columns)
+    closed.write.mode("append").insertInto(table)
+    overwrite_partitions(moved.filter(F.col(HISTORY_PARTITION).isNull()), table)
+    spark.range(1).select(day.alias("snapshot_day")).write.insertInto(f"{table}_mark", overwrite=True)
 
 
 def build_gold(
@@ -96,7 +120,7 @@ def build_gold(
     snapshot_actors(
         spark, spark.table(at("int_actor_attributes")), at("snap_dim_actor"), as_of
     )
-    rebuild(star.dim_actor(spark.table(at("snap_dim_actor"))), at("dim_actor"))
+    rebuild(star.dim_actor(open_actors(spark, at("snap_dim_actor"))), at("dim_actor"))
     rebuild(star.dim_date(staged), at("dim_date"))
     rebuild(star.dim_geography(staged), at("dim_geography"))
     rebuild(star.dim_cameo_event(staged, star.event_roots(spark)), at("dim_cameo_event"))

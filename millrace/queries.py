@@ -447,7 +447,7 @@ def actor_history_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = f"{_scratch_schema(spark)}.snap_dim_actor"
     for batch, moment in (("first", FIRST_SNAPSHOT), ("second", SECOND_SNAPSHOT), ("second", SECOND_SNAPSHOT)):
         snapshot_actors(spark, star.actor_attributes(_staged(spark, sf_dir, batch)), name, moment)
-    return _plain_time(spark.table(name).drop("is_open"))
+    return _plain_time(spark.table(name).drop("ended_on"))
 
 
 def actor_union(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -497,6 +497,21 @@ def star_rollup_by_root(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def star_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The star rollup of one month's weekends, on the written fact that is partitioned by day."""
+    schema, staged = _scratch_schema(spark), _staged(spark, sf_dir)
+    load_fact(spark, staged, f"{schema}.fact_events")
+    tables.rebuild(star.dim_date(staged), f"{schema}.dim_date")
+    dates = spark.table(f"{schema}.dim_date").filter("year = 2024 AND month = 1 AND is_weekend")
+    return star.star_rollup(
+        star.on_days(spark.table(f"{schema}.fact_events"), dates),
+        dates,
+        star.dim_actor(history.open_versions(star.actor_attributes(staged), _at(FIRST_SNAPSHOT))),
+        star.dim_geography(staged),
+        star.dim_cameo_event(staged, star.event_roots(spark)),
+    )
+
+
 def test_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
     return integrity.duplicates(
         silver.type_lines(_conformant(spark, sf_dir)), "global_event_id"
@@ -624,6 +639,7 @@ _QUERIES = (
     dim_geography,
     dim_cameo_event,
     star_rollup_by_root,
+    star_month,
     test_unique,
     test_not_null,
     test_accepted,

@@ -15,6 +15,7 @@ from millrace.operators import star
 from millrace.operators.history import advance_history, as_of_join, open_versions
 from millrace.operators.integrity import duplicates, nulls, orphans, unaccepted
 from millrace.operators.silver import to_silver
+from millrace.plans import build_gold as build_gold_module
 from millrace.plans.build_gold import build_gold, gold_tests, load_fact, snapshot_actors
 from millrace.plans.load_silver import load_silver
 
@@ -260,3 +261,24 @@ def test_snapshots_of_one_second_keep_all_versions(spark, schema):
     rows = spark.table(table).collect()
     assert len(rows) == len({r.scd_id for r in rows}) == 4
     assert sorted(r.actor_name for r in rows) == [f"name {k}" for k in range(4)]
+
+
+def test_a_snapshot_reads_no_closed_days_before_the_last_one(spark, schema, monkeypatch):
+    table = f"{schema}.snap"
+    for k in range(4):
+        snapshot_actors(spark, actors(spark, a=f"name {k}", b="same"), table, T1 + dt.timedelta(days=k))
+    days = {r[0] for r in spark.table(table).select("ended_on").distinct().collect()}
+    assert days == {None, *((T1 + dt.timedelta(days=k)).date() for k in (1, 2, 3))}
+    seen = []
+    real = build_gold_module.advance_history
+    monkeypatch.setattr(build_gold_module, "advance_history", lambda h, *rest: seen.append(h.inputFiles()) or real(h, *rest))
+    # a run that dies after its closed versions were added is healed by one of another day
+    monkeypatch.setattr(build_gold_module, "overwrite_partitions", lambda *_: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        snapshot_actors(spark, actors(spark, a="late", b="same"), table, T1 + dt.timedelta(days=4))
+    monkeypatch.undo()
+    snapshot_actors(spark, actors(spark, a="late", b="same"), table, T1 + dt.timedelta(days=5))
+    assert len(seen) == 1
+    rows = spark.table(table).filter("actor_code = 'a'").collect()
+    assert len({r.valid_from for r in rows}) == len(rows) == 5
+    assert [r.actor_name for r in rows if r.valid_to is None] == ["late"]

@@ -10,7 +10,9 @@ from millrace.feed import bronze_lines, silver_events
 from millrace.operators import quality, silver, star
 from millrace.operators.lines import conformant
 from millrace.operators.upsert import upsert_parts
+from millrace.plans.build_gold import load_fact
 from millrace.session import scratch_root
+from millrace.sources.tables import rebuild
 
 
 def plan_of(df, mode="formatted"):
@@ -78,3 +80,14 @@ def test_a_large_batch_is_joined_without_broadcast(spark):
         assert (kept.count(), taken.count()) == (0, target.count())
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_days_of_a_filtered_dimension_prune_the_fact(spark, staged, schema):
+    load_fact(spark, staged, f"{schema}.fact")
+    rebuild(star.dim_date(staged), f"{schema}.dates")
+    dates = spark.table(f"{schema}.dates").filter("day_of_month <= 7")
+    plan = plan_of(star.on_days(spark.table(f"{schema}.fact"), dates))
+    scan = next(line for line in plan.splitlines() if "PartitionFilters" in line and "date_key" in line)
+    assert "dynamicpruning" in scan
+    all_days = star.fact_events(staged).join(star.dim_date(staged).filter("day_of_month <= 7").select("date_key"), "date_key")
+    assert star.on_days(spark.table(f"{schema}.fact"), dates).count() == all_days.count()
