@@ -25,13 +25,15 @@ class SchemaDriftError(RuntimeError):
 
 @dataclass(frozen=True)
 class LoadResult:
-    """Lines read, lines rejected, their spread, results of the checks, events of the batch."""
+    """Lines read, lines rejected, their spread, results of the checks, events of the batch and,
+    after it, of the table (a count of file footers; no row is read)."""
 
     total: int = 0
     malformed: int = 0
     distribution: dict[int, int] = field(default_factory=dict)
     checks: list[Row] = field(default_factory=list)
     events: int = 0
+    table_events: int = 0
 
 
 def load_silver(
@@ -82,7 +84,7 @@ def load_silver(
             events = silver.count()
         finally:
             spark.sql(f"DROP TABLE IF EXISTS {table}_batch")
-        return LoadResult(total, malformed, spread, checked, events)
+        return LoadResult(total, malformed, spread, checked, events, spark.table(table).count())
     finally:
         if keep_lines:
             lines.unpersist()
