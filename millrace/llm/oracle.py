@@ -102,8 +102,44 @@ PREFIX_TRIE = f"""
     LEFT JOIN children w ON w.d = v.d AND w.k = v.k
     LEFT JOIN node up ON v.d > 0 AND up.d = v.d - 1 AND up.k = v.before"""
 
+NEAR_VECTORS = """
+    WITH RECURSIVE usable AS MATERIALIZED (
+      SELECT vec_id, e, sqrt(list_dot_product(e, e)) AS size
+      FROM (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings)
+      WHERE len(e) > 0 AND len(list_filter(e, lambda x: x IS NOT NULL AND isfinite(x))) = len(e)
+        AND len(list_filter(e, lambda x: x <> 0)) > 0),
+    link AS MATERIALIZED (
+      SELECT a.vec_id AS a, b.vec_id AS b
+      FROM usable a JOIN usable b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+      WHERE list_dot_product(a.e, b.e) >= 0.9 * a.size * b.size),
+    reach(a, b) AS (
+      SELECT vec_id, vec_id FROM embeddings UNION SELECT r.a, l.b FROM reach r JOIN link l ON l.a = r.b),
+    least AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a),
+    number AS (SELECT a, count(*) AS n FROM link GROUP BY a)
+    SELECT e.vec_id, coalesce(n.n, 0) AS n_links, c.component_id, e.vec_id = c.component_id AS kept
+    FROM embeddings e JOIN least c ON c.a = e.vec_id LEFT JOIN number n ON n.a = e.vec_id"""
+
+SUBSTRINGS = """
+    WITH cut AS MATERIALIZED (
+      SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+    place AS MATERIALIZED (
+      SELECT doc_id, w[i] AS word, i, CASE WHEN i + 49 <= len(w) THEN sha256(array_to_string(w[i:i + 49], ' ')) END AS k
+      FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM cut)),
+    first AS (SELECT k, min(doc_id) AS d FROM place WHERE k IS NOT NULL GROUP BY k),
+    seen AS (SELECT p.doc_id, p.i, p.word, coalesce(f.d < p.doc_id, false) AS again FROM place p LEFT JOIN first f ON f.k = p.k),
+    marked AS (
+      SELECT doc_id, i, word, bool_or(again) OVER (
+        PARTITION BY doc_id ORDER BY i ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) AS gone FROM seen),
+    left_over AS (
+      SELECT doc_id, count(*) FILTER (gone) AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (NOT gone) AS kept
+      FROM marked GROUP BY doc_id)
+    SELECT c.doc_id, len(c.w) AS n_words, coalesce(l.n_removed, 0) AS n_removed, sha256(coalesce(l.kept, '')) AS kept_sha256
+    FROM cut c LEFT JOIN left_over l ON l.doc_id = c.doc_id"""
+
 LLM_ORACLE = {
     "op1_exact_dedup": EXACT_DEDUP,
+    "op5_vectors": NEAR_VECTORS,
+    "op7_substring_dedup": SUBSTRINGS,
     "op11_centroids": CLUSTERING,
     "op13_prefix_trie": PREFIX_TRIE,
 }
