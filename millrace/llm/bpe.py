@@ -11,8 +11,9 @@ import json
 import numpy as np
 import tiktoken
 
-# fixed value: the published pre-tokenisation pattern of this vocabulary
-PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+# fixed value: the published pre-tokenisation pattern of this vocabulary, in the possessive form the
+# encoder's library publishes for it, which does not go back
+PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"""
 
 
 def _alphabet() -> dict[str, int]:

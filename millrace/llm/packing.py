@@ -3,7 +3,7 @@
 Terms are the ids of the tokenizer. Document frequencies, the number of documents and their mean
 length are those of the whole table. A shuffle brings related documents together, wherever they lay:
 a tree of two-means splits, grown on a bounded sample of document vectors, gives every document a
-place, and ranges of places, equal in rows however many documents share a place, become shards of
+place, and ranges of places, equal in tokens however many documents share a place, become shards of
 at most ``shard_tokens`` tokens with a BM25 inverted index each. A seed document opens a
 window; its best unused neighbours fill the rest: the first of them that fits whole, else the best
 one, cut where the window ends. What is cut off goes on in the next window, whose seed it is. No
@@ -21,7 +21,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.bpe import encoder
@@ -32,7 +32,8 @@ from millrace.llm.scratch import landed
 class Settings:
     """``k1`` and ``b`` are BM25's. ``terms`` of the seed that weigh most make its query: all by default.
 
-    About ``sample`` document vectors of ``axes`` numbers grow the tree that routes.
+    About ``sample`` document vectors of ``axes`` numbers grow the tree that routes; about
+    ``per_range`` documents for each shard say where its range of places ends.
     """
 
     window: int = 2048
@@ -43,6 +44,7 @@ class Settings:
     b: float = 0.75
     sample: int = 16_384
     axes: int = 128
+    per_range: int = 64
 
 
 @dataclass(frozen=True)
@@ -61,29 +63,61 @@ def _idf(stats: Stats) -> np.ndarray:
 class Index:
     """BM25 over the documents of a shard. Postings lie by term; a document knows its own.
 
-    Weights follow ``stats``, by default those of the shard.
+    Weights follow ``stats``, by default those of the shard. A term that a quarter of the documents
+    hold is a row with a number for each document, at most four times its postings in size; rows are
+    added up whole, in single precision.
     """
 
     def __init__(self, docs: list[np.ndarray], settings: Settings, stats: Stats | None = None) -> None:
         n, lengths = len(docs), np.array([len(d) for d in docs])
         owner = np.repeat(np.arange(n, dtype=np.int64), lengths)
         keys = np.sort((owner << 16) | np.concatenate(docs))
-        new = np.append(True, keys[1:] != keys[:-1])
-        at = np.flatnonzero(new)
+        at = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
         times = np.diff(np.append(at, len(keys)))
-        doc, term = keys[at] >> 16, keys[at] & 0xFFFF
+        doc, term = (keys[at] >> 16).astype(np.int32), (keys[at] & 0xFFFF).astype(np.uint16)
         held = np.bincount(term, minlength=1 << 16)
         stats = stats or Stats(n, lengths.mean(), held)
-        idf = _idf(stats)
         norm = settings.k1 * (1 - settings.b + settings.b * lengths / stats.mean)
-        weight = idf[term] * times * (settings.k1 + 1) / (times + norm[doc])
-        by_term = np.argsort(term.astype(np.uint16), kind="stable")  # sixteen bits: linear
-        self._doc, self._weight = doc[by_term], weight[by_term]
-        self._begin = np.concatenate([[0], np.cumsum(held)])
+        weight = (_idf(stats)[term] * times * (settings.k1 + 1) / (times + norm[doc])).astype(np.float32)
         self._terms, self._own = term, np.searchsorted(doc, np.arange(n + 1))
         # a term of one document only finds nobody
-        self._pull = np.where(held[term] > 1, weight, 0.0)
-        self._n, self._settings = n, settings
+        self._pull = np.where(held[term] > 1, weight, np.float32(0))
+        self._settings = settings
+        self._lay(doc, term, weight, np.arange(n))
+
+    def _lay(self, doc: np.ndarray, term: np.ndarray, weight: np.ndarray, at: np.ndarray) -> None:
+        """Postings in order of documents, which are numbers into ``at``."""
+        self._postings, self._at = (doc, term, weight), at
+        held = np.bincount(term, minlength=1 << 16)
+        often = np.flatnonzero(held * 4 >= max(len(at), 4))
+        self._row = np.full(1 << 16, -1, np.int32)
+        self._row[often] = np.arange(len(often))
+        row = self._row[term]
+        in_row = row >= 0
+        self._rows = np.zeros((len(often), len(at)), np.float32)
+        self._rows[row[in_row], doc[in_row]] = weight[in_row]
+        rare = np.flatnonzero(~in_row)
+        by_term = rare[np.argsort(term[rare], kind="stable")]  # sixteen bits: linear
+        self._doc, self._weight = doc[by_term], weight[by_term]
+        held[often] = 0
+        self._begin = np.concatenate([[0], np.cumsum(held)])
+
+    def leave(self, used: np.ndarray) -> None:
+        """Documents that are used for good leave the index, once they are half of it."""
+        gone = used[self._at]
+        if 2 * np.count_nonzero(gone) <= len(gone):
+            return
+        doc, term, weight = self._postings
+        stay, number = ~gone[doc], np.cumsum(~gone, dtype=np.int32) - 1
+        self._lay(number[doc[stay]], term[stay], weight[stay], self._at[~gone])
+
+    def _scores(self, terms: np.ndarray) -> np.ndarray:
+        row = self._row[terms]
+        scores = self._rows[row[row >= 0]].sum(axis=0)
+        rare = terms[row < 0].astype(np.int64)
+        begin, count = self._begin[rare], self._begin[rare + 1] - self._begin[rare]
+        found = np.arange(count.sum()) + np.repeat(begin - (np.cumsum(count) - count), count)
+        return scores + np.bincount(self._doc[found], self._weight[found], len(self._at))
 
     def neighbours(self, seed: int, used: np.ndarray) -> np.ndarray:
         """Unused documents that share terms with ``seed``, best first; ties by position."""
@@ -92,15 +126,15 @@ class Index:
         if len(pull) > self._settings.terms:
             best = np.argpartition(-pull, self._settings.terms)[: self._settings.terms]
             pull, terms = pull[best], terms[best]
-        spans = [slice(self._begin[t], self._begin[t + 1]) for t in terms[pull > 0]]
-        if not spans:
+        terms = terms[pull > 0]
+        most = min(self._settings.neighbours, len(self._at))
+        if not len(terms) or not most:
             return np.zeros(0, np.int64)
-        found = np.concatenate([self._doc[s] for s in spans])
-        scores = np.bincount(found, np.concatenate([self._weight[s] for s in spans]), self._n)
-        scores[used] = 0.0
-        most = min(self._settings.neighbours, self._n)
+        scores = self._scores(terms)
+        scores[used[self._at]] = 0.0
         top = np.sort(np.argpartition(-scores, most - 1)[:most])
-        return top[np.argsort(-scores[top], kind="stable")][: np.count_nonzero(scores[top] > 0)]
+        top = top[np.argsort(-scores[top], kind="stable")][: np.count_nonzero(scores[top] > 0)]
+        return self._at[top]
 
 
 def windows(
@@ -116,6 +150,7 @@ def windows(
     while True:
         ranked = ranked[~used[ranked]]
         if pieces and not len(ranked):
+            index.leave(used)
             ranked = index.neighbours(pieces[-1][0] if seed < 0 else seed, used)
             seed = -1
         if pieces and len(ranked):
@@ -261,17 +296,22 @@ def statistics(tokens: DataFrame) -> Stats:
 
 
 def routed(tokens: DataFrame, stats: Stats, settings: Settings) -> DataFrame:
-    """``tokens`` in ranges of related documents, each a partition in order of places."""
+    """``tokens`` in ranges of related documents, each a partition in order of places.
+
+    Ranges are equal in tokens, by a sample that grows with their number: ``per_range`` rows each.
+    """
     spark = tokens.sparkSession
     spot = F.xxhash64("doc_id", "tokens")
 
+    def share(rows: float) -> Column:
+        return F.pmod(spot, F.lit(1 << 30)) < int(min(1.0, rows / max(stats.n, 1)) * (1 << 30))
+
     def sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = vectors(_docs(batch), stats, settings)
             yield pa.record_batch([pa.array([x.tobytes() for x in found], pa.binary())], ["v"])
 
-    share = int(min(1.0, settings.sample / max(stats.n, 1)) * (1 << 30))
-    chosen = tokens.where(F.pmod(spot, F.lit(1 << 30)) < share).select("tokens")
+    chosen = tokens.where(share(settings.sample)).select("tokens")
     found = sorted(bytes(r.v) for r in chosen.mapInArrow(sampled, "v binary").distinct().collect())
     tree = spark.sparkContext.broadcast(
         grow(np.frombuffer(b"".join(found), np.float32).reshape(-1, settings.axes))
@@ -282,11 +322,46 @@ def routed(tokens: DataFrame, stats: Stats, settings: Settings) -> DataFrame:
             place = tree.value.places(vectors(_docs(batch), stats, settings))
             yield pa.record_batch([*batch.columns, pa.array(place)], [*batch.schema.names, "_place"])
 
-    known = tokens.mapInArrow(placed, "doc_id long, tokens binary, _place long").withColumn("_spot", spot)
+    known = "doc_id long, tokens binary, _place long"
     # a little under a shard each, so that ranges of uneven length are seldom cut again
     parts = max(1, -(-int(stats.n * stats.mean) * 5 // (settings.shard_tokens * 4)))
-    ranged = known.repartitionByRange(parts, "_place", "_spot").sortWithinPartitions("_place", "_spot")
-    return ranged.select("doc_id", "tokens")
+    some = tokens.where(share(parts * settings.per_range)).mapInArrow(placed, known)
+    places = some.select("_place", spot.alias("_spot"), (F.octet_length("tokens") / 2).alias("size")).toPandas()
+    bounds = spark.sparkContext.broadcast(
+        ends(places["_place"].to_numpy(), places["_spot"].to_numpy(), places["size"].to_numpy(), parts)
+    )
+
+    def ranged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in placed(batches):
+            part = range_of(batch.column("_place").to_numpy(), batch.column("_spot").to_numpy(), bounds.value)
+            yield batch.append_column("_part", pa.array(part))
+
+    dealt = tokens.withColumn("_spot", spot).mapInArrow(ranged, "doc_id long, tokens binary, _spot long, _place long, _part int")
+    near = dealt.repartitionById(parts, "_part").sortWithinPartitions("_place", "_spot")
+    return near.select("doc_id", "tokens")
+
+
+def ends(place: np.ndarray, spot: np.ndarray, size: np.ndarray, parts: int) -> np.ndarray:
+    """Place and spot where each of ``parts`` ranges but the last ends: as many tokens in each."""
+    order = np.lexsort((spot, place))
+    tokens = np.cumsum(size[order])
+    if not len(tokens):
+        return np.zeros((0, 2), np.int64)
+    at = np.searchsorted(tokens, tokens[-1] * np.arange(1, parts) / parts)
+    return np.stack([place[order][at], spot[order][at]], axis=1).astype(np.int64)
+
+
+def range_of(place: np.ndarray, spot: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """The number of the range that each place and spot lies in; a bound belongs to the range it ends.
+
+    Bounds and rows are sorted together, so places that many documents share are split by spot.
+    """
+    edge = np.arange(len(place) + len(bounds)) < len(bounds)
+    places = np.concatenate([bounds[:, 0], place])
+    order = np.lexsort((edge, np.concatenate([bounds[:, 1], spot]), places))
+    passed = np.empty(len(order), np.int32)
+    passed[order] = np.cumsum(edge[order])
+    return passed[len(bounds) :]
 
 
 # ---- over tables -----------------------------------------------------------------------------

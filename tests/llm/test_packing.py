@@ -118,3 +118,28 @@ def test_related_documents_meet_across_files(spark, docs_of):
     pairs = [a == b for x in together.values() for a, b in zip(x, x[1:])]
     assert np.mean(pairs) > 0.7
     assert {p.doc_id for p in pieces} == {i for i, _ in rows}
+
+
+def test_used_documents_leave_without_changing_what_is_found():
+    dice = np.random.default_rng(7)
+    docs = [dice.zipf(1.3, dice.integers(5, 90)).clip(0, 900).astype(np.uint16) for _ in range(120)]
+    settings = packing.Settings()
+    whole, shrinking, used = packing.Index(docs, settings), packing.Index(docs, settings), np.zeros(120, bool)
+    for seed in dice.permutation(120):
+        used[seed] = True
+        shrinking.leave(used)
+        assert shrinking.neighbours(seed, used).tolist() == whole.neighbours(seed, used).tolist()
+    assert not len(shrinking.neighbours(0, used))
+
+
+def test_ranges_hold_equal_tokens_also_where_many_share_a_place():
+    dice = np.random.default_rng(8)
+    place = np.where(dice.random(6000) < 0.4, 77, dice.integers(0, 1 << 40, 6000))
+    spot, size = dice.integers(-(1 << 62), 1 << 62, 6000), dice.integers(1, 5000, 6000)
+    bounds = packing.ends(place[::2], spot[::2], size[::2], 10)
+    got = packing.range_of(place, spot, bounds)
+    want = [sum((p, s) > tuple(b) for b in bounds.tolist()) for p, s in zip(place.tolist(), spot.tolist())]
+    assert got.tolist() == want
+    totals = np.bincount(got, size, 10)
+    assert totals.max() < 1.2 * totals.mean() and totals.min() > 0.8 * totals.mean()
+    assert packing.range_of(place, spot, packing.ends(place[:0], spot[:0], size[:0], 10)).max() == 0
