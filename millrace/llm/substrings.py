@@ -9,16 +9,24 @@ and their bytes are compared.
 A chunk of documents sends each distinct string once, with the smallest id that has it. The bucket
 answers which windows of the string start in a smaller document elsewhere. What is common therefore
 travels once for each chunk.
+
+A minimiser that many different strings share, such as one inside a short passage that every document
+wraps in other words, would fill its bucket. Strings are counted by minimiser beforehand; where they
+are too many their windows are sent one by one, as 128-bit digests dealt by digest, so that only equal
+windows still meet. The bytes of these are not compared: 10**12 windows collide with chance 10**-15.
 """
 
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from millrace.llm.chunks import (
     ANSWERED,
@@ -30,14 +38,19 @@ from millrace.llm.chunks import (
     pack_bytes,
     unpack_bytes,
 )
-from millrace.llm.words import Words, grams, mix, powers, split
+from millrace.llm.words import Words, grams, mix, powers, slices, split, utf8
 
 
 @dataclass(frozen=True)
 class Settings:
+    """A minimiser of more than ``most`` strings is split. Slices that hold at most ``few`` of its strings
+    do not count them, so an unsplit one has ``most`` strings and ``few`` a slice more at worst."""
+
     width: int = 50
     seed: int = 8
     chunk_bytes: int = 5 << 20
+    most: int = 1 << 16
+    few: int = 8
 
 
 def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
@@ -74,10 +87,48 @@ def super_kmers(words: Words, settings: Settings) -> tuple[np.ndarray, np.ndarra
     return start[at], np.diff(np.append(at, len(start))), least[at]
 
 
+def hot_minimisers(docs: DataFrame, settings: Settings) -> np.ndarray:
+    """Minimisers, sorted, whose distinct strings are too many for one bucket.
+
+    Counted where the texts lie, one row for each slice and frequent minimiser is shuffled; what
+    comes back is at most one in ``most`` of all strings.
+    """
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = utf8(batch.column("text"))
+            for a, b in slices(texts, settings.chunk_bytes):
+                words = split(texts[a:b])
+                start, windows, least = super_kmers(words, settings)
+                up, down = powers(len(words.start) + 1)
+                sums = np.concatenate([[np.uint64(0)], np.cumsum(words.code * up[: len(words.start)])])
+                string = (sums[start + windows + settings.width - 1] - sums[start]) * down[start]
+                _, one = np.unique(mix(string) ^ least, return_index=True)
+                names, times = np.unique(least[one], return_counts=True)
+                often = times > settings.few
+                yield pa.record_batch(
+                    [pa.array(names[often].view(np.int64)), pa.array(times[often])], ["least", "strings"]
+                )
+
+    counts = docs.select("text").mapInArrow(counted, "least long, strings long").groupBy("least")
+    found = counts.agg(F.sum("strings").alias("strings")).where(F.col("strings") > settings.most).collect()
+    return np.sort(np.array([r.least for r in found], np.int64).view(np.uint64))
+
+
+def _by_bucket(bucket: np.ndarray, which: np.ndarray) -> dict[int, np.ndarray]:
+    order = which[np.argsort(bucket[which], kind="stable")]
+    parts = np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1) if len(order) else []
+    return {int(bucket[p[0]]): p for p in parts}
+
+
 class Chunk:
-    """The super-k-mers of a chunk's documents and the distinct strings among them."""
+    """The super-k-mers of a chunk's documents and the distinct strings among them.
+
+    Strings of ``hot`` minimisers are told by the windows they are made of, ``digests``; buckets of
+    these come after the others.
+    """
 
-    def __init__(self, table: pa.Table, buckets: int, settings: Settings) -> None:
+    def __init__(self, table: pa.Table, buckets: int, settings: Settings, hot: np.ndarray) -> None:
         self.ids, texts = in_order(table)
         # one space between words, so that a window has one spelling
         self.texts = [b" ".join(t.split()) for t in texts]
@@ -95,11 +146,22 @@ class Chunk:
         ids = np.array([-1 if i is None else i for i in self.ids], np.int64)
         self.doc = ids[owner]  # ascending, so the first run of a string has its smallest id
         self.smallest, self.count = self.doc[first], self.windows[first]
-        bucket = least[first] % np.uint64(buckets)
-        by_bucket = np.argsort(bucket, kind="stable")
-        edges = np.flatnonzero(np.diff(bucket[by_bucket])) + 1
-        parts = np.split(by_bucket, edges) if len(by_bucket) else []
-        self.buckets = {int(bucket[p[0]]): p for p in parts}
+        split_up = np.isin(least[first], hot)
+        self.buckets = _by_bucket(least[first] % np.uint64(buckets), np.flatnonzero(~split_up))
+        known_as: dict[bytes, int] = {}
+        self.windows_of: dict[int, np.ndarray] = {}
+        least_id: list[int] = []
+        for k in np.flatnonzero(split_up).tolist():
+            at = self.start[first[k]] + np.arange(self.count[k])
+            spans = zip(words.start[at].tolist(), words.end[at + settings.width - 1].tolist())
+            found = [known_as.setdefault(xxhash.xxh3_128_digest(raw[a:b]), len(known_as)) for a, b in spans]
+            # strings come by ascending smallest id, so a window is first met with its own
+            least_id += [self.smallest[k]] * (len(known_as) - len(least_id))
+            self.windows_of[k] = np.array(found, np.int64)
+        self.digests = np.frombuffer(b"".join(known_as), np.uint64).reshape(-1, 2)
+        self.least_id = np.array(least_id, np.int64)
+        spread = self.digests[:, 0] % np.uint64(buckets) + np.uint64(buckets)
+        self.digest_buckets = _by_bucket(spread, np.arange(len(self.digests)))
 
 
 def _asked(chunk: int, held: Chunk) -> pa.Table:
@@ -111,7 +173,11 @@ def _asked(chunk: int, held: Chunk) -> pa.Table:
         )
         for part in held.buckets.values()
     ]
-    return asked_table(chunk, list(held.buckets), rows)
+    rows += [
+        pack_bytes(held.digests[part].tobytes() + held.least_id[part].tobytes())
+        for part in held.digest_buckets.values()
+    ]
+    return asked_table(chunk, [*held.buckets, *held.digest_buckets], rows)
 
 
 def earlier(strings: list[bytes], smallest: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -154,20 +220,33 @@ def earlier(strings: list[bytes], smallest: np.ndarray, width: int) -> tuple[np.
     return flags, bounds
 
 
-def _answers(table: pa.Table, width: int) -> pa.Table:
-    strings: list[bytes] = []
-    smallest: list[np.ndarray] = []
-    sizes = []
+def earlier_digests(digests: np.ndarray, smallest: np.ndarray) -> np.ndarray:
+    """For each digest: does an equal one have a smaller id?"""
+    order = np.lexsort((digests[:, 0], digests[:, 1]))
+    there = digests[order]
+    new = np.append(True, (there[1:] != there[:-1]).any(axis=1))
+    least = np.minimum.reduceat(smallest[order], np.flatnonzero(new))
+    flags = np.zeros(len(order), bool)
+    flags[order] = least[np.cumsum(new) - 1] < smallest[order]
+    return flags
+
+
+def _answers(table: pa.Table, buckets: int, width: int) -> pa.Table:
     order = sorted(range(table.num_rows), key=lambda k: table["chunk"][k].as_py())
-    for k in order:
-        block = unpack_bytes(table["asked"][k].as_py())
-        count = int(np.frombuffer(block[:8], np.int64)[0])
-        smallest.append(np.frombuffer(block[8 : 8 + 8 * count], np.int64))
-        strings.extend(block[8 + 8 * count :].split(b"\n"))
-        sizes.append(count)
-    flags, bounds = earlier(strings, np.concatenate(smallest), width)
-    rows = [bounds[b - n : b + 1] for n, b in zip(sizes, np.cumsum(sizes))]
-    answers = [flags[r[0] : r[-1]] for r in rows]
+    blocks = [unpack_bytes(table["asked"][k].as_py()) for k in order]
+    if table["bucket"][0].as_py() >= buckets:
+        sizes = [len(b) // 24 for b in blocks]
+        digests = np.concatenate([np.frombuffer(b[: 16 * n], np.uint64) for b, n in zip(blocks, sizes)])
+        smallest = np.concatenate([np.frombuffer(b[16 * n :], np.int64) for b, n in zip(blocks, sizes)])
+        flags = earlier_digests(digests.reshape(-1, 2), smallest)
+        ends = np.cumsum(sizes)
+    else:
+        sizes = [int(np.frombuffer(b[:8], np.int64)[0]) for b in blocks]
+        smallest = np.concatenate([np.frombuffer(b[8 : 8 + 8 * n], np.int64) for b, n in zip(blocks, sizes)])
+        strings = [s for b, n in zip(blocks, sizes) for s in b[8 + 8 * n :].split(b"\n")]
+        flags, bounds = earlier(strings, smallest, width)
+        ends = bounds[np.cumsum(sizes)]
+    answers = np.split(flags, ends[:-1])
     hit = [k for k, a in enumerate(answers) if a.any()]
     return pa.table({
         "chunk": pa.array([table["chunk"][order[k]].as_py() for k in hit], pa.int64()),
@@ -179,13 +258,20 @@ def _answers(table: pa.Table, width: int) -> pa.Table:
 def _removed(held: Chunk, answers: pa.Table, width: int) -> np.ndarray:
     """Which words of the chunk lie in a window that a smaller document has."""
     flags = [np.zeros(n, bool) for n in held.count]
+    there = np.zeros(len(held.digests), bool)
     for bucket, answer in zip(answers["bucket"].to_pylist(), answers["answer"].to_pylist()):
-        part = held.buckets[bucket]
         bits = np.unpackbits(np.frombuffer(unpack_bytes(answer), np.uint8)).astype(bool)
+        if bucket in held.digest_buckets:
+            part = held.digest_buckets[bucket]
+            there[part] = bits[: len(part)]
+            continue
+        part = held.buckets[bucket]
         at = 0
         for k in part:
             flags[k] = bits[at : at + held.count[k]]
             at += held.count[k]
+    for k, windows in held.windows_of.items():
+        flags[k] = there[windows] | (held.least_id[windows] < held.smallest[k])
     starts = np.zeros(len(held.words.start) + 1, bool)
     copy = held.doc > held.smallest[held.string] if len(held.string) else np.zeros(0, bool)
     for k, (first, n, string) in enumerate(zip(held.start, held.windows, held.string)):
@@ -209,16 +295,18 @@ def drop_repeats(docs: DataFrame, settings: Settings = Settings(), *, with_text:
     """
     chunks = chunk_count(docs, settings.chunk_bytes)
     buckets, width = 2 * chunks, settings.width
+    # a bounded number of them, at most one in ``most`` strings
+    hot = docs.sparkSession.sparkContext.broadcast(hot_minimisers(docs, settings))
     dealt = deal(docs, chunks)
 
     def ask(table: pa.Table) -> pa.Table:
-        return _asked(table["chunk"][0].as_py(), Chunk(table, buckets, settings))
+        return _asked(table["chunk"][0].as_py(), Chunk(table, buckets, settings, hot.value))
 
     def reply(table: pa.Table) -> pa.Table:
-        return _answers(table, width)
+        return _answers(table, buckets, width)
 
     def finish(mine: pa.Table, answers: pa.Table) -> pa.Table:
-        held = Chunk(mine, buckets, settings)
+        held = Chunk(mine, buckets, settings, hot.value)
         gone = _removed(held, answers, width)
         first = held.words.first
         before = np.concatenate([[0], np.cumsum(gone)])

@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow.compute as pc
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -49,6 +50,45 @@ def test_against_brute_force_over_many_chunks(docs_of):
         assert sorted((tuple(r) for r in got), key=str) == brute(rows, 10)
 
 
+def test_split_minimisers_against_brute_force(docs_of):
+    for seed, few, most in ((1, 0, 0), (2, 0, 3), (4, 1, 6)):
+        rows = made(seed)
+        small = substrings.Settings(width=10, seed=3, chunk_bytes=2500, few=few, most=most)
+        assert len(substrings.hot_minimisers(docs_of(rows), small))
+        got = substrings.drop_repeats(docs_of(rows), small).collect()
+        assert sorted((tuple(r) for r in got), key=str) == brute(rows, 10)
+
+
+def test_a_short_passage_in_every_document_fills_no_bucket(docs_of):
+    """Its minimiser is shared by all, its windows by few: dealt one by one they spread evenly."""
+    dice = random.Random(11)
+    notice = [f"notice{k}" for k in range(9)]
+    rows = [(i, " ".join([f"a{dice.random()}" for _ in range(5)] + notice + [f"b{dice.random()}" for _ in range(5)]))
+            for i in range(400)]
+    rows += [(900 + i, rows[i][1]) for i in range(5)]
+    small = substrings.Settings(width=12, seed=4, chunk_bytes=2500, few=2, most=50)
+    docs = docs_of(rows)
+    hot = substrings.hot_minimisers(docs, small)
+    assert len(hot)
+    chunks = substrings.chunk_count(docs, small.chunk_bytes)
+    blocks = substrings.deal(docs, chunks).where("chunk < 6").toArrow()
+
+    def largest(split_up):
+        """Share of what six chunks ask that goes to one bucket."""
+        sizes = np.zeros(4 * chunks)
+        for n in range(6):
+            part = blocks.filter(pc.field("chunk") == n)
+            asked = substrings._asked(n, substrings.Chunk(part, 2 * chunks, small, split_up))
+            for bucket, block in zip(asked["bucket"].to_pylist(), asked["asked"].to_pylist()):
+                sizes[bucket] += len(substrings.unpack_bytes(block))
+        return sizes.max() / sizes.sum()
+
+    assert largest(hot) < largest(hot[:0]) / 3
+    got = substrings.drop_repeats(docs, small).collect()
+    assert sorted((tuple(r) for r in got), key=str) == brute(rows, 12)
+    assert sum(r.n_removed > 0 for r in got) == 5
+
+
 def test_edge_cases(docs_of):
     long = " ".join(f"v{k}" for k in range(20_000))
     rows = [(1, None), (2, ""), (3, "few words"), (4, long), (5, "x " + long), (5, "x " + long), (None, long), (6, "é\x1cb ñ")]
