@@ -283,7 +283,8 @@ def statistics(tokens: DataFrame) -> Stats:
         held = np.zeros(1 << 16, np.int64)
         for batch in batches:
             for doc in _docs(batch):
-                held[np.unique(doc)] += 1
+                ids = np.sort(doc)  # of sixteen bits: several times faster than to hash them
+                held[ids[np.append(True, ids[1:] != ids[:-1])]] += 1
         term = np.flatnonzero(held)
         yield pa.record_batch([pa.array(term), pa.array(held[term])], ["term", "held"])
 
