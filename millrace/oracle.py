@@ -579,6 +579,13 @@ ORACLE: dict[str, str] = {
         count(*) filter (where outcome = 'alert') as alerts from judged""",
         "judged",
     ),
+    "stream_bounded": _query(
+        """select count(*) as consumed,
+        count(*) filter (where outcome in ('valid', 'alert')) as valid,
+        count(*) filter (where outcome in ('undecodable', 'invalid')) as dead_lettered,
+        count(*) filter (where outcome = 'alert') as alerts, true as limited from judged""",
+        "judged",
+    ),
     "compact_partitions": _query(
         f"""select substr(_source_file, 1, 8) as day,
         count(*) + count(*) filter (where _source_file < '{SPLIT_FILE}') as row_count,

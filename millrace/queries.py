@@ -572,6 +572,18 @@ def stream_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gate_stats(spark, f"{place}/out")
 
 
+def stream_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counters after a run that stopped at its message limit and one that stopped when idle."""
+    place = _scratch(spark)
+    sent = _messages(spark, sf_dir).withColumn("topic", F.lit("raw"))
+    topics.publish(sent.repartition(4), f"{place}/in", "0")
+    raw = topics.stream_topic(spark, f"{place}/in", "raw", max_files=1)
+    first = run_gate(raw, f"{place}/out", f"{place}/state", max_messages=1)
+    second = run_gate(raw, f"{place}/out", f"{place}/state", idle=1)
+    both = gate_stats(spark, f"{place}/out")
+    return both.withColumn("limited", (F.lit(first) >= 1) & (F.lit(second) >= 1) & (F.lit(first + second) == F.col("consumed")))
+
+
 # --- upkeep -----------------------------------------------------------------------------
 
 
@@ -649,6 +661,7 @@ _QUERIES = (
     stream_gate,
     stream_routes,
     stream_stats,
+    stream_bounded,
     compact_partitions,
     flagship,
 )

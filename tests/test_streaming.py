@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import json
+import threading
+import time
 import uuid
 import zipfile
 from pathlib import Path
@@ -163,6 +165,41 @@ def test_run_and_restart_handle_each_message_once(spark, place):
     assert json.loads(dead[0])["_violations"] == ["quad_class_out_of_range"]
 
 
+def test_a_run_stops_at_its_limit_and_the_next_goes_on(spark, place):
+    for n in range(4):
+        sent = messages(spark, *[json.dumps({**GOOD, "global_event_id": n})] * 3).coalesce(1)
+        publish(sent.withColumn("topic", F.lit("raw")), f"{place}/in", str(n))
+    raw = stream_topic(spark, f"{place}/in", "raw", max_files=1)
+    bounds = {"timeout": 120, "max_messages": 4}
+    assert [run_gate(raw, f"{place}/out", f"{place}/state", **bounds) for _ in range(3)] == [6, 6, 0]
+    assert tuple(gate_stats(spark, f"{place}/out").first()) == (12, 12, 0, 0)
+
+
+def test_an_idle_run_waits_for_messages_then_stops(spark, place):
+    publish(messages(spark, json.dumps(GOOD)).withColumn("topic", F.lit("raw")), f"{place}/in", "0")
+
+    def later():
+        time.sleep(3)
+        publish(messages(spark, "{bad").withColumn("topic", F.lit("raw")), f"{place}/in", "1")
+
+    other = threading.Thread(target=later)
+    other.start()
+    began = time.monotonic()
+    raw = stream_topic(spark, f"{place}/in", "raw")
+    assert run_gate(raw, f"{place}/out", f"{place}/state", timeout=120, idle=8) == 2
+    assert 8 < time.monotonic() - began < 100
+    other.join()
+    assert tuple(gate_stats(spark, f"{place}/out").first()) == (2, 1, 1, 0)
+    assert run_gate(raw, f"{place}/out", f"{place}/state", max_messages=1, idle=1) == 0
+
+
+def test_a_fault_is_no_limit(spark, place):
+    publish(messages(spark, "{}").withColumn("topic", F.lit("raw")), f"{place}/in", "0")
+    raw = stream_topic(spark, f"{place}/in", "raw").withColumn("value", F.raise_error(F.lit("broken")).cast("binary"))
+    with pytest.raises(StreamingQueryException):
+        run_gate(raw, f"{place}/out", f"{place}/state", max_messages=5)
+
+
 def test_newest_archive_is_published(spark, place, tmp_path):
     for day, ids in (("2026-01-01", (1, 2)), ("2026-01-02", (3, 4, 5))):
         folder = tmp_path / "export" / f"dt={day}" / "hour=00"
