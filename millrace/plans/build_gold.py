@@ -49,7 +49,7 @@ def load_fact(
             spark.sql(f"ALTER TABLE {new} RENAME TO {old}")
         return
     mark = f"{table}_mark"
-    create_table(spark, table, _ddl(star.fact_events(staged)), FACT_PARTITION)
+    create_table(spark, table, _ddl(star.fact_events(staged)), FACT_PARTITION, lookup="event_key")
     create_table(spark, mark, "loaded_micros bigint")
     loaded = spark.table(mark).agg(F.max("loaded_micros")).first()[0]
     if loaded is None:  # a fact from before there was a mark, or none

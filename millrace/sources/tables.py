@@ -15,6 +15,18 @@ from millrace.operators.upsert import upsert, upsert_parts
 # table formats that carry out row-level changes themselves
 ROW_LEVEL_FORMATS = ("iceberg", "delta", "hudi")
 
+# a batch of at most so many keys looks them up by value; they are literals of one filter
+LOOKUP_KEYS = 1000
+
+# Some 20 bits a key. A file that holds none of 100 keys is read in vain once in a hundred times.
+_KEY_FILTERS = {
+    "parquet.bloom.filter.enabled#{key}": "true",
+    "parquet.bloom.filter.fpp#{key}": "0.0001",
+    # the size follows the number of keys in a row group, up to this many bytes
+    "parquet.bloom.filter.adaptive.enabled": "true",
+    "parquet.bloom.filter.max.bytes": str(8 << 20),
+}
+
 
 def named_source(spark: SparkSession, table: str, *path: str) -> DataFrame:
     """A table by its name below an optional catalog and schema, read lazily."""
@@ -32,22 +44,27 @@ def create_table(
     ddl: str,
     partition: str | None = None,
     provider: str = "parquet",
+    lookup: str | None = None,
 ) -> None:
     """Create namespace and table where they are missing.
 
-    The partition column goes last, as it does in a file-based table anyway.
+    The partition column goes last, as it does in a file-based table anyway. Parquet files of the
+    table carry bloom filters on the column ``lookup``, whoever writes them.
     """
     if "." in table:
         spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {table.rsplit('.', 1)[0]}")
     by = f"PARTITIONED BY ({partition})" if partition else ""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({ddl}) USING {provider} {by}")
+    settings = _KEY_FILTERS if lookup and provider == "parquet" else {}
+    pairs = ", ".join(f"'{name.format(key=lookup)}' = '{value}'" for name, value in settings.items())
+    options = f"OPTIONS ({pairs})" if pairs else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({ddl}) USING {provider} {options} {by}")
 
 
 def create_silver(
     spark: SparkSession, table: str, contract: Contract = EVENTS, provider: str = "parquet"
 ) -> None:
     """The silver table of a contract; a table of a narrower contract gets the new columns."""
-    create_table(spark, table, contract.silver_ddl, contract.day, provider)
+    create_table(spark, table, contract.silver_ddl, contract.day, provider, contract.key)
     held = set(spark.table(table).columns)
     if new := [f"{name} {kind}" for name, kind in contract.columns if name not in held]:
         add_columns(spark, table, ", ".join(new))
@@ -120,6 +137,20 @@ def _partition_spec(partition: str, value: object) -> str:
     return f"{partition} = '{value}'"
 
 
+def rows_near(target: DataFrame, batch: DataFrame, key: str) -> DataFrame:
+    """Rows of ``target`` that may have a key of ``batch``, by a filter that the files can answer.
+
+    Up to ``LOOKUP_KEYS`` distinct keys, counted first, become literals: row groups whose limits or
+    bloom filters rule them all out are not read, however many the target has. More keys would
+    leave few files out; those are looked for within the range of the keys.
+    """
+    keys = batch.filter(F.col(key).isNotNull()).select(key).distinct().limit(LOOKUP_KEYS + 1).collect()
+    if len(keys) <= LOOKUP_KEYS:
+        return target.filter(F.col(key).isin([row[0] for row in keys]))
+    low, high = batch.agg(F.min(key), F.max(key)).first()
+    return target.filter(F.col(key).between(F.lit(low), F.lit(high)))
+
+
 def merge_partitions(
     spark: SparkSession,
     table: str,
@@ -132,8 +163,8 @@ def merge_partitions(
 
     Touched are the partitions of the batch and those that hold a row with a key of the
     batch, since a row may move. The values collected are partition values, one per
-    touched partition. Only key and partition columns are read to find them, within the
-    key range of the batch, so files outside it are skipped. Rows that stay are written
+    touched partition. Only key and partition columns are read to find them, and only in files
+    that ``rows_near`` cannot rule out. Rows that stay are written
     back by the task that read them; only the batch is shuffled.
 
     A partition that loses its last row cannot be emptied by an overwrite. It is dropped
@@ -144,8 +175,7 @@ def merge_partitions(
     persisted frame.
     """
     target = spark.table(table)
-    low, high = batch.agg(F.min(key), F.max(key)).first()
-    held = target.filter(F.col(key).between(F.lit(low), F.lit(high)))
+    held = rows_near(target, batch, key)
     pairs = held.select(F.col(key).alias("k"), F.col(partition).alias("p")).join(
         batch.select(F.col(key).alias("k"), F.col(partition).alias("into")), "k"
     )

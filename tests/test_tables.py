@@ -12,8 +12,10 @@ from millrace.operators.compaction import compact, partition_files
 from millrace.operators.upsert import delete_insert, upsert
 from millrace.plans.load_silver import load_silver
 from millrace.plans.maintain import maintain_silver
+from millrace.sources import tables
 from millrace.sources.tables import (
     add_columns,
+    balanced,
     create_table,
     location_of,
     merge_newest,
@@ -22,6 +24,7 @@ from millrace.sources.tables import (
     read_reference_csv,
     rebuild,
     replace_by_key,
+    rows_near,
 )
 
 D1, D2, D3 = dt.date(2026, 7, 1), dt.date(2026, 7, 2), dt.date(2026, 7, 3)
@@ -208,3 +211,41 @@ def test_small_table_helpers(spark, schema, tmp_path):
     assert provider_of(spark, f"{schema}.codes") == "parquet"
     add_columns(spark, f"{schema}.codes", "extra int")
     assert spark.table(f"{schema}.codes").filter("extra is null").count() == 2
+
+
+def _rows_scanned(df):
+    """Rows that left the scan, after row groups were ruled out and before the filter."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    leaves = (plan.executedPlan() if hasattr(plan, "executedPlan") and "Adaptive" in plan.getClass().getName() else plan).collectLeaves()
+    return sum(leaves.apply(i).metrics().get("numOutputRows").get().value() for i in range(leaves.size()))
+
+
+def test_a_lookup_of_100_keys_reads_as_much_of_a_target_ten_times_larger(spark, schema):
+    keys = spark.range(100).select(F.xxhash64("id").alias("k"))
+    read = {}
+    for files in (4, 40):
+        name = f"{schema}.keyed_{files}"
+        create_table(spark, name, "k bigint, v string, d int", "d", lookup="k")
+        rows = spark.range(files * 2000).select(
+            F.xxhash64("id").alias("k"), F.lit("v").alias("v"), F.floor(F.col("id") / 2000).cast("int").alias("d")
+        )
+        balanced(rows, "d").write.insertInto(name)
+        near = rows_near(spark.table(name), keys, "k").select("k", "d")
+        assert near.count() == 100
+        read[files] = _rows_scanned(near)
+    assert read[4] == read[40] == 2000
+
+
+@pytest.mark.parametrize("most", [0, 1000])
+def test_merge_is_the_same_by_key_values_and_by_key_range(spark, schema, monkeypatch, most):
+    monkeypatch.setattr(tables, "LOOKUP_KEYS", most)
+    name = f"{schema}.merged"
+    create_table(spark, name, "k bigint, v string, d int", "d", lookup="k")
+    spark.sql(f"insert into {name} values (1, 'a', 1), (2, 'b', 1), (3, 'c', 2), (null, 'n', 2)")
+    batch = spark.createDataFrame([(1, "moved", 3), (3, "new", 2), (9, "added", 4)], "k bigint, v string, d int")
+    tables.merge_partitions(spark, name, batch.persist(), "k", "d")
+    assert {tuple(r) for r in spark.table(name).collect()} == {
+        (1, "moved", 3), (2, "b", 1), (3, "new", 2), (None, "n", 2), (9, "added", 4)
+    }
+    assert tables.merge_partitions(spark, name, batch.limit(0), "k", "d") == []
