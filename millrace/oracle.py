@@ -620,3 +620,18 @@ ORACLE["landing_run"] = _query(
 ORACLE["fact_table_loaded"] = ORACLE["fact_incremental"]
 ORACLE["rejects_loaded"] = ORACLE["contract_rejects"]
 ORACLE["actor_history_table"] = ORACLE["actor_history"]
+ORACLE["topic_sink"] = ORACLE["stream_routes"]
+ORACLE["stream_set_aside"] = _query(
+    """select count(*) as consumed,
+    count(*) filter (where outcome in ('valid', 'alert')) as valid,
+    count(*) filter (where outcome in ('undecodable', 'invalid')) as dead_lettered,
+    count(*) filter (where outcome = 'alert') as alerts, cast(1 as bigint) as damaged_files from judged""",
+    "judged",
+)
+ORACLE["topic_order"] = _query(
+    f"""select message_key, body,
+      row_number() over (partition by message_key order by _source_file, body) - 1 as position
+    from (select _source_file, {_KEY} as message_key, cast(to_json(stream_rows) as varchar) as body
+      from fields, lateral (select {_stream_fields()}) stream_rows) sent""",
+    "fields",
+)

@@ -26,8 +26,10 @@ from millrace.session import scratch_root, tune
 from millrace.sources import archive_source, manifest, tables, topics
 from millrace.sources.archives import ANY_ARCHIVE
 from millrace.sources.places import place
+from millrace.sources.topic_sink import start_sink
 from millrace.streaming import gate as gating
 from millrace.streaming.events import stream_events, to_messages
+from millrace.streaming.order import sequenced
 from millrace.streaming.run import gate_stats, run_gate
 
 # the second batch of the two-batch scenarios starts here
@@ -584,6 +586,56 @@ def stream_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.withColumn("limited", (F.lit(first) >= 1) & (F.lit(second) >= 1) & (F.lit(first + second) == F.col("consumed")))
 
 
+def topic_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Positions by place after two batches, the second published twice, read back in order."""
+    place = _scratch(spark)
+    feed = bronze_lines(spark, sf_dir)
+    for name, part in (("a", F.col("_source_file") < SPLIT_FILE), ("b", F.col("_source_file") >= SPLIT_FILE), ("b", F.col("_source_file") >= SPLIT_FILE)):
+        rows = stream_events(feed.filter(part), "_source_file")
+        sent = to_messages(rows, "_source_file")
+        after = None if name == "a" else topics.next_positions(spark, place, "raw", name)
+        numbered = sequenced(sent, "_source_file", ["value"], after).withColumn("topic", F.lit("raw"))
+        topics.publish(numbered, place, name)
+    return topics.read_in_order(spark, place, "raw").select(
+        F.col("key").cast("string").alias("message_key"), F.col("value").cast("string").alias("body"), "position"
+    )
+
+
+def topic_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the sink shows of the routes after the same batches came twice."""
+    place = _scratch(spark)
+    topics.publish(_messages(spark, sf_dir).withColumn("topic", F.lit("raw")), f"{place}/in", "0")
+    for attempt in (1, 2):
+        sent = gating.routed(gating.gate(topics.stream_topic(spark, f"{place}/in", "raw")))
+        start_sink(sent, f"{place}/out", f"{place}/state-{attempt}", "gate").awaitTermination()
+    found = [
+        topics.read_topic(spark, f"{place}/out", name).select(
+            F.lit(name).alias("topic"),
+            F.col("key").cast("string").alias("message_key"),
+            F.col("value").cast("string").alias("body"),
+        )
+        for name in (gating.DEAD_LETTERS, gating.ALERTS)
+    ]
+    return found[0].unionByName(found[1])
+
+
+def stream_set_aside(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counters after a run and a restart over a topic with a damaged file, which is named once."""
+    place_of = _scratch(spark)
+    sent = _messages(spark, sf_dir).withColumn("topic", F.lit("raw"))
+    topics.publish(sent.repartition(4), f"{place_of}/in", "0")
+    system, root = place(f"{place_of}/in/batch=1/topic=raw")
+    system.create_dir(root, recursive=True)
+    with system.open_output_stream(f"{root}/broken.parquet") as out:
+        out.write(b"PAR1 and no more")
+    raw = topics.stream_topic(spark, f"{place_of}/in", "raw", max_files=2, set_aside=True)
+    for _ in range(2):
+        run_gate(raw, f"{place_of}/out", f"{place_of}/state")
+    named = topics.read_topic(spark, f"{place_of}/out/topics", gating.DAMAGED)
+    named = named.agg(F.count_if(F.col("key").cast("string").endswith("broken.parquet")).alias("damaged_files"))
+    return gate_stats(spark, f"{place_of}/out").join(named)
+
+
 # --- upkeep -----------------------------------------------------------------------------
 
 
@@ -662,6 +714,9 @@ _QUERIES = (
     stream_routes,
     stream_stats,
     stream_bounded,
+    topic_order,
+    topic_sink,
+    stream_set_aside,
     compact_partitions,
     flagship,
 )

@@ -53,10 +53,11 @@ _KINDS = {
 }
 
 
-def stream_events(lines: DataFrame) -> DataFrame:
-    """One event per line."""
+def stream_events(lines: DataFrame, *keep: str) -> DataFrame:
+    """One event per line; columns to ``keep`` go along."""
     return with_fields(lines).select(
-        *[_KINDS[kind](field(source)).alias(name) for name, kind, source in EVENT_FIELDS]
+        *keep,
+        *[_KINDS[kind](field(source)).alias(name) for name, kind, source in EVENT_FIELDS],
     )
 
 
@@ -66,7 +67,11 @@ def country_key(event: DataFrame) -> Column:
     return F.coalesce(*[F.nullif(code, F.lit("")) for code in codes]).cast("binary")
 
 
-def to_messages(events: DataFrame) -> DataFrame:
-    """Events as messages: country key and compact JSON value, NULL fields included."""
-    body = F.to_json(F.struct(*events.columns), {"ignoreNullFields": "false"})
-    return events.select(country_key(events).alias("key"), body.cast("binary").alias("value"))
+def to_messages(events: DataFrame, *keep: str) -> DataFrame:
+    """Events as messages: country key and compact JSON value, NULL fields included.
+
+    Columns to ``keep`` stay beside the message, outside its value.
+    """
+    names = [name for name in events.columns if name not in keep]
+    body = F.to_json(F.struct(*names), {"ignoreNullFields": "false"})
+    return events.select(country_key(events).alias("key"), body.cast("binary").alias("value"), *keep)

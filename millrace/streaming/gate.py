@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 DEAD_LETTERS = "dlq"
 ALERTS = "alerts"
+DAMAGED = "damaged"
 
 # Only the fields the gate looks at are decoded. The key is read as text, because any
 # non-null value will do; whole numbers are read as doubles, so 4.0 counts as 4.
@@ -69,8 +70,11 @@ def gate(messages: DataFrame) -> DataFrame:
 
     ``outcome`` is ``undecodable``, ``invalid``, ``alert`` or ``valid``; ``topic`` is where
     ``payload`` goes, NULL for nowhere. Text that is no JSON object, and a number of the
-    wrong type, cannot be decoded and is dead-lettered as it came.
+    wrong type, cannot be decoded and is dead-lettered as it came. A row with a ``fault`` is no
+    message but stands for a file that cannot be read: outcome and topic are ``damaged``, the key is
+    its path and the payload the fault.
     """
+    fault = F.col("fault") if "fault" in messages.columns else F.lit(None).cast("string")
     text = F.col("value").cast("string")
     envelope = F.concat(F.lit('{"message":['), text, F.lit('],"end":1}'))
     options = {
@@ -82,6 +86,7 @@ def gate(messages: DataFrame) -> DataFrame:
         "key",
         "value",
         text.alias("_text"),
+        fault.alias("_fault"),
         F.from_json(envelope, _ENVELOPE, options).alias("_envelope"),
     )
     decoded = decoded.withColumn("event", F.get("_envelope.message", F.lit(0)))
@@ -93,16 +98,23 @@ def gate(messages: DataFrame) -> DataFrame:
         | ~F.is_valid_utf8("_text")
     )
     outcome = (
-        F.when(broken, "undecodable")
+        F.when(F.col("_fault").isNotNull(), "damaged")
+        .when(broken, "undecodable")
         .when(F.size("codes") > 0, "invalid")
         .when(is_high_impact(), "alert")
         .otherwise("valid")
     )
-    topic = F.when(F.col("outcome").isin("undecodable", "invalid"), DEAD_LETTERS).when(
-        F.col("outcome") == "alert", ALERTS
+    topic = (
+        F.when(F.col("outcome").isin("undecodable", "invalid"), DEAD_LETTERS)
+        .when(F.col("outcome") == "alert", ALERTS)
+        .when(F.col("outcome") == "damaged", DAMAGED)
     )
     marked = _with_codes(F.col("_text"), F.col("codes")).cast("binary")
-    payload = F.when(F.col("outcome") == "invalid", marked).otherwise(F.col("value"))
+    payload = (
+        F.when(F.col("outcome") == "invalid", marked)
+        .when(F.col("outcome") == "damaged", F.col("_fault").cast("binary"))
+        .otherwise(F.col("value"))
+    )
     judged = decoded.withColumn("codes", violations()).withColumn("outcome", outcome)
     # a filter on topic or outcome must not repeat the decoding
     settled = F.struct("codes", "outcome", topic.alias("topic"), payload.alias("payload"))
@@ -110,7 +122,7 @@ def gate(messages: DataFrame) -> DataFrame:
 
 
 def routed(gated: DataFrame) -> DataFrame:
-    """Messages to send on: dead letters and alerts."""
+    """Messages to send on: dead letters, alerts and the names of damaged files."""
     return gated.filter(F.col("topic").isNotNull()).select(
         "topic", "key", F.col("payload").alias("value")
     )
@@ -120,7 +132,7 @@ def gate_counts(gated: DataFrame) -> list[Column]:
     """Aggregates for the counters of a run."""
     outcome = F.col("outcome")
     return [
-        F.count(F.lit(1)).alias("consumed"),
+        F.count_if(outcome != "damaged").alias("consumed"),
         F.count_if(outcome.isin("valid", "alert")).alias("valid"),
         F.count_if(outcome.isin("undecodable", "invalid")).alias("dead_lettered"),
         F.count_if(outcome == "alert").alias("alerts"),
