@@ -635,3 +635,47 @@ ORACLE["topic_order"] = _query(
       from fields, lateral (select {_stream_fields()}) stream_rows) sent""",
     "fields",
 )
+ORACLE["archives_to_silver"] = ORACLE["silver_loaded"]
+
+
+def _gold_built() -> str:
+    """Counts of the gold tables and of what fails their tests, one row each."""
+    keys = {
+        "events": ("silver", "global_event_id"),
+        "dim_date": ("dates", "date_key"),
+        "dim_actor": ("actors", "actor_key"),
+        "dim_geography": ("places", "geo_key"),
+        "dim_cameo_event": ("event_types", "cameo_key"),
+        "fact_events": ("fact", "event_key"),
+    }
+    parts = []
+    for table, (rows, key) in keys.items():
+        twice = f"select {key} from {rows} where {key} is not null group by 1 having count(*) > 1"
+        parts.append(f"select 'unique_{table}_{key}' as name, count(*) as n from ({twice}) twice")
+        parts.append(f"select 'not_null_{table}_{key}', count(*) from {rows} where {key} is null")
+        if table != "events":
+            parts.append(f"select '{table}', count(*) from {rows}")
+    for column, parent in (
+        ("date_key", "dim_date"),
+        ("actor1_key", "dim_actor"),
+        ("actor2_key", "dim_actor"),
+        ("action_geo_key", "dim_geography"),
+        ("cameo_key", "dim_cameo_event"),
+    ):
+        rows, key = keys[parent]
+        parts.append(
+            f"""select 'relationships_fact_events_{column}', count(distinct {column}) from fact
+            where {column} is not null and {column} not in (select {key} from {rows})"""
+        )
+    parts.append("select 'not_null_dim_actor_actor_code', count(*) from actors where actor_code is null")
+    parts.append(
+        """select 'accepted_values_dim_cameo_event_quad_class', count(distinct quad_class)
+        from event_types where quad_class not in (1, 2, 3, 4)"""
+    )
+    parts.append(f"select 'event_roots', count(*) from (values {_ROOT_ROWS}) roots")
+    actors = "actors as (select md5(actor_code) as actor_key, * from attributes)"
+    steps = ("silver", "dates", "places", "event_types", "fact", "attributes")
+    return _query(f", {actors} {' union all '.join(parts)}", *steps)
+
+
+ORACLE["gold_built"] = _gold_built()

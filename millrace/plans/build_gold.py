@@ -7,12 +7,20 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.contract import EVENT_ROOT_SCHEMA
 from millrace.functions.instants import instant, micros
 from millrace.operators import star
 from millrace.operators.history import advance_history, open_versions
 from millrace.operators.integrity import duplicates, nulls, orphans, unaccepted
 from millrace.session import tune
-from millrace.sources.tables import create_table, overwrite_partitions, rebuild, replace_by_key
+from millrace.sources.tables import (
+    create_table,
+    named_source,
+    overwrite_partitions,
+    read_reference_csv,
+    rebuild,
+    replace_by_key,
+)
 
 FACT_PARTITION = "date_key"
 HISTORY_PARTITION = "ended_on"
@@ -101,16 +109,24 @@ def snapshot_actors(
 
 
 def build_gold(
-    spark: SparkSession, silver: str, schema: str, as_of: datetime, full_refresh: bool = False
+    spark: SparkSession,
+    silver: str,
+    schema: str,
+    as_of: datetime,
+    full_refresh: bool = False,
+    seed: str | None = None,
 ) -> dict[str, int]:
     """Build every gold table from the silver table and test them; returns failures.
 
+    ``seed`` is a CSV file, or a folder of some, with header and the columns of
+    ``EVENT_ROOT_SCHEMA``; it becomes the table ``event_roots``. Without it the built-in roots are used.
+
     Names of the tables: ``int_actor_attributes``, ``snap_dim_actor``, ``dim_actor``,
     ``dim_date``, ``dim_geography``, ``dim_cameo_event``, ``fact_events``.
     """
     tune(spark)
     spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {schema}")
-    staged = star.stage_events(spark.table(silver))
+    staged = star.stage_events(named_source(spark, silver))
     staged.createOrReplaceTempView("stg_events")
 
     def at(name: str) -> str:
@@ -123,7 +139,11 @@ def build_gold(
     rebuild(star.dim_actor(open_actors(spark, at("snap_dim_actor"))), at("dim_actor"))
     rebuild(star.dim_date(staged), at("dim_date"))
     rebuild(star.dim_geography(staged), at("dim_geography"))
-    rebuild(star.dim_cameo_event(staged, star.event_roots(spark)), at("dim_cameo_event"))
+    roots = star.event_roots(spark)
+    if seed is not None:
+        rebuild(read_reference_csv(spark, seed, EVENT_ROOT_SCHEMA), at("event_roots"))
+        roots = named_source(spark, "event_roots", schema)
+    rebuild(star.dim_cameo_event(staged, roots), at("dim_cameo_event"))
     load_fact(spark, staged, at("fact_events"), full_refresh)
     return run_gold_tests(spark, silver, schema)
 

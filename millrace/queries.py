@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from millrace.feed import bronze_days, bronze_lines, landed, silver_events, table
 from millrace.operators import history, integrity, lines, quality, silver, star, upsert
 from millrace.operators.compaction import compact
-from millrace.plans.build_gold import load_fact, snapshot_actors
+from millrace.plans.build_gold import build_gold, load_fact, snapshot_actors
 from millrace.plans.land import land
 from millrace.plans.load_silver import load_silver
 from millrace.session import scratch_root, tune
@@ -396,6 +396,18 @@ def silver_loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain_time(spark.table(name).drop("_ingested_at"))
 
 
+def archives_to_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The silver table after a load from archives under a folder, before and after more of them came."""
+    name, folder = f"{_scratch_schema(spark)}.events", f"{_scratch(spark)}/archives"
+    feed = bronze_lines(spark, sf_dir).select(
+        "_source_file", F.lit("1.CSV").alias("member"), F.encode("_raw_line", "UTF-8").alias("line")
+    )
+    for first, part in ((None, F.col("_source_file") < SPLIT_FILE), (SPLIT_FILE, F.col("_source_file") >= SPLIT_FILE)):
+        _written(feed.filter(part), folder)
+        load_silver(spark, archive_source.scan(spark, folder, first=first), name)
+    return _plain_time(spark.table(name).drop("_ingested_at"))
+
+
 def rejects_loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The quarantine after the same lines were loaded twice."""
     name = f"{_scratch_schema(spark)}.events_rejects"
@@ -514,6 +526,21 @@ def star_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def gold_built(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of every gold table and failing values of every test after the build was run twice."""
+    schema, place = _scratch_schema(spark), _scratch(spark)
+    tables.rebuild(_silver(spark, sf_dir), f"{schema}.events")
+    star.event_roots(spark).write.csv(place, header=True)
+    for moment in (FIRST_SNAPSHOT, SECOND_SNAPSHOT):
+        failures = build_gold(spark, f"{schema}.events", schema, moment, seed=place)
+    tested = spark.createDataFrame(list(failures.items()), "name string, n bigint")
+    names = ("dim_actor", "dim_cameo_event", "dim_date", "dim_geography", "fact_events", "event_roots")
+    for name in names:
+        counted = tables.named_source(spark, name, schema).agg(F.lit(name).alias("name"), F.count(F.lit(1)).alias("n"))
+        tested = tested.unionByName(counted)
+    return tested
+
+
 def test_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
     return integrity.duplicates(
         silver.type_lines(_conformant(spark, sf_dir)), "global_event_id"
@@ -686,6 +713,7 @@ _QUERIES = (
     quality_suite,
     quality_suite_before_dedup,
     silver_loaded,
+    archives_to_silver,
     rejects_loaded,
     upsert_newest,
     upsert_orders,
@@ -704,6 +732,7 @@ _QUERIES = (
     dim_cameo_event,
     star_rollup_by_root,
     star_month,
+    gold_built,
     test_unique,
     test_not_null,
     test_accepted,
