@@ -20,6 +20,7 @@ from millrace.streaming.events import stream_events, to_messages
 MESSAGE_SCHEMA = "key binary, value binary"
 ORDERED_SCHEMA = f"{MESSAGE_SCHEMA}, position bigint"
 
+_MARKS = "topic string, key binary, next bigint"
 _FILES = "path string, modificationTime timestamp, length bigint, content binary"
 _ROWS = 4096
 
@@ -52,6 +53,12 @@ def publish(
         # static: a topic that an earlier attempt had and this one has not goes with it
         writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
         writer.partitionBy("topic").parquet(f"{root}/batch={batch}")
+    if ordered:
+        # a row for each key of the batch, read from what was written; a batch that dies before this comes again
+        spark = messages.sparkSession
+        written = spark.read.schema(f"{ORDERED_SCHEMA}, topic string").parquet(f"{root}/batch={batch}")
+        marks = written.groupBy("topic", "key").agg((F.max("position") + 1).alias("next"))
+        marks.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{root}/_marks/batch={batch}")
     return int(sent.get["messages"])
 
 
@@ -71,11 +78,15 @@ def read_in_order(spark: SparkSession, root: str, topic: str) -> DataFrame:
 
 
 def next_positions(spark: SparkSession, root: str, topic: str, batch: str) -> DataFrame:
-    """``key, next``: where each key goes on in ``batch``. What an earlier attempt at that batch
-    left in the topic does not count, so the batch gets the same positions again."""
-    held = spark.read.schema(f"{ORDERED_SCHEMA}, batch string").option("basePath", root)
-    others = held.parquet(_folder(root, topic)).filter(F.col("batch") != batch)
-    return others.groupBy("key").agg((F.max("position") + 1).alias("next"))
+    """``key, next``: where each key goes on in ``batch``, from the marks of the batches so far.
+
+    What an earlier attempt at that batch left does not count, so it gets the same positions again.
+    """
+    marks = spark.read.schema(f"{_MARKS}, batch string").option("basePath", f"{root}/_marks")
+    others = marks.parquet(f"{root}/_marks/batch=*").filter(
+        (F.col("batch") != batch) & (F.col("topic") == topic)
+    )
+    return others.groupBy("key").agg(F.max("next").alias("next"))
 
 
 def _messages_of(path: str, content: pa.Buffer) -> Iterator[pa.RecordBatch]:
