@@ -112,12 +112,23 @@ def op8_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Secrets of every document: counts of the fixed patterns, a digest of them, and all spans."""
+    """Secrets of every document: counts of the fixed patterns, a digest of them, and all spans.
+
+    A span is the whole match of its pattern, and order is by its start, then by kind as listed.
+    """
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    kinds = F.array(*map(F.lit, [*secrets.PATTERNS, "crf"]))
+    rank = lambda s: F.array_position(kinds, s["kind"])
+    match = lambda s: F.struct(
+        s["match_start"].alias("match_start"), rank(s), s["match_end"].alias("match_end"), s["kind"].alias("kind")
+    )
     found = secrets.scan(docs, secrets.train(docs))
+    found = found.withColumn("spans", F.array_sort(F.transform("spans", match)))
 
     def joined(spans: Column) -> Column:
-        one = lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))
+        one = lambda s: F.concat_ws(
+            ":", s["kind"], s["match_start"].cast("string"), s["match_end"].cast("string")
+        )
         return F.array_join(F.transform(spans, one), ",")
 
     base = F.filter("spans", lambda s: s["kind"] != "crf")

@@ -66,8 +66,9 @@ class Model:
     transition: np.ndarray  # from tag x to tag
 
 
-def base_spans(text: str, raw: bytes) -> list[tuple[int, int, str]]:
-    """Spans of the fixed patterns by start, then by kind as listed; ``raw`` is the text in UTF-8."""
+def base_matches(text: str, raw: bytes) -> list[tuple[int, int, str, int, int]]:
+    """Secrets of the fixed patterns by start, then by kind as listed: start, end and kind, and start
+    and end of the whole match that holds the secret. ``raw`` is the text in UTF-8."""
     low, kinds = raw.lower(), []
     if any(k in low for k in (b"passw", b"secret", b"token", b"api")):
         kinds.append("assign")
@@ -80,8 +81,13 @@ def base_spans(text: str, raw: bytes) -> list[tuple[int, int, str]]:
         if kind in kinds:
             for m in pattern.finditer(text):
                 if len(m[group]) >= least:
-                    found.append((m.start(group), rank, m.end(group), kind))
-    return [(start, end, kind) for start, _, end, kind in sorted(found)]
+                    found.append((m.start(group), rank, m.end(group), kind, *m.span()))
+    return [(start, end, kind, *match) for start, _, end, kind, *match in sorted(found)]
+
+
+def base_spans(text: str, raw: bytes) -> list[tuple[int, int, str]]:
+    """``base_matches`` without the whole matches."""
+    return [found[:3] for found in base_matches(text, raw)]
 
 
 def _has_long_run(mask: np.ndarray, least: int) -> bool:
@@ -300,8 +306,11 @@ def _trimmed(raw: bytes, start: int, end: int) -> tuple[int, int]:
     return (start + left, start + right) if right > left else (start, start + len(word))
 
 
-def found_spans(texts: list[bytes], model: Model) -> list[list[tuple[int, int, str]]]:
-    """All spans of each text in code points: those of the patterns, and what the field adds."""
+def found_spans(texts: list[bytes], model: Model) -> list[list[tuple[int, int, str, int, int]]]:
+    """All spans of each text in code points: those of the patterns, and what the field adds.
+
+    As in ``base_matches``; what the field adds is its own match.
+    """
     words, active = features(texts)
     scores = np.zeros((len(active), _TAGS))
     for k in range(active.shape[1]):
@@ -314,7 +323,7 @@ def found_spans(texts: list[bytes], model: Model) -> list[list[tuple[int, int, s
     out = []
     for d, raw in enumerate(texts):
         text = raw.decode("utf-8", "replace")
-        base = base_spans(text, raw)
+        base = base_matches(text, raw)
         added: list[list[int]] = []
         for k in by_text[d].tolist() if len(texts) else []:
             s, e = _trimmed(raw_all, int(words.start[k]), int(words.end[k]))
@@ -325,8 +334,8 @@ def found_spans(texts: list[bytes], model: Model) -> list[list[tuple[int, int, s
         extra = []
         for s, e, _ in added:
             s, e = (len(raw_all[begins[d] : x].decode("utf-8", "replace")) for x in (s, e))
-            if all(e <= a or s >= b for a, b, _ in base):
-                extra.append((s, e, "crf"))
+            if all(e <= a or s >= b for a, b, *_ in base):
+                extra.append((s, e, "crf", s, e))
         rank = {kind: r for r, kind in enumerate([*PATTERNS, "crf"])}
         out.append(sorted([*base, *extra], key=lambda x: (x[0], rank[x[2]])))
     return out
@@ -373,22 +382,26 @@ def train(docs: DataFrame, settings: Settings = Settings()) -> Model:
 
 
 def scan(docs: DataFrame, model: Model) -> DataFrame:
-    """One row per row of ``docs (doc_id, text)``: ``doc_id, spans``, an array of kind, start, end.
+    """One row per row of ``docs (doc_id, text)``: ``doc_id, spans``, an array of kind, start, end,
+    match_start, match_end.
 
     Kinds are those of ``PATTERNS`` and ``crf``; offsets are code points, the end is exclusive; order
-    is by start, then kind. A span of the field that touches one of the patterns is left out. NULL
+    is by start, then kind. A span is the secret; the match is all that its pattern matched, so for
+    ``assign`` also the name before it. A span of the field that touches one of the patterns is left out. NULL
     texts count as empty and have none; repeated rows get the same answer; other columns are not read.
     """
-    kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
+    offsets = ("start", "end", "match_start", "match_end")
+    kind = pa.list_(pa.struct([("kind", pa.string()), *[(name, pa.int64()) for name in offsets]]))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, spans = utf8(batch.column("text")), []
             for a, b in slices(texts):
                 spans.extend(found_spans(texts[a:b], model))
-            rows = [[{"kind": k, "start": s, "end": e} for s, e, k in one] for one in spans]
+            rows = [[{"kind": k} | dict(zip(offsets, (s, e, *match))) for s, e, k, *match in one] for one in spans]
             yield pa.record_batch([batch.column("doc_id"), pa.array(rows, kind)], ["doc_id", "spans"])
 
-    schema = "doc_id long, spans array<struct<kind: string, start: bigint, end: bigint>>"
+    fields = ", ".join(f"{name}: bigint" for name in offsets)
+    schema = f"doc_id long, spans array<struct<kind: string, {fields}>>"
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return slim.mapInArrow(rows, schema)
