@@ -15,9 +15,9 @@ from pyspark.sql import functions as F
 
 from millrace.contract import EVENTS
 from millrace.operators.lines import conformant
-from millrace.operators.silver import to_silver
+from millrace.operators.silver import newest_lines, type_lines
 from millrace.session import scratch_root
-from millrace.sources.tables import balanced
+from millrace.sources.tables import balanced, open_writers
 
 
 def _digits(moment: str, length: int) -> str:
@@ -128,7 +128,8 @@ def landed(
 
     Bronze lines, silver events and the actor history are tables that later steps read, as
     they are in a running pipeline; they are not worked out again by each query. They live
-    below the shared scratch folder of the cluster.
+    below the shared scratch folder of the cluster. A step with a ``partition`` is built
+    balanced by it.
     """
     place = (spark.sparkContext.applicationId, sf_dir, step)
     if place in _LANDED:
@@ -140,7 +141,8 @@ def landed(
     if partition is None:
         build().write.parquet(path)
     else:
-        balanced(build(), partition).write.partitionBy(partition).parquet(path)
+        with open_writers(spark):
+            build().write.partitionBy(partition).parquet(path)
     _LANDED[place] = path
     return spark.read.parquet(_LANDED[place])
 
@@ -153,7 +155,7 @@ def bronze_days(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def build() -> DataFrame:
         day = F.to_date(F.substring("_source_file", 1, 8), "yyyyMMdd")
-        return feed_lines(spark, sf_dir).withColumn("dt", day)
+        return balanced(feed_lines(spark, sf_dir).withColumn("dt", day), "dt")
 
     return landed(spark, sf_dir, "lines", build, "dt").select("_raw_line", "_source_file", "dt")
 
@@ -164,10 +166,14 @@ def bronze_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def silver_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The feed as a landed silver table with one folder per event day."""
+    """The feed as a landed silver table with one folder per event day.
+
+    Lines are brought to their day before they are typed: they are narrower than typed rows.
+    """
 
     def build() -> DataFrame:
-        return to_silver(conformant(bronze_lines(spark, sf_dir))).drop("_ingested_at")
+        newest = newest_lines(conformant(bronze_lines(spark, sf_dir)), carried=(EVENTS.day,))
+        return type_lines(balanced(newest, EVENTS.day))
 
     events = landed(spark, sf_dir, "silver", build, EVENTS.day)
     return events.select(*EVENTS.names, "_source_file")

@@ -20,14 +20,18 @@ def typed_field(name: str, contract: Contract = EVENTS) -> Column:
     return typed(field(name, contract), contract.type_of(name))
 
 
-def newest_lines(lines: DataFrame, contract: Contract = EVENTS) -> DataFrame:
+def newest_lines(
+    lines: DataFrame, contract: Contract = EVENTS, carried: tuple[str, ...] = ()
+) -> DataFrame:
     """One line per key: the latest by recency; ties go to the later file, then the line.
 
+    ``carried`` columns of the contract are typed on the way and come along.
+
     Lines without a usable key are dropped. ``row_number() = 1`` lets Spark keep one
     candidate per key and task before the shuffle, so a key that holds a third of all
     lines reaches its reducer as one line per map task.
     """
-    roles = (contract.key, contract.recency)
+    roles = tuple(dict.fromkeys((contract.key, contract.recency, *carried)))
     decisive = (
         evaluate_once(with_fields(lines), **{name: typed_field(name, contract) for name in roles})
         .filter(F.col(contract.key).isNotNull())
@@ -48,7 +52,7 @@ def newest_lines(lines: DataFrame, contract: Contract = EVENTS) -> DataFrame:
 def type_lines(lines: DataFrame, contract: Contract = EVENTS) -> DataFrame:
     """Every contract column cleaned and cast, plus the source file.
 
-    Columns that were typed on the way here (key and recency) are taken as they are, so
+    Columns that were typed on the way here (key, recency, carried) are taken as they are, so
     Spark still knows that the frame is partitioned by the key.
     """
     done = set(lines.columns)

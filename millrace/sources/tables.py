@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import AbstractContextManager, contextmanager
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,6 +18,9 @@ ROW_LEVEL_FORMATS = ("iceberg", "delta", "hudi")
 # a batch of at most so many keys looks them up by value; they are literals of one filter
 LOOKUP_KEYS = 1000
 
+# files that one task of a partitioned write may hold open; balanced rows meet few folders
+OPEN_FILES = 64
+
 # Some 20 bits a key. A file that holds none of 100 keys is read in vain once in a hundred times.
 _KEY_FILTERS = {
     "parquet.bloom.filter.enabled#{key}": "true",
@@ -93,16 +96,28 @@ def balanced(df: DataFrame, partition: str) -> DataFrame:
 
 
 @contextmanager
-def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
-    key = "spark.sql.sources.partitionOverwriteMode"
+def _setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
     before = spark.conf.get(key)
-    spark.conf.set(key, "dynamic")
+    spark.conf.set(key, value)
     try:
         yield
     finally:
         spark.conf.set(key, before)
 
 
+def _dynamic_overwrite(spark: SparkSession) -> AbstractContextManager[None]:
+    return _setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic")
+
+
+def open_writers(spark: SparkSession) -> AbstractContextManager[None]:
+    """A partitioned write inside keeps a file open for each partition a task meets.
+
+    So rows are not sorted, and spilled, only to be written folder by folder. Beyond
+    ``OPEN_FILES`` in one task Spark sorts what is left.
+    """
+    return _setting(spark, "spark.sql.maxConcurrentOutputFileWriters", str(OPEN_FILES))
+
+
 def overwrite_partitions(df: DataFrame, table: str) -> None:
     """Replace exactly the partitions that occur in ``df``.
 
