@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.bpe import encoder
 from millrace.llm.scratch import landed
+from millrace.llm.words import slices, utf8
 
 
 @dataclass(frozen=True)
@@ -266,7 +267,9 @@ def vectors(docs: list[np.ndarray], stats: Stats, settings: Settings) -> np.ndar
     axes, idf = _AXES[settings.axes], _idf(stats).astype(np.float32)
     out = np.zeros((len(docs), settings.axes), np.float32)
     for k, doc in enumerate(docs):
-        terms, times = np.unique(doc, return_counts=True)
+        ids = np.sort(doc)
+        begin = np.flatnonzero(np.append(True, ids[1:] != ids[:-1]))
+        terms, times = ids[begin], np.diff(np.append(begin, len(ids)))
         norm = settings.k1 * (1 - settings.b + settings.b * len(doc) / stats.mean)
         out[k] = (idf[terms] * times / (times + norm)).astype(np.float32) @ axes[terms]
     return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-12)
@@ -368,6 +371,9 @@ def range_of(place: np.ndarray, spot: np.ndarray, bounds: np.ndarray) -> np.ndar
 # ---- over tables -----------------------------------------------------------------------------
 
 
+# bytes of text that are encoded together
+_ENCODED = 8 << 20
+
 _PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, "
     "offset long"
@@ -392,7 +398,9 @@ def pack(
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(vocabulary.value)
         for batch in batches:
-            found = [encode(t or "").astype("<u2").tobytes() for t in batch.column("text").to_pylist()]
+            texts, found = utf8(batch.column("text")), []
+            for a, b in slices(texts, _ENCODED):
+                found.extend(ids.astype("<u2").tobytes() for ids in encode.batch(texts[a:b]))
             yield pa.record_batch([batch.column("doc_id"), pa.array(found, pa.binary())], ["doc_id", "tokens"])
 
     slim = docs.selectExpr("cast(doc_id AS long) AS doc_id", "text")

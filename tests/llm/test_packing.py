@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 import zlib
 
 import numpy as np
@@ -143,3 +144,19 @@ def test_ranges_hold_equal_tokens_also_where_many_share_a_place():
     totals = np.bincount(got, size, 10)
     assert totals.max() < 1.2 * totals.mean() and totals.min() > 0.8 * totals.mean()
     assert packing.range_of(place, spot, packing.ends(place[:0], spot[:0], size[:0], 10)).max() == 0
+
+
+def test_parts_that_repeat_are_encoded_once(monkeypatch):
+    with open(FILE, "rb") as file:
+        encode = Encoder(file.read())
+    dice = random.Random(3)
+    parts = ["a", "word", "'s", "é ", "中文", "　", "\u0085 ", " ", "  ", " ", "  ", "\n", " <|endoftext|>",
+             "<|end", "12", "!?", "😀", "߿ ", "\x00", "\x1c ", "\x7f", "\r\n", ""]
+    for _ in range(500):
+        texts = ["".join(dice.choice(parts) for _ in range(dice.randrange(0, 14))) for _ in range(dice.randrange(0, 6))]
+        got = encode.batch([t.encode() for t in texts])
+        assert [x.tolist() for x in got] == [encode(t).tolist() for t in texts]
+    seen, ids = [], encode._ids
+    monkeypatch.setattr(encode, "_ids", lambda text: seen.append(len(text)) or ids(text))
+    encode.batch([b"some words that come again " * 500] * 20)
+    assert sum(seen) < 200
