@@ -4,12 +4,14 @@ A file holds the ids of documents in ascending order of their ids, in segments t
 read one at a time, so memory does not depend on the size of a file or a document:
 
     file     magic, version, ids per block; segments; a segment of no documents ends the file
-    segment  bytes of its index, number of documents and blocks, crc32 of index and table; index;
-             table: bytes and crc32 of each block; blocks
+    segment  bytes of its index and shares, number of documents and blocks, crc32 of what follows up
+             to the blocks; index; shares; bytes and crc32 of each block; blocks
     index    id, known, number of ids and whether the document ends here, for each document (zstd)
+    shares   how often each id occurs in the segment, as ``token_coder`` packs it
 
-Both heads end in a crc32 of their own. A block is coded by ``token_coder``, starts from nothing and carries the crc32 of its ids (little-endian
-unsigned 32-bit). Documents may go on in the next block or segment.
+Both heads end in a crc32 of their own. A block is coded by ``token_coder``, needs the shares of its
+segment and no other block, and carries the crc32 of its ids (little-endian unsigned 32-bit). Documents
+may go on in the next block or segment.
 
 Every task writes files under names of its own; the table of files, written last and by Spark, says
 which of them count. A task that is run again leaves its first file behind unnamed, never read.
@@ -23,6 +25,7 @@ import uuid
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -32,16 +35,17 @@ from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer, pre_tokenizers
 
 from millrace.llm import token_coder
 
-_MAGIC, _VERSION = b"MTID", 1
+_MAGIC, _VERSION = b"MTID", 2
 _HEAD = struct.Struct("<4sII")
-_SEGMENT = struct.Struct("<QIII")
+_SEGMENT = struct.Struct("<QIIII")
 _CHECK = struct.Struct("<I")
 _BLOCK = struct.Struct("<II")
-_CACHED = 1 << 20
-_PIECE = 1 << 22
+_CACHED = 3 << 18
+_PIECE = 1 << 23
 
 
 @dataclass(frozen=True)
@@ -60,61 +64,167 @@ class Settings:
 # ---- texts to ids ----------------------------------------------------------------------------
 
 
+# kinds of bytes. A text is cut where white space begins or ends, between letters, digits and signs, and
+# between digits. An apostrophe may open the ending of a word and a bar the end of a special token, so
+# there, and at what is not ASCII, nothing else is cut
+_OTHER, _LETTER, _DIGIT, _SIGN, _SPACE = range(5)
+
+
+def _kinds() -> tuple[bytes, bytes]:
+    """The kind of each byte, and whether a text is cut between two kinds (three bits each)."""
+    kind, cut = np.full(256, _OTHER, np.uint8), np.zeros((32, 8), bool)
+    kind[33:127], kind[48:58] = _SIGN, _DIGIT
+    kind[65:91] = kind[97:123] = _LETTER
+    kind[list(b"'|")] = _OTHER
+    kind[[0x20, *range(0x09, 0x0E)]] = _SPACE
+    cut[_SPACE, :_SPACE] = cut[:_SPACE, _SPACE] = True
+    cut[_LETTER:_SPACE, _LETTER:_SPACE] = ~np.eye(3, dtype=bool)
+    cut[_DIGIT, _DIGIT] = True
+    return kind.tobytes(), cut.tobytes()
+
+
+_KIND, _CUT = _kinds()
+_JOINED = 512  # words that are encoded as one text
+
+
 class Encoder:
-    """Ids of whole texts by a tokenizer that drops white space.
+    """Ids of whole texts by a tokenizer that drops white space and makes letters small.
 
-    Such a tokenizer never looks across white space, so a text is cut there and each distinct run of
-    other characters is encoded once; the ids of runs met before are kept, up to a bound.
+    Such a tokenizer never looks across white space, nor from one kind of ASCII character to another. A
+    text is cut there and each distinct run is encoded once; the ids of runs met before are kept, up to
+    a bound.
     """
 
     def __init__(self, tokenizer_json: bytes) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the task has one core
-        from tokenizers import Tokenizer
-
         self._tokenizer = Tokenizer.from_str(tokenizer_json.decode())
+        # small letters a-z are changed by no step before the merges, only parted at white space
+        self._plain = Tokenizer.from_str(tokenizer_json.decode())
+        self._plain.normalizer = None
+        self._plain.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        self._closes = np.zeros(1 << 16, bool)  # ids that end a word
+        self._closes[[i for token, i in self._tokenizer.get_vocab().items() if token.endswith("</w>")]] = True
         self._forget()
+        known = "The end.of 12 (WORDS)! isn't_here x'd"
+        if self([known])[0].tolist() != self._tokenizer.encode(known, add_special_tokens=False).ids:
+            raise ValueError("this tokenizer parts words by other rules")
 
     def _forget(self) -> None:
-        self._place: dict[str, int] = {}
+        self._place: dict[bytes, int] = {}
         self._ids, self._starts = np.zeros(0, np.uint16), np.zeros(1, np.int64)
 
-    def _learn(self, runs: list[str]) -> None:
-        new = [r for r in runs if r not in self._place]
-        if not new:
-            return
-        found = self._tokenizer.encode_batch(new, add_special_tokens=False)
-        ids = [e.ids for e in found]
-        for run in new:
-            self._place[run] = len(self._place)
-        sizes = np.cumsum([len(i) for i in ids]) + self._starts[-1]
-        self._starts = np.concatenate([self._starts, sizes])
-        flat = np.fromiter((x for i in ids for x in i), np.int64)
-        if len(flat) and flat.max() > 65535:
-            raise ValueError("this file format holds ids below 65,536")
-        self._ids = np.concatenate([self._ids, flat.astype(np.uint16)])
+    def _learn(self, runs: list[bytes]) -> None:
+        plain: list[bytes] = []
+        words: list[str] = []
+        others: list[str] = []
+        for run in runs:
+            if run.isalpha() and run.islower():  # of bytes: a-z
+                plain.append(run)
+            else:
+                text = run.decode()
+                (words if text.isalpha() else others).append(text)
+        found = [self._words(self._plain, [r.decode() for r in plain]), self._words(self._tokenizer, words)]
+        found.append(self._singly(others))
+        met = [*plain, *(w.encode() for w in words), *(r.encode() for r in others)]
+        self._place.update(zip(met, range(len(self._place), len(self._place) + len(met))))
+        self._ids = np.concatenate([self._ids, *(ids for ids, _ in found)])
+        sizes = np.concatenate([sizes for _, sizes in found])
+        self._starts = np.concatenate([self._starts, self._starts[-1] + np.cumsum(sizes)])
+
+    def _words(self, tokenizer: Tokenizer, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of words, many in one text: each has one id that ends a word, its last one.
+
+        Where a text has more, something in it is no word for the tokenizer, and each is encoded alone.
+        """
+        groups = [words[a : a + _JOINED] for a in range(0, len(words), _JOINED)]
+        ids, sizes = [_flat([])], [np.zeros(0, np.int64)]
+        for group, e in zip(groups, tokenizer.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False)):
+            flat = _flat([e.ids])
+            ends = np.flatnonzero(self._closes[flat])
+            if len(ends) == len(group) and ends[-1] == len(flat) - 1:
+                ids.append(flat)
+                sizes.append(np.diff(ends, prepend=-1))
+            else:
+                alone = self._singly(group)
+                ids.append(alone[0])
+                sizes.append(alone[1])
+        return np.concatenate(ids), np.concatenate(sizes)
+
+    def _singly(self, runs: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = [e.ids for e in self._tokenizer.encode_batch_fast(runs, add_special_tokens=False)]
+        return _flat(found), np.array([len(i) for i in found], np.int64)
 
     def parts(self, text: str) -> Iterator[np.ndarray]:
         """The ids of a long text, part by part."""
         for piece in _pieces(text):
             yield self([piece])[0]
 
-    def _gather(self, number: np.ndarray) -> np.ndarray:
-        starts, sizes = self._starts[number], self._starts[number + 1] - self._starts[number]
-        at = np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
-        return self._ids[at]
-
-    def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def __call__(self, texts: list[str] | pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of some texts, and how many each has."""
-        lists = pc.ascii_split_whitespace(pa.array(texts, pa.large_string()))
-        offsets = lists.offsets.to_numpy()
-        runs = lists.flatten().dictionary_encode()
-        names = runs.dictionary.to_pylist()
+        runs, first = _cut(pa.array(texts, pa.large_string()) if isinstance(texts, list) else texts.cast(pa.large_string()))
+        runs = runs.dictionary_encode()
+        names = runs.dictionary.to_numpy(zero_copy_only=False).tolist()
         if len(self._place) + len(names) > _CACHED:
             self._forget()
-        self._learn(names)
-        number = np.array([self._place[r] for r in names], np.int64)[runs.indices.to_numpy(zero_copy_only=False)]
-        upto = np.concatenate([[0], np.cumsum(self._starts[number + 1] - self._starts[number])])
-        return self._gather(number), np.diff(upto[offsets - offsets[0]])
+        place = np.fromiter(map(self._place.get, names, repeat(-1)), np.int64, len(names))
+        new = np.flatnonzero(place < 0).tolist()
+        if new:
+            self._learn([names[k] for k in new])
+            place[new] = [self._place[names[k]] for k in new]
+        starts, sizes = self._starts[place], np.diff(self._starts)[place]
+        number = runs.indices.to_numpy(zero_copy_only=False)
+        starts, sizes = starts[number], sizes[number]
+        upto = np.concatenate([[0], np.cumsum(sizes)])
+        ids = self._ids[np.repeat(starts - upto[:-1], sizes) + np.arange(upto[-1])]
+        return ids, np.diff(upto[first])
+
+
+def _flat(ids: list[list[int]]) -> np.ndarray:
+    flat = np.fromiter(chain.from_iterable(ids), np.int64)
+    if len(flat) and flat.max() > 65535:
+        raise ValueError("this file format holds ids below 65,536")
+    return flat.astype(np.uint16)
+
+
+def _cut(texts: pa.LargeStringArray) -> tuple[pa.LargeBinaryArray, np.ndarray]:
+    """The runs of all texts one after another, and the number of the first run of each text.
+
+    Letters A-Z come as small ones where no mark can follow that would join with them, unless a text
+    may name a special token: that is told by its letters.
+    """
+    offsets = np.frombuffer(texts.buffers()[1], np.int64, len(texts) + 1, 8 * texts.offset)
+    raw = texts.buffers()[2]
+    data = np.frombuffer(raw, np.uint8)[offsets[0] : offsets[-1]] if raw else np.zeros(0, np.uint8)
+    begins = offsets - offsets[0]
+    held = data.tobytes()
+    kind = np.frombuffer(held.translate(_KIND), np.uint8)
+    cut = np.ones(len(data) + 1, bool)
+    if len(data):
+        cut[1:-1] = np.frombuffer(((kind[:-1] << 3) | kind[1:]).tobytes().translate(_CUT), bool)
+    cut[begins] = True
+    if b"<|" not in held:
+        upper = (data - 65 < 26).view(np.uint8)
+        upper[:-1] &= data[1:] < 128
+        data = data + (upper << 5)
+    edges = np.flatnonzero(cut)
+    solid = kind != _SPACE
+    filled = solid[edges[:-1]] if len(data) else np.zeros(0, bool)
+    sizes = np.diff(edges)[filled] if len(data) else np.zeros(0, np.int64)
+    stops = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+    buffers = [None, pa.py_buffer(stops), pa.py_buffer(data[solid])]
+    runs = pa.Array.from_buffers(pa.large_binary(), len(sizes), buffers)
+    return runs, np.concatenate([[0], np.cumsum(filled)])[np.searchsorted(edges, begins)]
+
+
+_LOADED: dict[int, Encoder] = {}
+
+
+def encoder(tokenizer_json: bytes) -> Encoder:
+    """One encoder for each Python worker, which keeps what it has met from task to task."""
+    key = hash(tokenizer_json)
+    if key not in _LOADED:
+        _LOADED[key] = Encoder(tokenizer_json)
+    return _LOADED[key]
 
 
 def _pieces(text: str) -> Iterator[str]:
@@ -171,17 +281,17 @@ class _FileWriter:
         stream = np.concatenate(self._parts)
         blocks = [stream[a : a + block] for a in range(0, len(stream), block)]
         index = zstandard.compress(np.array(self._rows, np.int64).T.tobytes(), 3)
-        payloads = token_coder.encode(blocks)
+        shares, payloads = token_coder.encode_together(blocks)
         sums = [zlib.crc32(b.astype("<u4")) for b in blocks]
-        lists = index + b"".join(_BLOCK.pack(len(p), c) for p, c in zip(payloads, sums))
-        head = _SEGMENT.pack(len(index), len(self._rows), len(blocks), zlib.crc32(lists))
+        lists = index + shares + b"".join(_BLOCK.pack(len(p), c) for p, c in zip(payloads, sums))
+        head = _SEGMENT.pack(len(index), len(shares), len(self._rows), len(blocks), zlib.crc32(lists))
         self._out.write(b"".join([_checked(head), lists, *payloads]))
         self.tokens += len(stream)
         self._rows, self._parts, self._size = [], [], 0
 
     def close(self) -> int:
         self._flush()
-        self._out.write(_checked(_SEGMENT.pack(0, 0, 0, 0)))
+        self._out.write(_checked(_SEGMENT.pack(0, 0, 0, 0, 0)))
         size = self._out.tell()
         self._out.close()
         return size
@@ -209,19 +319,19 @@ def read_file(folder: str, name: str) -> Iterator[tuple[int | None, np.ndarray,
         if (magic, version) != (_MAGIC, _VERSION):
             raise ValueError(f"{name} is no file of token ids")
         while True:
-            size, docs, blocks, check = _head(source, _SEGMENT)
+            size, shared, docs, blocks, check = _head(source, _SEGMENT)
             if not docs:
                 return
-            lists = _exactly(source, size + blocks * _BLOCK.size)
+            lists = _exactly(source, size + shared + blocks * _BLOCK.size)
             if zlib.crc32(lists) != check:
                 raise ValueError(f"the index of {name} is damaged")
             index = np.frombuffer(zstandard.decompress(lists[:size]), np.int64)
             ids, known, lengths, ends = index.reshape(4, docs).tolist()
-            table = list(_BLOCK.iter_unpack(lists[size:]))
+            table = list(_BLOCK.iter_unpack(lists[size + shared :]))
             payloads = [_exactly(source, n) for n, _ in table]
             left = sum(lengths)
             sizes = [block] * (blocks - 1) + [left - block * (blocks - 1)] if blocks else []
-            found = token_coder.decode(payloads, sizes)
+            found = token_coder.decode_together(lists[size : size + shared], payloads, sizes)
             if any(zlib.crc32(b.astype("<u4")) != c for b, (_, c) in zip(found, table)):
                 raise ValueError(f"a block of {name} is damaged")
             stream, at = np.concatenate(found) if found else np.zeros(0, np.uint16), 0
@@ -256,14 +366,14 @@ def write(docs: DataFrame, folder: str, tokenizer: str, settings: Settings = Set
     ordered = ordered.sortWithinPartitions("doc_id", "spot").select("doc_id", "text")
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, out = Encoder(vocabulary.value), None
+        encode, out = encoder(vocabulary.value), None
         end = np.array([settings.end], np.uint16)
         for batch in batches:
             for a, b in _runs(batch.column("text")):
-                ids, texts = (batch.column(c).slice(a, b - a).to_pylist() for c in ("doc_id", "text"))
+                ids, texts = batch.column("doc_id").slice(a, b - a).to_pylist(), batch.column("text").slice(a, b - a)
                 out = out or _FileWriter(folder, settings)
-                if len(texts) == 1 and len(texts[0]) > _PIECE:
-                    for part in encode.parts(texts[0]):
+                if len(texts) == 1 and len(text := texts[0].as_py()) > _PIECE:
+                    for part in encode.parts(text):
                         out.add(ids[0], part, False)
                     out.add(ids[0], end, True)
                     continue

@@ -127,3 +127,30 @@ def test_damage_is_found(spark, docs_of, tmp_path):
     path.write_bytes(good[:-20])
     with pytest.raises(ValueError):
         list(token_files.read_file(folder, name))
+
+
+def test_runs_that_differ_in_case_or_signs_are_encoded_once():
+    encode = token_files.Encoder(open(VOCABULARY, "rb").read())
+    encode._forget()
+    ids, sizes = encode(["Some words, some (WORDS): 1212 words."] * 3)
+    assert sorted(encode._place) == sorted([b"some", b"words", b",", b"(", b"):", b"1", b"2", b"."])
+    assert sizes.tolist() == [13] * 3 and len(ids) == 39
+    # a letter that a mark joins with, and the letters of a special token, stay as they are
+    encode(["W̊", "<|ENDOFTEXT|> Word"])
+    assert {"W̊".encode(), b"<|ENDOFTEXT|>", b"Word"} <= set(encode._place)
+
+
+def test_short_blocks_share_what_order_0_knows():
+    dice = np.random.default_rng(4)
+    blocks = [(dice.zipf(1.3, 64) % 40000).astype(np.uint16) for _ in range(300)] + [np.zeros(0, np.uint16)]
+    table, packed = token_coder.encode_together(blocks)
+    sizes = [len(b) for b in blocks]
+    again = token_coder.decode_together(table, packed, sizes)
+    assert all((a == b).all() and a.dtype == b.dtype for a, b in zip(blocks, again))
+    # any of them can be read without the others, and all take less room than each with its own table
+    assert (token_coder.decode_together(table, packed[5:6], sizes[5:6])[0] == blocks[5]).all()
+    assert len(table) + sum(map(len, packed)) < 0.75 * sum(map(len, token_coder.encode(blocks)))
+    damaged = bytearray(packed[5])
+    damaged[3] ^= 16
+    found = token_coder.decode_together(table, [bytes(damaged)], sizes[5:6])[0]
+    assert len(found) == 64 and (found != blocks[5]).any()
