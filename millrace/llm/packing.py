@@ -72,7 +72,8 @@ class Index:
     def __init__(self, docs: list[np.ndarray], settings: Settings, stats: Stats | None = None) -> None:
         n, lengths = len(docs), np.array([len(d) for d in docs])
         owner = np.repeat(np.arange(n, dtype=np.int64), lengths)
-        keys = np.sort((owner << 16) | np.concatenate(docs))
+        # document by document: sixteen bits sort several times faster
+        keys = (owner << 16) | np.concatenate([np.sort(d) for d in docs])
         at = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
         times = np.diff(np.append(at, len(keys)))
         doc, term = (keys[at] >> 16).astype(np.int32), (keys[at] & 0xFFFF).astype(np.uint16)
@@ -114,7 +115,9 @@ class Index:
 
     def _scores(self, terms: np.ndarray) -> np.ndarray:
         row = self._row[terms]
-        scores = self._rows[row[row >= 0]].sum(axis=0)
+        scores = np.zeros(len(self._at), np.float32)
+        for k in row[row >= 0].tolist():  # in place: a copy of all these rows costs more than to add them
+            scores += self._rows[k]
         rare = terms[row < 0].astype(np.int64)
         begin, count = self._begin[rare], self._begin[rare + 1] - self._begin[rare]
         found = np.arange(count.sum()) + np.repeat(begin - (np.cumsum(count) - count), count)
@@ -256,6 +259,13 @@ def grow(vectors: np.ndarray) -> Tree:
     )
 
 
+def _begins(ids: np.ndarray) -> np.ndarray:
+    """Where each term begins in the sorted ids of a document."""
+    new = np.ones(len(ids), bool)
+    np.not_equal(ids[1:], ids[:-1], out=new[1:])
+    return np.flatnonzero(new)
+
+
 _AXES: dict[int, np.ndarray] = {}
 
 
@@ -266,12 +276,15 @@ def vectors(docs: list[np.ndarray], stats: Stats, settings: Settings) -> np.ndar
         _AXES[settings.axes] = dice.standard_normal((1 << 16, settings.axes), np.float32)
     axes, idf = _AXES[settings.axes], _idf(stats).astype(np.float32)
     out = np.zeros((len(docs), settings.axes), np.float32)
+    # the axes of a document's terms, taken into one place: to get it anew costs more than to fill it
+    room = np.empty((min(max(map(len, docs), default=0), 1 << 16), settings.axes), np.float32)
     for k, doc in enumerate(docs):
         ids = np.sort(doc)
-        begin = np.flatnonzero(np.append(True, ids[1:] != ids[:-1]))
-        terms, times = ids[begin], np.diff(np.append(begin, len(ids)))
+        begin = _begins(ids)
+        terms, times = ids[begin], np.diff(begin, append=len(ids))
+        near = np.take(axes, terms, axis=0, out=room[: len(terms)], mode="clip")
         norm = settings.k1 * (1 - settings.b + settings.b * len(doc) / stats.mean)
-        out[k] = (idf[terms] * times / (times + norm)).astype(np.float32) @ axes[terms]
+        out[k] = (idf[terms] * times / (times + norm)).astype(np.float32) @ near
     return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-12)
 
 
@@ -287,7 +300,7 @@ def statistics(tokens: DataFrame) -> Stats:
         for batch in batches:
             for doc in _docs(batch):
                 ids = np.sort(doc)  # of sixteen bits: several times faster than to hash them
-                held[ids[np.append(True, ids[1:] != ids[:-1])]] += 1
+                held[ids[_begins(ids)]] += 1
         term = np.flatnonzero(held)
         yield pa.record_batch([pa.array(term), pa.array(held[term])], ["term", "held"])
 

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -160,3 +161,15 @@ def test_parts_that_repeat_are_encoded_once(monkeypatch):
     monkeypatch.setattr(encode, "_ids", lambda text: seen.append(len(text)) or ids(text))
     encode.batch([b"some words that come again " * 500] * 20)
     assert sum(seen) < 200
+
+
+def test_common_terms_are_added_up_without_a_copy_of_their_rows():
+    dice = np.random.default_rng(9)
+    docs = [dice.permutation(np.repeat(np.arange(400), 2))[:700].astype(np.uint16) for _ in range(500)]
+    index, used = packing.Index(docs, packing.Settings()), np.zeros(500, bool)
+    assert index._rows.nbytes > 700_000
+    tracemalloc.start()
+    index.neighbours(0, used)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < index._rows.nbytes / 4
