@@ -45,7 +45,7 @@ _SEGMENT = struct.Struct("<QIIII")
 _CHECK = struct.Struct("<I")
 _BLOCK = struct.Struct("<II")
 _CACHED = 3 << 18
-_PIECE = 1 << 23
+_PIECE = 1 << 22
 
 
 @dataclass(frozen=True)
